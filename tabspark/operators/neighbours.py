@@ -63,7 +63,7 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
 
     n = t.count()
     cells = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
-    pool = t.withColumn("h", hash32(F.col("tid"), seed))
+    pool = t.withColumn("h", hash32(F.col("tid"), f"pivot{seed}"))
     if n > 100 * cells:
         pool = pool.filter(F.col("h") < F.lit(int(20.0 * cells / n * HASH_RANGE)))
     pivots = np.array([r["tx"] for r in pool.orderBy("h").limit(cells).collect()], dtype=float)

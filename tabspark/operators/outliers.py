@@ -102,7 +102,7 @@ def isolation_forest(df: DataFrame, columns: list[str], key: str = "row_id", tre
     names = [f"x{i}" for i in range(len(columns))]
     n = x.count()
     want = trees * sample_size
-    drawn = x.withColumn("__h", hash32(F.col(ident(key)), seed))
+    drawn = x.withColumn("__h", hash32(F.col(ident(key)), f"forest{seed}"))
     if n > want:
         drawn = drawn.filter(F.col("__h") < F.lit(int(min(1.0, 3.0 * want / n) * HASH_RANGE)))
     pool = drawn.orderBy("__h").limit(want).select(*names).toPandas().to_numpy(dtype=float)

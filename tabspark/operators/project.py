@@ -8,7 +8,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.scalar import dbl, ident, map_lookup
-from tabspark.operators.small import small_table
 
 log = logging.getLogger(__name__)
 MAP_LITERAL_LIMIT = 1_000
@@ -80,7 +79,7 @@ def map_values(df: DataFrame, column: str, mapping: Mapping, out: str | None = N
     out = out or column
     if len(mapping) <= MAP_LITERAL_LIMIT:
         return df.withColumn(out, map_lookup(F.col(ident(column)), dict(mapping)))
-    dim = small_table(df.sparkSession, list(mapping.items()), ["__key", "__value"])
+    dim = df.sparkSession.createDataFrame(list(mapping.items()), ["__key", "__value"])
     joined = df.join(dim, F.col(ident(column)) == F.col("__key"), "left")
     return joined.withColumn(out, F.col("__value")).drop("__key", "__value")
 

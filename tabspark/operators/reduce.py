@@ -158,7 +158,7 @@ def nystroem_fit(df, array_column, order, n_components, kernel, gamma, degree, c
     from tabspark.functions.scalar import HASH_RANGE, hash32
 
     n = df.count()
-    h = hash32(F.col(ident(order)), seed)
+    h = hash32(F.col(ident(order)), f"landmark{seed}")
     pool = df.select(h.alias("h"), F.col(ident(array_column)).cast("array<double>").alias("x"))
     if n > 100 * n_components:
         pool = pool.filter(F.col("h") < F.lit(int(20.0 * n_components / n * HASH_RANGE)))

@@ -91,7 +91,7 @@ def shuffle_split(df: DataFrame, key: str = "row_id", n_splits: int = 5, test_si
                   seed: int = 42) -> DataFrame:
     """One row per repeat with an independent hashed split."""
     cut = int(test_size * HASH_RANGE)
-    rep = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).cast("bigint"))
+    rep = df.withColumn("repeat", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_splits - 1).cast("bigint"))))
     tag = F.concat(F.col("repeat"), F.lit(":"), F.col(ident(key)))
     return rep.withColumn("split", F.when(hash32(tag, seed) < F.lit(cut), "test").otherwise("train"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, functions as F
@@ -141,11 +142,12 @@ def power_lambdas(df: DataFrame, columns: list[str], method: str = "yeo-johnson"
     power = S.yeo_johnson_sql if yj else S.box_cox_sql
     lo, hi = {c: -5.0 for c in columns}, {c: 5.0 for c in columns}
     best: dict[str, tuple[float, float]] = {}
+    base = df.select(*[dbl(c).alias(c) for c in columns]).persist()
     for _ in range(rounds):
         grids = {c: np.linspace(lo[c], hi[c], points) for c in columns}
         cells = F.array(*[F.struct(F.lit(k).alias("k"), dbl(c).alias("x")) for k, c in enumerate(columns)])
         lams = F.array(*[F.array(*[F.lit(float(v)) for v in grids[c]]) for c in columns])
-        rows = (df.select(F.explode(cells).alias("e")).select("e.k", "e.x").filter("x IS NOT NULL")
+        rows = (base.select(F.explode(cells).alias("e")).select("e.k", "e.x").filter("x IS NOT NULL")
                 .select("k", "x", F.explode(F.get(lams, F.col("k"))).alias("l")))
         t = F.expr(_power_by_column(yj))
         got = rows.groupBy("k", "l").agg(F.var_pop(t).alias("v"), F.sum(F.expr(jac.format("x"))).alias("j"),
@@ -159,6 +161,7 @@ def power_lambdas(df: DataFrame, columns: list[str], method: str = "yeo-johnson"
             best[c] = max(cand)
             step = (hi[c] - lo[c]) / (points - 1)
             lo[c], hi[c] = best[c][1] - step, best[c][1] + step
+    base.unpersist()
     return [{"column": c, "lambda": float(best[c][1]), "log_likelihood": float(best[c][0])} for c in columns]
 
 
@@ -182,8 +185,6 @@ def power_table(df: DataFrame, columns: list[str], method: str = "yeo-johnson")
 def quantile_transform(df: DataFrame, column: str, out: str, output: str = "uniform",
                        n_quantiles: int = 1000) -> DataFrame:
     """Map a column to its interpolated quantile (or the normal score of it)."""
-    import pandas as pd
-
     n = df.select(F.count(dbl(column))).first()[0]
     refs = np.linspace(0, 1, min(n_quantiles, n))
     quants = np.array(exact_quantiles(df, {"x": dbl(column)}, list(refs), counts={"x": n})["x"])

@@ -162,5 +162,5 @@ def with_fixtures(names: tuple[str, ...], body: str, extra: str = "") -> str:
         for m in (*NEEDS.get(n, ()), n):
             if m not in order:
                 order.append(m)
-    ctes = ", ".join(f"{n} AS ({SQL[n]})" for n in order)
-    return f"WITH {ctes}{', ' + extra if extra else ''} {body}"
+    ctes = [f"{n} AS ({SQL[n]})" for n in order] + ([extra] if extra else [])
+    return f"WITH {', '.join(ctes)} {body}"

@@ -235,7 +235,7 @@ def scatter_sample(df: DataFrame, group: str, columns: list[str], budget: int =
         raise ValueError("a scatter needs one to three columns")
     counts = df.groupBy(ident(group)).agg(F.count(F.lit(1)).alias("group_size"))
     n = counts.agg(F.sum("group_size")).first()[0]
-    keep = hash32(F.col(ident(key)), seed) < F.lit(int(min(1.0, budget / n) * HASH_RANGE))
+    keep = hash32(F.col(ident(key)), f"scatter{seed}") < F.lit(int(min(1.0, budget / n) * HASH_RANGE))
     picked = df if n <= budget else df.filter(keep)
     return picked.join(counts, group).select(F.col(ident(group)).alias("group"), "group_size",
                                              *map(ident, columns)).orderBy(F.col("group_size").desc(), "group")
