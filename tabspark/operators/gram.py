@@ -14,12 +14,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tabspark.functions.scalar import dbl, dot, ident
+from tabspark.functions.scalar import dbl, dot, ident, num
 from tabspark.functions.special import f_upper, pearson_p, t_two_sided
 from tabspark.operators.small import small_table
 
 EXPRESSION_COLUMNS = 16
-PILOT_ROWS = 1_000
+PILOT_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -65,19 +65,22 @@ class Gram:
 
 def _pilot_shift(df: DataFrame, columns: list[str]) -> np.ndarray:
     """A point near the data: the mean of a few rows, only for numerical safety."""
-    row = df.limit(PILOT_ROWS).agg(*[F.avg(dbl(c)) for c in columns]).first()
-    return np.array([float(v) if v is not None and math.isfinite(v) else 0.0 for v in row])
+    rows = df.selectExpr(*[f"CAST({ident(c)} AS DOUBLE) AS x{i}" for i, c in enumerate(columns)]).take(PILOT_ROWS)
+    seen = np.array([[math.nan if v is None else v for v in r] for r in rows], dtype=float).reshape(-1, len(columns))
+    seen = np.where(np.isfinite(seen), seen, math.nan)
+    known = ~np.isnan(seen)
+    return np.where(known, seen, 0.0).sum(0) / np.maximum(known.sum(0), 1)
 
 
 def grams_by(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
     """One Gram per value of ``by`` (few values, such as folds); key None without it."""
     shift = _pilot_shift(df, columns)
     p = len(columns)
-    group = [F.col(ident(by)).alias("g")] if by else [F.lit(0).alias("g")]
-    x = df.select(*group, *[(dbl(c) - F.lit(float(s))).alias(f"x{i}")
-                            for i, (c, s) in enumerate(zip(columns, shift))]).dropna(
-        subset=[f"x{i}" for i in range(p)])
+    group = f"{ident(by)} AS g" if by else "0 AS g"
+    cells = [f"CAST({ident(c)} AS DOUBLE) - {num(s)}" for c, s in zip(columns, shift)]
     if p <= EXPRESSION_COLUMNS:
+        x = df.selectExpr(group, *[f"{e} AS x{i}" for i, e in enumerate(cells)]).dropna(
+            subset=[f"x{i}" for i in range(p)])
         aggs = [F.count(F.lit(1)).cast("double").alias("n")]
         aggs += [F.sum(f"x{i}").alias(f"a{i}") for i in range(p)]
         aggs += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"b{i}_{j}")
@@ -93,6 +96,8 @@ def grams_by(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
                     cells.append((row[0], i, j, row[pos]))
                     pos += 1
     else:
+        x = df.selectExpr(group, f"array({', '.join(cells)}) AS x").filter(
+            "NOT exists(x, v -> v IS NULL)")
         cells = [tuple(r) for r in _partial_products(x, p).groupBy("g", "i", "j")
                  .agg(F.sum("v").alias("v")).collect()]
     out = {}
@@ -119,7 +124,7 @@ def _partial_products(x: DataFrame, p: int) -> DataFrame:
         acc: dict = {}
         for pdf in batches:
             for g, part in pdf.groupby("g", sort=False):
-                m = part.drop(columns="g").to_numpy(dtype=float)
+                m = np.stack(part["x"].to_numpy())
                 n, a, b = acc.get(g, (0.0, np.zeros(p), np.zeros((p, p))))
                 acc[g] = (n + len(m), a + m.sum(0), b + m.T @ m)
         for g, (n, a, b) in acc.items():
@@ -152,11 +157,9 @@ def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _corr_rows(df, columns):
-    has_null = df.agg(F.bool_or(F.greatest(*[dbl(c).isNull() for c in columns],
-                                           F.lit(False)))).first()[0]
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    if not has_null:
-        g = gram(df, columns)
+    g = gram(df, columns)
+    if g.n == df.count():
         c = g.corr()
         return [(columns[i], columns[j], float(c[i, j]), g.n) for i, j in pairs]
     out = []

@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from tabspark.functions.scalar import dbl, ident
+from tabspark.functions.scalar import dbl, dot, ident
 from tabspark.operators import gram as G
 from tabspark.operators import reduce as R
 from tabspark.operators.profile import class_weights
@@ -166,40 +166,47 @@ def fit_logistic(df, features, label, params):
 
 # --- full-batch gradient models --------------------------------------------------------------
 
-def _hinge(m):
-    return np.maximum(0, 1 - m), np.where(m < 1, -1.0, 0.0)
-
-
-# Loss families on the margin y*f (classification) or the residual f-y (regression):
-# value and derivative, plus a curvature bound (None: not smooth).
+# Losses on the margin y*f (classification) or the residual f-y (regression):
+# value, derivative and a curvature bound (None: not smooth).
 MARGIN_LOSSES = {
-    "hinge": (_hinge, None),
-    "perceptron": (lambda m: (np.maximum(0, -m), np.where(m < 0, -1.0, 0.0)), None),
-    "squared_hinge": (lambda m: (np.maximum(0, 1 - m) ** 2, -2 * np.maximum(0, 1 - m)), 2.0),
-    "log_loss": (lambda m: (np.logaddexp(0, -m), -1 / (1 + np.exp(np.clip(m, -500, 500)))), 0.25),
-    "modified_huber": (lambda m: (np.where(m >= -1, np.maximum(0, 1 - m) ** 2, -4 * m),
-                                  np.where(m >= -1, -2 * np.maximum(0, 1 - m), -4.0)), 2.0),
-    "squared_error": (lambda m: ((1 - m) ** 2 / 2, m - 1), 1.0),
+    "hinge": (lambda m: F.greatest(F.lit(0.0), 1 - m), lambda m: F.when(m < 1, -1.0).otherwise(0.0), None),
+    "perceptron": (lambda m: F.greatest(F.lit(0.0), -m), lambda m: F.when(m <= 0, -1.0).otherwise(0.0), None),
+    "squared_hinge": (lambda m: F.when(m < 1, (1 - m) * (1 - m)).otherwise(0.0),
+                      lambda m: F.when(m < 1, -2.0 * (1 - m)).otherwise(0.0), 2.0),
+    "log_loss": (lambda m: F.when(m > 0, F.log1p(F.exp(-m))).otherwise(F.log1p(F.exp(m)) - m),
+                 lambda m: F.when(m > 0, -F.exp(-m) / (1 + F.exp(-m))).otherwise(-1.0 / (1 + F.exp(m))), 0.25),
+    "modified_huber": (lambda m: F.when(m < -1, -4.0 * m).when(m < 1, (1 - m) * (1 - m)).otherwise(0.0),
+                       lambda m: F.when(m < -1, -4.0).when(m < 1, -2.0 * (1 - m)).otherwise(0.0), 2.0),
+    "squared_error": (lambda m: (1 - m) * (1 - m) / 2, lambda m: m - 1, 1.0),
 }
+
+
+def _outside(r, e):
+    return F.greatest(F.lit(0.0), F.abs(r) - e)
+
+
 RESIDUAL_LOSSES = {
-    "squared_error": (lambda r, e: (r * r / 2, r), 1.0),
-    "huber": (lambda r, e: (np.where(np.abs(r) <= e, r * r / 2, e * np.abs(r) - e * e / 2), np.clip(r, -e, e)), 1.0),
-    "epsilon_insensitive": (lambda r, e: (np.maximum(0, np.abs(r) - e), np.sign(r) * (np.abs(r) > e)), None),
-    "squared_epsilon_insensitive": (lambda r, e: (np.maximum(0, np.abs(r) - e) ** 2,
-                                                  2 * np.sign(r) * np.maximum(0, np.abs(r) - e)), 2.0),
+    "squared_error": (lambda r, e: r * r / 2, lambda r, e: r, 1.0),
+    "huber": (lambda r, e: F.when(F.abs(r) <= e, r * r / 2).otherwise(e * F.abs(r) - e * e / 2),
+              lambda r, e: F.greatest(F.lit(-e), F.least(F.lit(e), r)), 1.0),
+    "epsilon_insensitive": (_outside, lambda r, e: F.when(F.abs(r) > e, F.signum(r)).otherwise(0.0), None),
+    "squared_epsilon_insensitive": (lambda r, e: _outside(r, e) * _outside(r, e),
+                                    lambda r, e: 2.0 * F.signum(r) * _outside(r, e), 2.0),
 }
 # Other spellings of the same losses.
 LOSS_NAMES = {"log": "log_loss", "squared_loss": "squared_error"}
 
 
 def linear_gd(df, features, label, params, classification: bool):
-    """Proximal full-batch gradient fit of mean loss + penalty on standardised columns."""
+    """Proximal full-batch gradient fit of mean loss + penalty on standardised columns.
+
+    An iteration is one aggregate of the loss and its p partial derivatives.
+    """
     loss = LOSS_NAMES.get(params.get("loss"), params.get("loss")) or ("hinge" if classification else "squared_error")
     table = MARGIN_LOSSES if classification else RESIDUAL_LOSSES
     if loss not in table:
         raise ValueError(f"unknown loss {loss!r}")
-    fn, curvature = table[loss]
-    eps = float(params.get("epsilon", 0.1))
+    value_of, slope_of, curvature = table[loss]
     penalty, mix = params.get("penalty", "l2"), float(params.get("l1_ratio", 0.15))
     l1 = {"l1": 1.0, "l2": 0.0, None: 0.0}.get(penalty, mix)
     iters = int(params.get("iterations", 60))
@@ -209,40 +216,34 @@ def linear_gd(df, features, label, params, classification: bool):
     p = len(features)
     mean, std = g.mean[:p], np.sqrt(np.clip(np.diag(g.scatter)[:p] / g.n, 0, None))
     std[std == 0] = 1.0
-    if "C" in params:
-        alpha = 1.0 / (float(params["C"]) * g.n)
-    else:
-        alpha = float(params.get("alpha", 1e-4))
+    alpha = 1.0 / (float(params["C"]) * g.n) if "C" in params else float(params.get("alpha", 1e-4))
     if penalty is None:
         alpha = 0.0
     iy = g.names.index(label)
     ym, ys = (0.0, 1.0) if classification else (g.mean[iy], math.sqrt(max(g.scatter[iy, iy] / g.n, 1e-300)))
-    corr = g.scatter[:p, :p] / g.n / np.outer(std, std)
-    lmax = float(np.linalg.eigvalsh(corr).max()) + 1.0
+    eps = float(params.get("epsilon", 0.1)) / ys
+    lmax = float(np.linalg.eigvalsh(g.scatter[:p, :p] / g.n / np.outer(std, std)).max()) + 1.0
     y = (F.when(dbl(label) > 0, 1.0).otherwise(-1.0) if classification
          else (dbl(label) - F.lit(float(ym))) / F.lit(float(ys)))
-    x = F.array(*[(dbl(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(features, mean, std)])
-    data = df.select(x.alias("x"), y.alias("y"), (F.col(w) if w else F.lit(1.0)).alias("w")).persist()
+    names = [f"x{i}" for i in range(p)]
+    data = df.select(*[((dbl(c) - F.lit(float(m))) / F.lit(float(s))).alias(n)
+                       for c, m, s, n in zip(features, mean, std, names)],
+                     y.alias("y"), (F.col(w) if w else F.lit(1.0)).alias("w")).dropna().persist()
     icpt = 1.0 if params.get("fit_intercept", True) else 0.0
-    eps_scaled = eps / ys if not classification else eps
-    schema = ", ".join(f"g{i} double" for i in range(p + 3))
 
     def gradient(theta):
-        def part(batches):
-            acc = np.zeros(p + 3)
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                a = np.stack(pdf["x"].to_numpy())
-                yy, ww = pdf["y"].to_numpy(), pdf["w"].to_numpy()
-                f = a @ theta[:p] + theta[p]
-                value, d = fn(yy * f) if classification else fn(f - yy, eps_scaled)
-                d = d * ww * (yy if classification else 1.0)
-                acc += np.concatenate([d @ a, [d.sum() * icpt, (value * ww).sum(), ww.sum()]])
-            yield pd.DataFrame([acc], columns=[f"g{i}" for i in range(p + 3)])
-
-        s = np.array(data.mapInPandas(part, schema).agg(*[F.sum(f"g{i}") for i in range(p + 3)]).first(), dtype=float)
-        return s[:p + 1] / s[p + 2], s[p + 1] / s[p + 2]
+        f = dot([F.col(n) for n in names], theta[:p]) + F.lit(float(theta[p]))
+        m = F.col("m")
+        if classification:
+            value, slope = value_of(m), slope_of(m) * F.col("y")
+            step = data.withColumn("m", F.col("y") * f)
+        else:
+            value, slope = value_of(m, eps), slope_of(m, eps)
+            step = data.withColumn("m", f - F.col("y"))
+        step = step.withColumns({"v": value * F.col("w"), "d": slope * F.col("w")})
+        row = step.agg(F.sum("w"), F.sum("v"), F.sum("d"), *[F.sum(F.col("d") * F.col(n)) for n in names]).first()
+        s = np.array(row, dtype=float)
+        return np.append(s[3:], s[2] * icpt) / s[0], s[1] / s[0]
 
     theta = np.zeros(p + 1)
     point, t, best = theta.copy(), 1.0, (math.inf, theta)
@@ -266,7 +267,8 @@ def linear_gd(df, features, label, params, classification: bool):
         if done:
             break
     data.unpersist()
-    theta = theta if curvature else best[1]
+    # A zero vector has zero perceptron loss, so the last iterate counts there.
+    theta = theta if curvature or loss == "perceptron" else best[1]
     coef = theta[:p] / std * ys
     intercept = (theta[p] * ys + ym) - coef @ mean
     fit = G.LinearFit(tuple(features), coef, float(intercept), 0.0, 0.0, g.n, np.zeros(p), 0.0)
@@ -305,7 +307,9 @@ def _kernelised(inner, n_components=100, key="row_id", **defaults):
             return R.nystroem_apply(d.withColumn("__x", arr), "__x", keep, marks, norm, kernel, gm, degree, 1.0, "__k_")
 
         names = [f"__k_{i}" for i in range(len(marks))]
-        model = inner(lift(df, df.columns), names, label, p)
+        lifted = lift(df, df.columns).persist()
+        model = inner(lifted, names, label, p)
+        lifted.unpersist()
         return Fitted(lambda d: model.transform(lift(d, d.columns)).drop(*names), model.info)
     return fit
 

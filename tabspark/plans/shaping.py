@@ -142,7 +142,7 @@ def preprocess_v2(spark, d):
 
 @query("prepare_train")
 def prepare_train(spark, d):
-    df = fx.cust_feat(spark, d).withColumn("target", F.when(F.col("n_orders") > 10, "HIGH").otherwise("LOW"))
+    df = fx.cust_feat(spark, d).withColumn("target", F.when(F.col("n_orders") > 10, "HIGH").otherwise("LOW")).persist()
     out, _, _ = preprocess.prepare_train(df, "target", remove=["n_orders"], target_mapping={"LOW": 0, "HIGH": 1},
                                          stratify=True)
     return tidy(out)

@@ -73,8 +73,11 @@ EMBED_COLUMNS = [f"e{i}" for i in range(EMBED_DIM)]
 
 
 def embed_wide(spark: SparkSession, d: str) -> DataFrame:
-    return embeddings(spark, d).select(
-        "row_id", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(EMBED_COLUMNS)])
+    # Elements are cast one by one: casting the whole array first would be
+    # repeated for every element once the projections are merged.
+    return read_table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("row_id"), "label",
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(EMBED_COLUMNS)])
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
