@@ -34,6 +34,15 @@ def category_table(df: DataFrame, columns: list[str], rows_per_block: int | None
     return out
 
 
+def _native(text: str, dtype: str):
+    """A collected category back in its own type, so that it sorts natively."""
+    if dtype == "string":
+        return text
+    if dtype == "boolean":
+        return text == "true"
+    return float(text) if dtype in ("double", "float") or dtype.startswith("decimal") else int(text)
+
+
 class OneHot(Estimator):
     """Sorted categories, first one dropped, unknown values become all zeros."""
 
@@ -43,14 +52,21 @@ class OneHot(Estimator):
         self.max_categories = max_categories
 
     def _fit(self, df: DataFrame) -> "OneHotModel":
-        cats = {}
-        for c in self.columns:
-            seen = (df.select(F.col(ident(c)).alias("v")).filter(F.col("v").isNotNull())
-                    .distinct().limit(self.max_categories + 1).collect())
-            if len(seen) > self.max_categories:
-                raise ValueError(f"{c} has over {self.max_categories} categories: use encode_long")
-            cats[c] = sorted(r["v"] for r in seen)
-        return OneHotModel(cats)
+        """One pass for all columns; the collected values are bounded by the limit."""
+        types = dict(df.dtypes)
+        cells = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(ident(c)).cast("string").alias("v"))
+            for i, c in enumerate(self.columns)])).alias("e")).select("e.*").filter("v IS NOT NULL")
+        most = self.max_categories * len(self.columns)
+        seen = cells.distinct().limit(most + 1).collect()
+        cats: dict[str, list] = {c: [] for c in self.columns}
+        for r in seen:
+            c = self.columns[r["i"]]
+            cats[c].append(_native(r["v"], types[c]))
+        wide = [c for c, vs in cats.items() if len(vs) > self.max_categories]
+        if wide or len(seen) > most:
+            raise ValueError(f"over {self.max_categories} categories in {wide or self.columns}: use encode_long")
+        return OneHotModel({c: sorted(vs) for c, vs in cats.items()})
 
 
 class OneHotModel(Model):

@@ -101,7 +101,7 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
                        for f, b in zip(first, np.maximum(blocks, 1))])
     t = t.withColumn("c", F.get(lookup, F.col("cell"))).withColumn(
         "block", (F.col("c.f") + F.pmod(F.xxhash64("tid"), F.col("c.b"))).cast("int"))
-    q = q.select("qid", "qx", F.explode(candidates("qx")).alias("block"))
+    q = q.select("qid", "qx", F.explode(candidates("qx")).alias("block")).persist()
     # Chunks bound the queries of one task; a block is copied once per chunk.
     load = q.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("chunks"))
     q = q.join(load, "block").withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("chunks")).cast("int"))

@@ -44,7 +44,16 @@ def block_column(order: Column, bounds: list) -> Column:
     def search(x: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(edges, x.to_numpy(), side="right").astype("int32"))
 
-    return search(order)
+    # A missing order value sorts first, so it belongs to the first block.
+    return F.when(order.isNull(), F.lit(0)).otherwise(search(order))
+
+
+def _with_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with its block's carry-in; a missing key is a key of its own."""
+    names = [*keys, BLOCK]
+    right = carry.withColumnsRenamed({k: f"__r_{k}" for k in names})
+    cond = [F.col(ident(k)).eqNullSafe(F.col(ident(f"__r_{k}"))) for k in names]
+    return df.join(right, cond, "inner").drop(*[f"__r_{k}" for k in names])
 
 
 def _block_window(keys: list[str], order: list[Column], descending: bool):
@@ -85,7 +94,7 @@ def running_sum(
             F.coalesce(F.sum(f"__t{i}").over(_carry_window(keys, descending)), F.lit(0)).alias(f"__c{i}")
             for i in range(len(inner))])
     )
-    out = df.join(carry, keys + [BLOCK])
+    out = _with_carry(df, carry, keys)
     return out.withColumns({
         o: F.sum(v).over(w) + F.col(f"__c{i}") for i, (o, v) in enumerate(zip(sums, inner))
     }).drop(BLOCK, *inner, *[f"__c{i}" for i in range(len(inner))])
@@ -129,5 +138,5 @@ def filled(
         .withColumn("__carry", F.last("__last", ignorenulls=True).over(_carry_window(keys, backward)))
         .drop("__last")
     )
-    out = df.join(carry, keys + [BLOCK])
+    out = _with_carry(df, carry, keys)
     return out.withColumn(column, F.coalesce(local, F.col("__carry"))).drop(BLOCK, "__carry")

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.operators.ordered import running_sum
 
-LIMIT = 1_000_000
+LIMIT = 50_000
 ACCURACY = 10_000
 MAX_BRACKETS = 32
+WHOLE = [(-math.inf, math.inf)]
 
 
 def exact_quantiles(
@@ -54,44 +55,12 @@ def exact_quantiles(
 
 def _large(wide, idx, names, n, probs, rows_per_block):
     ranks = {i: sorted({r for p in probs for r in _pair(p, n[i])}) for i in idx}
-    brackets = _brackets(wide, idx, n, probs) if len(probs) <= MAX_BRACKETS else None
-    entries = []
-    for i in idx:
-        v = F.col(f"q{i}")
-        keep = v.isNotNull()
-        if brackets:
-            inside = [(v >= F.lit(a)) & (v <= F.lit(b)) for a, b in brackets[i]]
-            hit = inside[0]
-            for cond in inside[1:]:
-                hit = hit | cond
-            keep = keep & hit
-        entries.append(F.when(keep, F.struct(F.lit(i).alias("k"), v.alias("v"))))
-    counts = (
-        wide.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy(F.col("e.k").alias("k"), F.col("e.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    base = _values_below(wide, brackets) if brackets else None
-    counts = running_sum(counts, {"upto": F.col("m")}, "v", ["k"], rows_per_block=rows_per_block)
-    # Ranks inside a bracket are offset by the rows that fall before it and
-    # outside every earlier bracket.
-    shift = F.lit(0)
-    if base:
-        shift = F.coalesce(*[
-            F.when((F.col("k") == i) & (F.col("v") >= F.lit(a)) & (F.col("v") <= F.lit(b)), F.lit(s))
-            for i, spans in base.items() for a, b, s in spans], F.lit(0))
-    counts = counts.withColumn("hi", F.col("upto") + shift).withColumn("lo", F.col("hi") - F.col("m"))
-    wanted = None
-    for i in idx:
-        for r in ranks[i]:
-            cond = (F.col("k") == i) & (F.col("lo") <= r) & (F.col("hi") > r)
-            wanted = cond if wanted is None else wanted | cond
-    found = counts.filter(wanted).select("k", "v", "lo", "hi").collect()
-    value = {}
-    for r in found:
-        for rank in ranks[r["k"]]:
-            if r["lo"] <= rank < r["hi"]:
-                value[r["k"], rank] = r["v"]
+    spans = _brackets(wide, idx, probs) if len(probs) <= MAX_BRACKETS else {i: WHOLE for i in idx}
+    value = _order_statistics(wide, spans, ranks, rows_per_block)
+    # A sketch that missed a rank is rare; such columns are read without brackets.
+    missed = [i for i in idx if any((i, r) not in value for r in ranks[i])]
+    if missed:
+        value.update(_order_statistics(wide, {i: WHOLE for i in missed}, ranks, rows_per_block))
     out = {}
     for i in idx:
         res = []
@@ -103,59 +72,59 @@ def _large(wide, idx, names, n, probs, rows_per_block):
     return out
 
 
+def _order_statistics(wide, spans, ranks, rows_per_block) -> dict[tuple[int, int], float]:
+    """{(column, rank): value} for the ranks that fall inside a span.
+
+    Values inside a span are counted one by one; everything between two spans is
+    a single row, so only few rows leave the map side.
+    """
+    cells = []
+    for i, parts in spans.items():
+        v = F.col(f"q{i}")
+        region, low = F, F
+        for j, (a, b) in enumerate(parts):
+            region = region.when(v < F.lit(a), 2 * j).when(v <= F.lit(b), 2 * j + 1)
+            before = parts[j - 1][1] if j else -math.inf
+            low = low.when(v < F.lit(a), F.lit(before)).when(v <= F.lit(b), v)
+        cells.append(F.struct(F.lit(i).alias("k"), F.when(v.isNotNull(), region.otherwise(2 * len(parts))).alias("r"),
+                              low.otherwise(F.lit(parts[-1][1])).alias("v")))
+    counts = (wide.select(F.explode(F.array(*cells)).alias("e")).select("e.*").filter("r IS NOT NULL")
+              .groupBy("k", "r", "v").agg(F.count(F.lit(1)).alias("m"))).persist()
+    cum = running_sum(counts, {"hi": F.col("m")}, "v", ["k"], rows_per_block=rows_per_block, tie_break=["r"])
+    lists = F.create_map(*[x for i in spans for x in (F.lit(i), F.array(*[F.lit(int(r)) for r in ranks[i]]))])
+    wanted = F.exists(F.element_at(lists, F.col("k")),
+                      lambda r: (r >= F.col("hi") - F.col("m")) & (r < F.col("hi")))
+    found = cum.filter((F.col("r") % 2 == 1) & wanted).collect()
+    counts.unpersist()
+    return {(r["k"], rank): r["v"] for r in found for rank in ranks[r["k"]] if r["hi"] - r["m"] <= rank < r["hi"]}
+
+
 def _pair(p: float, n: int) -> tuple[int, int]:
     pos = p * (n - 1)
     return math.floor(pos), math.ceil(pos)
 
 
-def _brackets(wide, idx, n, probs):
-    """Disjoint value ranges per column that hold every wanted rank."""
+def _brackets(wide, idx, probs):
+    """Disjoint value ranges per column that should hold every wanted rank."""
     eps = 3.0 / ACCURACY
-    span = [q for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))]
+    points = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-eps, eps)})
     row = wide.agg(*[
-        F.struct(F.percentile_approx(f"q{i}", span, ACCURACY).alias("q"),
+        F.struct(F.percentile_approx(f"q{i}", points, ACCURACY).alias("q"),
                  F.min(f"q{i}").alias("lo"), F.max(f"q{i}").alias("hi")).alias(f"q{i}")
         for i in idx]).first()
     spans = {}
     for k, i in enumerate(idx):
-        s = row[k]
-        spans[i] = [[s["lo"] if p - eps <= 0 else s["q"][2 * j],
-                     s["hi"] if p + eps >= 1 else s["q"][2 * j + 1]]
-                    for j, p in enumerate(probs)]
-    check = wide.agg(*[
-        F.struct(F.count_if(F.col(f"q{i}") < F.lit(a)), F.count_if(F.col(f"q{i}") <= F.lit(b))
-                 ).alias(f"c{i}_{j}")
-        for i in idx for j, (a, b) in enumerate(spans[i])]).first()
-    pos = 0
-    for i in idx:
-        for j, p in enumerate(probs):
-            below, upto = check[pos]
-            pos += 1
-            lo, hi = _pair(p, n[i])
-            if not (below <= lo and hi < upto):
-                spans[i][j] = [float("-inf"), float("inf")]
-    return {i: _merge(spans[i]) for i in idx}
+        at = dict(zip(points, row[k]["q"]))
+        at[0.0], at[1.0] = row[k]["lo"], row[k]["hi"]
+        spans[i] = _merge([(at[max(0.0, p - eps)], at[min(1.0, p + eps)]) for p in probs])
+    return spans
 
 
 def _merge(spans):
     out = []
-    for a, b in sorted(map(tuple, spans)):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [tuple(s) for s in out]
-
-
-def _values_below(wide, brackets):
-    flat = [(i, a, b) for i, spans in brackets.items() for a, b in spans]
-    row = wide.agg(*[F.struct(F.count_if(F.col(f"q{i}") < F.lit(a)),
-                              F.count_if((F.col(f"q{i}") >= F.lit(a)) & (F.col(f"q{i}") <= F.lit(b)))
-                              ).alias(f"b{j}") for j, (i, a, b) in enumerate(flat)]).first()
-    out: dict[int, list] = {}
-    seen: dict[int, int] = {}
-    for j, (i, a, b) in enumerate(flat):
-        below, inside = row[j]
-        out.setdefault(i, []).append((a, b, below - seen.get(i, 0)))
-        seen[i] = seen.get(i, 0) + inside
-    return out

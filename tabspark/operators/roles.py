@@ -35,16 +35,8 @@ def _kind(t: T.DataType) -> str:
     raise TypeError(f"no role for type {t.simpleString()}")
 
 
-def role_rows(
-    df: DataFrame,
-    columns: list[str] | None = None,
-    dummy_is_categorical: bool = True,
-    consecutive_is_categorical: bool = True,
-    low_unique_is_categorical: bool = True,
-    max_unique_ratio: float = 0.001,
-    exact: bool = True,
-) -> list[tuple[str, str, str, int | None]]:
-    """(column, role, reason, n_distinct) per column, from one aggregate over the table.
+def role_statistics(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> tuple[dict, dict]:
+    """(column kinds, statistics) from one aggregate over the table.
 
     Distinct counts are needed, and computed, for integral columns only.
     ``exact=False`` counts them with a sketch instead of a shuffle of the values.
@@ -62,7 +54,18 @@ def role_rows(
                      F.count_if((col != 0) & (col != 1)).alias(f"off{i}")]
         elif kind == "bool":
             aggs += [F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
-    s = df.agg(*aggs).first().asDict()
+    return kinds, df.agg(*aggs).first().asDict()
+
+
+def apply_rules(
+    kinds: dict,
+    s: dict,
+    dummy_is_categorical: bool = True,
+    consecutive_is_categorical: bool = True,
+    low_unique_is_categorical: bool = True,
+    max_unique_ratio: float = 0.001,
+) -> list[tuple[str, str, str, int | None]]:
+    """(column, role, reason, n_distinct) per column."""
     out = []
     for i, (c, kind) in enumerate(kinds.items()):
         if kind == "string":
@@ -88,6 +91,10 @@ def role_rows(
     return out
 
 
+def role_rows(df: DataFrame, columns: list[str] | None = None, exact: bool = True, **rules):
+    return apply_rules(*role_statistics(df, columns, exact), **rules)
+
+
 def column_roles(df: DataFrame, **flags) -> DataFrame:
     return small_table(df.sparkSession, role_rows(df, **flags), ROLE_SCHEMA)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabspark.functions.scalar import dbl, format_number
 from tabspark.operators import encode, fill, profile, project, roles, select
 from tabspark.operators.outliers import outlier_mask
+from tabspark.operators.small import small_table
 from tabspark.plans.registry import query, tidy
 from tabspark.sources import fixtures as fx, io
 
@@ -180,13 +181,12 @@ def _roles_sql() -> str:
 
 @query("column_roles", _roles_sql(), using=("cust_feat", "line_num"))
 def column_roles(spark, d):
-    out = None
+    rows = []
     for table, df in (("cust_feat", fx.cust_feat(spark, d).drop("row_id")), ("line_num", fx.line_num(spark, d))):
+        stats = roles.role_statistics(df)
         for variant, flags in ROLE_VARIANTS.items():
-            part = roles.column_roles(df, **flags).select(
-                F.lit(table).alias("table"), F.lit(variant).alias("variant"), "*")
-            out = part if out is None else out.unionByName(part)
-    return out
+            rows += [(table, variant, *r) for r in roles.apply_rules(*stats, **flags)]
+    return small_table(spark, rows, "table string, variant string, " + roles.ROLE_SCHEMA)
 
 
 @query("likely_categorical", """SELECT 'l_linenumber' AS "column", count(DISTINCT l_linenumber)::BIGINT AS n_distinct,
