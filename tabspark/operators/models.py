@@ -66,12 +66,15 @@ def balanced(df: DataFrame, label: str, params: dict) -> tuple[DataFrame, str |
 
 # --- moment-based linear models ---------------------------------------------------------
 
-def fit_least_squares(df, features, label, params):
-    g = G.gram(df, [*features, label])
+def from_moments(g, features, label, params) -> Fitted:
     fit = G.least_squares(g, features, label, float(params.get("alpha", 0.0)), params.get("fit_intercept", True))
     return Fitted(lambda d: d.withColumn("prediction", fit.predict()), {"fit": fit})
 
 
+def fit_least_squares(df, features, label, params):
+    return from_moments(G.gram(df, [*features, label]), features, label, params)
+
+
 def fit_ridge(df, features, label, params):
     return fit_least_squares(df, features, label, {"alpha": 1.0, **params})
 
@@ -197,10 +200,67 @@ RESIDUAL_LOSSES = {
 LOSS_NAMES = {"log": "log_loss", "squared_loss": "squared_error"}
 
 
+def _lbfgs(evaluate, theta, passes: int, first_step: float, tol: float = 1e-7, memory: int = 8):
+    """Limited-memory quasi-Newton descent; every evaluation is one pass over the table."""
+    value, grad = evaluate(theta)
+    used, pairs = 1, []
+    while used < passes:
+        d, weights = grad.copy(), []
+        for s, y in reversed(pairs):
+            a = (s @ d) / (s @ y)
+            weights.append(a)
+            d = d - a * y
+        d = d * ((pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else first_step)
+        for (s, y), a in zip(pairs, reversed(weights)):
+            d = d + s * (a - (y @ d) / (s @ y))
+        step = 1.0
+        while used < passes:
+            new_value, new_grad = evaluate(theta - step * d)
+            used += 1
+            if new_value <= value - 1e-4 * step * (grad @ d):
+                break
+            step /= 4
+        else:
+            return theta
+        s, y = -step * d, new_grad - grad
+        gain = value - new_value
+        theta, value, grad = theta + s, new_value, new_grad
+        if s @ y > 1e-12:
+            pairs = [*pairs, (s, y)][-memory:]
+        if gain <= tol * max(1.0, abs(value)):
+            break
+    return theta
+
+
+def _proximal(evaluate, theta, passes: int, curvature, lmax: float, shrink: float, p: int, last: bool,
+              smooth_alpha: float):
+    """Proximal gradient with momentum, or a decaying subgradient for losses with kinks."""
+    point, t, best = theta.copy(), 1.0, (math.inf, theta)
+    lip = (curvature or 1.0) * lmax + smooth_alpha
+    for k in range(1, passes + 1):
+        base = point if curvature else theta
+        objective, grad = evaluate(base)
+        if objective < best[0]:
+            best = (objective, base.copy())
+        step = 1.0 / lip if curvature else 1.0 / (lip ** 0.5 * math.sqrt(k))
+        new = base - step * grad
+        new[:p] = np.sign(new[:p]) * np.maximum(0, np.abs(new[:p]) - step * shrink)
+        if curvature:
+            t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
+            point = new + (t - 1) / t_next * (new - theta)
+            t = t_next
+        done = np.max(np.abs(new - theta)) < 1e-6
+        theta = new
+        if done:
+            break
+    # A zero vector has zero perceptron loss, so the last iterate counts there.
+    return theta if curvature or last else best[1]
+
+
 def linear_gd(df, features, label, params, classification: bool):
-    """Proximal full-batch gradient fit of mean loss + penalty on standardised columns.
+    """Full-batch fit of mean loss + penalty on standardised columns.
 
-    An iteration is one aggregate of the loss and its p partial derivatives.
+    An evaluation is one aggregate of the loss and its p partial derivatives.
     """
     loss = LOSS_NAMES.get(params.get("loss"), params.get("loss")) or ("hinge" if classification else "squared_error")
     table = MARGIN_LOSSES if classification else RESIDUAL_LOSSES
@@ -245,30 +305,23 @@ def linear_gd(df, features, label, params, classification: bool):
         s = np.array(row, dtype=float)
         return np.append(s[3:], s[2] * icpt) / s[0], s[1] / s[0]
 
-    theta = np.zeros(p + 1)
-    point, t, best = theta.copy(), 1.0, (math.inf, theta)
-    lip = (curvature or 1.0) * lmax + alpha
-    for k in range(1, iters + 1):
-        base = point if curvature else theta
-        grad, value = gradient(base)
-        grad = grad + alpha * (1 - l1) * np.append(base[:p], 0.0)
-        objective = value + alpha * ((1 - l1) / 2 * base[:p] @ base[:p] + l1 * np.abs(base[:p]).sum())
-        if objective < best[0]:
-            best = (objective, base.copy())
-        step = 1.0 / lip if curvature else 1.0 / (lip ** 0.5 * math.sqrt(k))
-        new = base - step * grad
-        new[:p] = np.sign(new[:p]) * np.maximum(0, np.abs(new[:p]) - step * alpha * l1)
-        if curvature:
-            t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
-            point = new + (t - 1) / t_next * (new - theta)
-            t = t_next
-        done = np.max(np.abs(new - theta)) < 1e-7
-        theta = new
-        if done:
-            break
+    def penalised(theta):
+        grad, value = gradient(theta)
+        w2 = theta[:p] @ theta[:p]
+        return (value + alpha * ((1 - l1) / 2 * w2 + l1 * np.abs(theta[:p]).sum()),
+                grad + alpha * (1 - l1) * np.append(theta[:p], 0.0))
+
+    # The moments already hold the least-squares solution: a start near the optimum.
+    sxy = g.scatter[:p, iy] / g.n / std * (2.0 if classification else 1.0 / ys)
+    corr = g.scatter[:p, :p] / g.n / np.outer(std, std)
+    theta = np.append(np.linalg.pinv(corr + alpha * (1 - l1) * np.eye(p)) @ sxy,
+                      (2 * g.mean[iy] - 1) * icpt if classification else 0.0)
+    if curvature and l1 == 0.0:
+        theta = _lbfgs(penalised, theta, iters, 1.0 / (curvature * lmax + alpha))
+    else:
+        theta = _proximal(penalised, theta, iters, curvature, lmax, alpha * l1, p,
+                          last=loss == "perceptron", smooth_alpha=alpha)
     data.unpersist()
-    # A zero vector has zero perceptron loss, so the last iterate counts there.
-    theta = theta if curvature or loss == "perceptron" else best[1]
     coef = theta[:p] / std * ys
     intercept = (theta[p] * ys + ym) - coef @ mean
     fit = G.LinearFit(tuple(features), coef, float(intercept), 0.0, 0.0, g.n, np.zeros(p), 0.0)

@@ -9,12 +9,14 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalar import dbl, ident
-from tabspark.operators import grids
+from tabspark.operators import gram as G, grids
 from tabspark.operators.metrics import CLASSIFICATION, REGRESSION, minimised, regression_by
-from tabspark.operators.models import CLASSIFIERS, REGRESSORS, estimator
+from tabspark.operators.models import CLASSIFIERS, REGRESSORS, estimator, from_moments
 from tabspark.operators.small import small_table
 
 log = logging.getLogger(__name__)
+# Models whose fits follow from moments, with their default parameters.
+MOMENT_MODELS = {"LinearRegression": {}, "Ridge": {"alpha": 1.0}}
 RESULT_SCHEMA = "trial bigint, params string, fold bigint, set string, metric string, value double"
 
 
@@ -53,7 +55,8 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
     """Long results, one row per (trial, fold, set, metric); a failed fit scores NaN.
 
     The folded table is cached once and shared by every fit; trials are Spark
-    jobs submitted from a few driver threads.
+    jobs submitted from a few driver threads.  Moment models take every fold's fit
+    from one pass of per-fold moments.
     """
     task = task_of(model)
     folds = sorted(r[0] for r in df.select(ident(fold)).distinct().collect())
@@ -62,10 +65,12 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
     def run(job):
         t, params, k = job
         try:
-            train = data.filter(F.col(ident(fold)) != k)
-            if mask is not None:
-                train = train.filter(mask)
-            fitted = estimator(model, features, label, params).fit(train)
+            if model in MOMENT_MODELS:
+                rest = total - moments[k] if k in moments else total
+                fitted = from_moments(rest, features, label, {**MOMENT_MODELS[model], **params})
+            else:
+                train = data.filter(F.col(ident(fold)) != k)
+                fitted = estimator(model, features, label, params).fit(train.filter(mask) if mask is not None else train)
             tagged = data.withColumn("__set", F.when(F.col(ident(fold)) == k, "val").otherwise("train"))
             if mask is not None:
                 tagged = tagged.filter((F.col("__set") == "val") | mask)
@@ -76,6 +81,9 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
             scores = [(s, m, math.nan) for s in ("train", "val") for m in names]
         return [(t, str(params), int(k), s, m, float(v)) for s, m, v in scores]
 
+    if model in MOMENT_MODELS:
+        moments = G.grams_by(data.filter(mask) if mask is not None else data, [*features, label], fold)
+        total = G.sum_grams(moments.values())
     jobs = [(t, p, k) for t, p in enumerate(trials) for k in folds]
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
         rows = [r for part in pool.imap(run, jobs) for r in part]

@@ -40,6 +40,11 @@ def difference(df, con, sql: str) -> str | None:
     names = [c[0] for c in rel.description]
     if sorted(names) != cols:
         return f"columns {cols} vs {sorted(names)}"
+    types = {c[0]: str(c[1]) for c in rel.description}
+    spark_types = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+    odd = {c: (t, types[c]) for c, t in df.dtypes if spark_types.get(types[c]) != t}
+    if odd:
+        return f"types differ: {odd}"
     pick = [names.index(c) for c in cols]
     want = [tuple(_norm(r[i]) for i in pick) for r in rel.fetchall()]
     if len(rows) != len(want):
