@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.operators.ordered import running_sum
 
-LIMIT = 50_000
+LIMIT = 250_000
 ACCURACY = 10_000
 MAX_BRACKETS = 32
 WHOLE = [(-math.inf, math.inf)]
