@@ -111,3 +111,9 @@ def test_folds_with_blocks(spark):
     for v in ("a", "b"):
         ids = [i for i, y in rows if y == v]
         assert sum(t1[i] == "test" for i in ids) == -(-len(ids) // 5)
+
+
+def test_missing_keys_survive_the_block_join(spark):
+    df = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "a").alias("k"), (F.col("id") * 1.0).alias("v"))
+    got = running_sum(df, {"s": F.lit(1)}, "id", ["k"], rows_per_block=50)
+    assert got.count() == 400 and got.agg(F.max("s")).first()[0] == 200
