@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
 
 from pyspark.ml import PipelineModel
@@ -16,12 +15,8 @@ log = logging.getLogger(__name__)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
-
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    temporary folder of its own.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tabspark-")
+    """A new folder under the cluster's shared ``spark.checkpoint.dir``; without that setting, under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

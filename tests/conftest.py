@@ -9,11 +9,12 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tabspark-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}").config("spark.sql.session.timeZone", "UTC")
         .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
