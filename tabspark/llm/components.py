@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from tabspark.llm.scratch import cut, drop
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Number of edges and an order-free checksum: equal before and after a round means nothing moved."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """True if every node has one larger-to-smaller edge or only smaller-to-larger ones: nothing is left to contract."""
+    role = edges.select(F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("r"))
+    return role.groupBy("r.n").agg(F.sum("r.up").alias("up"), F.max("r.down").alias("down")).filter("up > 1 or up + down > 1").isEmpty()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -18,7 +19,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Each round contracts larger neighbours to the smallest one (large star), then
     smaller ones (small star); stars double their reach, so rounds grow with the
-    logarithm of a component's diameter. Minima combine before the shuffle, and
+    logarithm of a component's diameter, until stars are all there is. Minima combine before the shuffle, and
     the join back has one row per node on one side, so a hub is a skewed join
     that Spark splits. Every round is a written table. Loops and edges with a
     null end are ignored; an empty table gives an empty result.
@@ -27,8 +28,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     e = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter(
         F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col(src) != F.col(dst))).distinct()
     e = cut(e, "edges")
-    mark = _mark(e)
-    while mark[0]:
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -36,11 +36,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
         after = cut(small.select("s.*").filter("u != v").distinct(), "edges")
-        now = _mark(after)
         drop(spark, e)
         e = after
-        if now == mark:
-            break
-        mark = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

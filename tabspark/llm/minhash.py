@@ -17,10 +17,10 @@ from tabspark.llm.scratch import cut, drop
 SHINGLE, SIMILARITY = 5, 0.8
 #: Coordinates of a signature and rows of a band: a pair at 0.8 shares no band once in 2 * 10**7.
 COORDINATES, ROWS = 128, 4
-#: Members up to which a bucket counts as small; times a crowded bucket is dealt anew by a further band.
-SMALL, DEPTH = 32, 3
-#: Share of equal coordinates below which a pair is not read: six deviations under 0.8.
-LEAST_EQUAL = 0.58
+#: Members of a block, members above which a bucket is crowded, times a crowded bucket is dealt anew by a further band.
+BLOCK, CROWD, DEPTH = 1024, 8192, 2
+#: Share of equal coordinates below which a pair is not read: five deviations under 0.8.
+LEAST_EQUAL = 0.62
 #: Words that one pass over a batch holds.
 WORDS_AT_ONCE = 400_000
 
@@ -193,29 +193,111 @@ def weighted_jaccard(a: Counter, b: Counter) -> float:
     return low / high if high else 0.0
 
 
+def shingle_set(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of (shingle, number of its place): plain sets that are as similar as the weighted ones."""
+    own = np.sort(shingles(hashes))
+    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else own.astype(np.int64)
+    number = np.arange(len(own)) - np.repeat(first, np.diff(np.concatenate((first, [len(own)]))))
+    with np.errstate(over="ignore"):
+        return np.unique(np.where(number > 0, _mix(own + number.astype(np.uint64) * _P), own))
+
+
+def whole_set(text: Column) -> Column:
+    """The :func:`shingle_set` of a whole text, as bytes."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            yield pa.array([shingle_set(word_hashes(t.as_py() or "", known)).tobytes() for t in batch], pa.binary())
+            if len(known) > 500_000:
+                known.clear()
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "binary")(text)
+
+
+def set_similarity(p: np.ndarray, q: np.ndarray) -> float:
+    both = np.sort(np.concatenate((p, q)))
+    equal = int(np.count_nonzero(both[1:] == both[:-1]))
+    return equal / (len(both) - equal) if len(both) else 0.0
+
+
 def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard similarity of the five-word shingles of two whole texts, exactly, on the words themselves."""
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        last: tuple[str | None, Counter] = (None, Counter())  # rows come ordered by one side
-        for x, y in batches:
-            out = []
-            for p, q in zip(x, y):
-                p, q = p.as_py(), q.as_py()
-                if last[0] != q:
-                    last = (q, word_counts(q))
-                out.append(weighted_jaccard(word_counts(p), last[1]))
-            yield pa.array(out, pa.float64())
-
-    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    """Jaccard similarity of two shingle sets given as bytes."""
+    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([set_similarity(np.frombuffer(p.as_py(), np.uint64), np.frombuffer(q.as_py(), np.uint64))
+                         for p, q in zip(x, y)], pa.float64())
+
+    run.__annotations__ = {"x": pa.Array, "y": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "double")(a, b)
 
 
+def links_within(nodes: list[int], sides: list[int], labels: list[int], n: list[int], signs: np.ndarray,
+                 sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links that join the labels of one block, or of two blocks whose members have different sides.
+
+    Every pair of members that is not joined yet is looked at: by size, by the
+    signature, and by the whole sets; a pair already joined by others is not.
+    """
+    index = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    root = np.array([index[x] for x in labels])
+    sizes, side = np.array(n, np.float64), np.array(sides)
+    two, out = len(set(sides)) > 1, []
+    for i in range(len(nodes) - 1):
+        open_ = root[i + 1:] != root[i]
+        open_ &= np.minimum(sizes[i + 1:], sizes[i]) >= least * np.maximum(sizes[i + 1:], sizes[i])
+        if two:
+            open_ &= side[i + 1:] != side[i]
+        rest = np.flatnonzero(open_) + i + 1
+        if len(rest):
+            rest = rest[(signs[rest] == signs[i]).mean(axis=1) >= LEAST_EQUAL]
+        for j in rest:
+            if root[i] != root[j] and set_similarity(sets[i], sets[j]) >= least:
+                out.append((nodes[i], nodes[j]))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def links_in_blocks(members: DataFrame, nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b) links between the labels of each bucket in ``members`` (key, node, label, size).
+
+    A bucket is cut into blocks of about ``BLOCK`` members; each pair of blocks is
+    one unit of work that gives no more links than it has members.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
+        "key", "node", "label", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("node", "label", "own", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"))
+    full = dealt.join(nodes.select("node", "n", "sign"), "node").join(sets.select("node", F.col("own").alias("shingles")), "node")
+    full = full.repartition("unit").sortWithinPartitions("unit", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, rows = None, []
+
+        def done():
+            own = links_within([r["node"] for r in rows], [r["own"] for r in rows], [r["label"] for r in rows], [r["n"] for r in rows],
+                               np.array([np.frombuffer(r["sign"], np.uint8) for r in rows]),
+                               [np.frombuffer(r["shingles"], np.uint64) for r in rows], least)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+                if row["unit"] != unit and rows:
+                    yield done()
+                    rows = []
+                unit = row["unit"]
+                rows.append(row)
+        if rows:
+            yield done()
+
+    return full.mapInArrow(run, "a bigint, b bigint")
+
+
 class _Linker:
     """Checks pairs of nodes and keeps what they are linked to."""
 
-    def __init__(self, nodes: DataFrame, texts: DataFrame, least: float):
-        self.nodes, self.texts, self.least = nodes, texts, least
-        self.edges: DataFrame | None = None
+    def __init__(self, nodes: DataFrame, sets: DataFrame, least: float):
+        self.nodes, self.sets, self.least = nodes, sets, least
         self.labels: DataFrame | None = None  # node, component of linked nodes
 
     def labelled(self, df: DataFrame) -> DataFrame:
@@ -225,19 +307,28 @@ class _Linker:
 
     def check(self, pairs: DataFrame) -> None:
         """Read pairs (a, b) whose signatures are near enough, keep those that are similar, and merge."""
-        sign = self.nodes.select("node", "sign")
-        near = (pairs.join(sign.toDF("a", "sa"), "a").join(sign.toDF("b", "sb"), "b")
-                .filter(_equal_share(F.col("sa"), F.col("sb")) >= LEAST_EQUAL).select("a", "b"))
-        near = cut(near, "near")
-        both = near.join(self.texts.toDF("a", "ta"), "a").join(self.texts.toDF("b", "tb"), "b")
-        found = cut(both.filter(similarity(F.col("ta"), F.col("tb")) >= self.least).select("a", "b"), "linked")
+        sign = self.nodes.select("node", "n", "sign")
+        near = pairs.join(sign.toDF("a", "na", "sa"), "a").join(sign.toDF("b", "nb", "sb"), "b").filter(
+            F.least("na", "nb") >= F.greatest("na", "nb") * self.least)  # sizes alone rule the others out
+        near = cut(near.filter(_equal_share(F.col("sa"), F.col("sb")) >= LEAST_EQUAL).select("a", "b"), "near")
+        both = near.join(self.sets.toDF("a", "ta"), "a").join(self.sets.toDF("b", "tb"), "b")
+        self.merge(both.filter(similarity(F.col("ta"), F.col("tb")) >= self.least).select("a", "b"))
         drop(near.sparkSession, near)
-        if found.isEmpty():
-            return
-        if self.labels is not None:  # merge what is linked already
-            old = self.labels.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = found.unionByName(old)
-        self.labels = cut(connected_components(found, "a", "b").select("node", "component"), "labels")
+
+    def merge(self, found: DataFrame) -> None:
+        """Take in links (a, b). What is linked already takes part as its component, so the work follows the new links."""
+        if self.labels is not None:
+            ends = self.labels.select("node", "component")
+            found = (found.join(ends.toDF("a", "ca"), "a", "left").join(ends.toDF("b", "cb"), "b", "left")
+                     .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        merged = cut(connected_components(found, "a", "b").select("node", "component"), "merged")
+        if self.labels is None:
+            self.labels = merged
+        elif not merged.isEmpty():
+            moved = merged.toDF("component", "to")
+            old = self.labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            new = merged.join(self.labels.select("node"), "node", "left_anti")
+            self.labels = cut(old.unionByName(new), "labels")
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
@@ -256,17 +347,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     Exact copies collapse first, by digest, so a class of copies is one node.
     DartMinHash signatures are cut into bands; texts sharing a band are candidates.
     In every bucket each member is first paired with the smallest one, which links a
-    group of copies by a star and not by all its pairs. Of buckets that then still
-    hold several components, small ones have their pairs across components checked;
-    crowded ones are dealt anew by a further band, ``DEPTH`` times at most, after
-    which their members agree in 16 coordinates and pairs across components are
-    checked at any size. So no candidate is dropped and no bucket expanded while it
-    is large and loose. A pair is read in full, and only its words decide.
+    group of copies by a star and not by all its pairs. Buckets that then still hold
+    several components are compared in blocks: a task has two blocks of a bucket, looks
+    at the pairs that are not joined yet, and gives at most one link per member. A
+    bucket of more than ``CROWD`` members is first dealt anew by a further band,
+    ``DEPTH`` times at most, so a member meets a bounded number of others, and after
+    that at any size. No candidate is dropped. What decides is the similarity of the
+    two whole shingle sets (64-bit hashes of the words; a collision of two shingles
+    moves it by one place).
 
     A text without words (null too) is in no link: a class by itself with its exact
     copies; null texts are one class each. Texts under five words have one shingle.
     A null key sorts first; equal rows are one class, of which one stays. Signatures,
-    candidate texts, links and labels are written tables, so a lost executor repeats
+    shingle sets, links and labels are written tables, so a lost executor repeats
     tasks and not the job.
     """
     spark = df.sparkSession
@@ -274,41 +367,40 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     digest = F.coalesce(F.md5("text"), F.lit("-"))
     made = cut(docs.select("doc_id", digest.alias("digest"), signed(F.col("text")).alias("s")).select("doc_id", "digest", "s.*"), "signed")
     reps = made.filter("n > 0").groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("low"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
-    nodes = cut(reps.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("low.doc_id").alias("doc_id"), "bands", "sign"), "nodes")
+        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("low"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+    nodes = cut(reps.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("low.doc_id").alias("doc_id"), "n", "bands", "sign"), "nodes")
     bands = nodes.select("node", F.posexplode("bands").alias("at", "key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1").select("key", "leader")
     members = cut(bands.join(shared, "key"), "buckets")
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", F.col("doc_id").alias("first_id")), "node")
     whole = docs.filter(F.col("text").isNotNull()).withColumn("digest", digest).join(wanted, "digest").filter(
         F.col("doc_id").eqNullSafe(F.col("first_id")))
-    texts = cut(whole.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    linker = _Linker(nodes, texts, least)
+    sets = cut(whole.groupBy("node").agg(F.first("text").alias("text")).select("node", whole_set(F.col("text")).alias("own")), "sets")
+    linker = _Linker(nodes, sets, least)
     linker.check(members.filter("leader < node").groupBy("node").agg(F.min("leader").alias("b")).select(F.col("node").alias("a"), "b"))
     level = members.select("key", "node", "at")
     for depth in range(DEPTH + 1):
         rest = cut(_open_buckets(linker.labelled(level)), "open")
-        crowded = rest.filter(F.col("size") > SMALL)
-        if not crowded.isEmpty():
-            low = crowded.groupBy("key").agg(F.min(F.struct("node", "label")).alias("low"))
-            linker.check(crowded.join(low, "key").filter(F.col("label") != F.col("low.label")).select(
-                F.col("node").alias("a"), F.col("low.node").alias("b")).distinct())
-            rest = cut(_open_buckets(linker.labelled(rest.select("key", "node", "at"))), "open")
-            crowded = rest.filter(F.col("size") > SMALL)
-        last = depth == DEPTH or crowded.isEmpty()
-        small = rest if last else rest.filter(F.col("size") <= SMALL)
-        if not small.isEmpty():
-            pairs = small.select("key", F.col("node").alias("a"), F.col("label").alias("la")).join(
-                small.select("key", F.col("node").alias("b"), F.col("label").alias("lb")), "key")
-            linker.check(pairs.filter("a > b and la != lb").select("a", "b").distinct())
+        sizes = rest.agg(F.count("*"), F.max("size")).first()
+        if not sizes[0]:
+            break
+        last = depth == DEPTH or sizes[1] <= CROWD
+        found = links_in_blocks(rest if last else rest.filter(F.col("size") <= CROWD), nodes, sets, least)
+        linker.merge(found)
         if last:
             break
+        crowded = rest.filter(F.col("size") > CROWD)
+        low = crowded.groupBy("key").agg(F.min(F.struct("node", "label")).alias("low"))
+        linker.check(crowded.join(low, "key").filter(F.col("label") != F.col("low.label")).select(
+            F.col("node").alias("a"), F.col("low.node").alias("b")).distinct())
+        crowded = _open_buckets(linker.labelled(crowded.select("key", "node", "at")))
         # later bands only: a pair that shares bands i < j < k is met at i, at (i, j) and at (i, j, k)
         finer = crowded.select("key", "node", F.col("at").alias("from")).join(nodes.select("node", "bands"), "node").select(
             "node", "from", "key", F.posexplode("bands").alias("at", "band")).filter(F.col("at") > F.col("from"))
-        finer = finer.select("node", "at", F.xxhash64("key", "band").alias("key"))
+        finer = cut(finer.select("node", "at", F.xxhash64("key", "band").alias("key")), "finer")
         many = finer.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-        level = cut(finer.join(many, "key"), "finer")
+        level = finer.join(many, "key")
     classes = nodes.select("node", "digest", "doc_id")
     if linker.labels is not None:
         classes = classes.join(linker.labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
