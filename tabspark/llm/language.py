@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Bounds of the fitted state: languages, labelled texts per language, characters per text.
-LANGUAGES, TEXTS, CHARS = 200, 1000, 300
+LANGUAGES, TEXTS, CHARS = 200, 1000, 360
 #: Bytes compressed at a time, level, and the least margin of a decision.
 CHUNK, LEVEL, MARGIN = 2048, 3, 0.01
 
@@ -34,14 +34,14 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, byte
     """
     known = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    clean = F.trim(letters(F.col("text")))
     h = F.xxhash64("text")
-    first = Window.partitionBy("lang").orderBy("h", "lang")
-    picked = (known.filter(F.col("lang").isin(names) & F.col("text").rlike(r"\p{L}")).select("lang", h.alias("h"), "text")
-              .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= TEXTS)
-              .select("lang", "h", clean.alias("clean")))
-    at = F.pmod("h", F.greatest(F.length("clean") - CHARS, F.lit(0)) + 1) + 1
-    sample = picked.select("lang", "h", F.substring(F.col("clean"), at.cast("int"), F.lit(CHARS)).alias("clean"))
+    at = F.pmod(h, F.greatest(F.length("text") - CHARS, F.lit(0)) + 1) + 1
+    # only the piece of a text travels
+    pieces = known.filter(F.col("lang").isin(names) & F.col("text").rlike(r"\p{L}")).select(
+        "lang", h.alias("h"), F.substring(F.col("text"), at.cast("int"), F.lit(CHARS)).alias("piece"))
+    first = Window.partitionBy("lang").orderBy("h", "piece")
+    sample = pieces.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= TEXTS).select(
+        "lang", "h", F.trim(letters(F.col("piece"))).alias("clean"))
     texts: dict[str, list] = {}
     for r in sample.collect():
         texts.setdefault(r["lang"], []).append((r["h"], r["clean"]))
@@ -83,7 +83,7 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text") -> Co
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coding = coders(state.value)
         for batch in batches:
-            rows = [decide(t or b"", coding) for t in batch.to_pylist()]
+            rows = [decide(t.as_py() or b"", coding) for t in batch]
             yield pa.StructArray.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), *(pa.array([r[i] for r in rows], pa.float64()) for i in (1, 2))],
                 names=["lang", "score", "margin"])

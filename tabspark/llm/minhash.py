@@ -21,8 +21,8 @@ COORDINATES, ROWS = 128, 4
 BLOCK, CROWD, DEPTH = 1024, 8192, 2
 #: Share of equal coordinates below which a pair is not read: five deviations under 0.8.
 LEAST_EQUAL = 0.62
-#: Words that one pass over a batch holds.
-WORDS_AT_ONCE = 400_000
+#: Words that one pass over a batch holds, and distinct words a task remembers.
+WORDS_AT_ONCE, WORDS_KNOWN = 50_000, 100_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -157,10 +157,10 @@ def signed(text: Column) -> Column:
                 if words >= WORDS_AT_ONCE:
                     flush()
                     part, words = [], 0
+                    if len(known) > WORDS_KNOWN:
+                        known.clear()
             if part:
                 flush()
-            if len(known) > 500_000:
-                known.clear()
             keys = np.concatenate(bands) if bands else np.zeros((0, COORDINATES // ROWS), np.int64)
             ends = np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]
             yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
@@ -207,9 +207,12 @@ def whole_set(text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, int] = {}
         for batch in batches:
-            yield pa.array([shingle_set(word_hashes(t.as_py() or "", known)).tobytes() for t in batch], pa.binary())
-            if len(known) > 500_000:
-                known.clear()
+            out = []
+            for cell in batch:
+                out.append(shingle_set(word_hashes(cell.as_py() or "", known)).tobytes())
+                if len(known) > WORDS_KNOWN:
+                    known.clear()
+            yield pa.array(out, pa.binary())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(text)
