@@ -53,6 +53,8 @@ class OneHot(Estimator):
 
     def _fit(self, df: DataFrame) -> "OneHotModel":
         """One pass for all columns; the collected values are bounded by the limit."""
+        if not self.columns:
+            return OneHotModel({})
         types = dict(df.dtypes)
         cells = df.select(F.explode(F.array(*[
             F.struct(F.lit(i).alias("i"), F.col(ident(c)).cast("string").alias("v"))

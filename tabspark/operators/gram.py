@@ -73,7 +73,10 @@ def _pilot_shift(df: DataFrame, columns: list[str]) -> np.ndarray:
 
 
 def grams_by(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
-    """One Gram per value of ``by`` (few values, such as folds); key None without it."""
+    """One Gram per value of ``by`` (few values, such as folds); key None without it.
+
+    Rows with a null or NaN in any of the columns take no part, at any number of columns.
+    """
     shift = _pilot_shift(df, columns)
     p = len(columns)
     group = f"{ident(by)} AS g" if by else "0 AS g"
@@ -97,23 +100,21 @@ def grams_by(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
                     pos += 1
     else:
         x = df.selectExpr(group, f"array({', '.join(cells)}) AS x").filter(
-            "NOT exists(x, v -> v IS NULL)")
+            "NOT exists(x, v -> v IS NULL OR isnan(v))")
         cells = [tuple(r) for r in _partial_products(x, p).groupBy("g", "i", "j")
                  .agg(F.sum("v").alias("v")).collect()]
-    out = {}
-    for g in {c[0] for c in cells}:
-        n, s1, s2 = 0.0, np.zeros(p), np.zeros((p, p))
-        for gg, i, j, v in cells:
-            if gg != g or v is None:
-                continue
-            if i >= 0:
-                s2[i, j] = s2[j, i] = v
-            elif j >= 0:
-                s1[j] = v
-            else:
-                n = v
-        out[g if by else None] = Gram(tuple(columns), n, shift, s1, s2)
-    return out
+    parts: dict = {}
+    for g, i, j, v in cells:
+        n, s1, s2 = parts.setdefault(g, ([0.0], np.zeros(p), np.zeros((p, p))))
+        if v is None:
+            continue
+        if i >= 0:
+            s2[i, j] = s2[j, i] = v
+        elif j >= 0:
+            s1[j] = v
+        else:
+            n[0] = v
+    return {g if by else None: Gram(tuple(columns), n[0], shift, s1, s2) for g, (n, s1, s2) in parts.items()}
 
 
 def _partial_products(x: DataFrame, p: int) -> DataFrame:
@@ -326,18 +327,21 @@ def validation_sse(g: Gram, fit: LinearFit, target: str) -> float:
 # --- leverage -----------------------------------------------------------------------
 
 def leverage(df: DataFrame, features: list[str], g: Gram | None = None):
-    """Hat diagonal x' G+ x as a column expression (no intercept added)."""
+    """Hat diagonal x' G+ x as a column (no intercept added), by Arrow batches; null where a feature is null."""
     g = g or gram(df, features)
     ix = g.index(features)
     inv = _pinv(g.raw[np.ix_(ix, ix)])
+
+    @F.pandas_udf("double")
+    def quadratic(rows: pd.Series) -> pd.Series:
+        m = np.stack(rows.to_numpy()).astype(float) if len(rows) else np.zeros((0, len(inv)))
+        return pd.Series(np.einsum("ij,jk,ik->i", m, inv, m, optimize=True))
+
     x = [dbl(c) for c in features]
-    total = None
-    for i in range(len(x)):
-        for j in range(i, len(x)):
-            w = float(inv[i, j]) * (1.0 if i == j else 2.0)
-            term = x[i] * x[j] * F.lit(w)
-            total = term if total is None else total + term
-    return total
+    whole = x[0].isNotNull()
+    for c in x[1:]:
+        whole = whole & c.isNotNull()
+    return F.when(whole, quadratic(F.array(*[F.coalesce(c, F.lit(0.0)) for c in x])))
 
 
 def hat_diag(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:

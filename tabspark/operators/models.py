@@ -129,7 +129,29 @@ def fit_lasso(df, features, label, params):
 
 
 def _glm(family):
+    """Mean half deviance plus alpha / 2 |w|^2.
+
+    The solver divides the penalty by the sum of its working weights instead of the
+    row count, so it is given alpha times rows / weights, repeated until the weights
+    of the fit agree with those it was given.
+    """
     def fit(df, features, label, params):
+        alpha, power = float(params.get("alpha", 1.0)), {"poisson": 1.0, "gamma": 2.0}.get(family, float(params.get("power", 0.0)))
+        log_link = params.get("link", "log") == "log" or (params.get("link") == "auto" and power > 0)
+        given = alpha
+        for _ in range(25):
+            model = once(df, features, label, {**params, "alpha": given})
+            if not alpha or (power == 2.0 and log_link) or (power == 0.0 and not log_link):
+                return model
+            mu = F.col("prediction")
+            weight = model.transform(df).agg(F.avg(F.pow(mu, F.lit((2.0 if log_link else 0.0) - power)))).first()[0]
+            want = alpha / weight
+            if abs(want - given) <= 1e-8 * want:
+                break
+            given = want
+        return model
+
+    def once(df, features, label, params):
         link = params.get("link", "log")
         args = dict(regParam=float(params.get("alpha", 1.0)), maxIter=int(params.get("max_iter", 50)),
                     fitIntercept=params.get("fit_intercept", True))
@@ -412,14 +434,35 @@ def fit_gaussian_nb(df, features, label, params):
     return _quadratic_scorer(df, features, classes, -0.5 / var, mean / var, const)
 
 
+def _ledoit_wolf(df, features, label, value, part):
+    """Shrunk covariance of one class: standardised columns, the Ledoit-Wolf share, scaled back."""
+    p, cov = len(features), part.scatter / part.n
+    sd = np.sqrt(np.diag(cov))
+    sd[sd == 0] = 1.0
+    s = cov / np.outer(sd, sd)
+    size = None
+    for c, m, d in zip(features, part.mean, sd):
+        z = (dbl(c) - F.lit(float(m))) / F.lit(float(d))
+        size = z * z if size is None else size + z * z
+    fourth = df.filter(F.col(ident(label)) == F.lit(value)).agg(F.sum(size * size)).first()[0] or 0.0
+    mu, squares = np.trace(s) / p, (s * s).sum()
+    delta = (squares - 2 * mu * np.trace(s) + p * mu * mu) / p
+    beta = min((fourth / part.n - squares) / (p * part.n), delta)
+    share = beta / delta if delta > 0 else 0.0
+    s = (1 - share) * s + share * mu * np.eye(p)
+    return s * np.outer(sd, sd)
+
+
 def fit_lda(df, features, label, params):
     classes, parts = _class_moments(df, features, label)
     n = sum(p.n for p in parts)
     cov = sum(p.scatter for p in parts) / n
     if params.get("shrinkage") not in (None, 0):
         s = params["shrinkage"]
-        s = 0.1 if s == "auto" else float(s)
-        cov = (1 - s) * cov + s * np.trace(cov) / len(cov) * np.eye(len(cov))
+        if s == "auto":
+            cov = sum(_ledoit_wolf(df, features, label, c, p) * (p.n / n) for c, p in zip(classes, parts))
+        else:
+            cov = (1 - float(s)) * cov + float(s) * np.trace(cov) / len(cov) * np.eye(len(cov))
     mean = np.array([p.mean for p in parts])
     lin = mean @ np.linalg.pinv(cov)
     const = np.log([p.n / n for p in parts]) - 0.5 * np.einsum("ki,ki->k", lin, mean)

@@ -32,6 +32,8 @@ def _embed(metric: str):
         return unit, (lambda d: d * d / 2)
     if metric == "haversine":
         def sphere(a):
+            if len(a) and a.shape[1] != 2:
+                raise ValueError(f"haversine takes latitude and longitude, not {a.shape[1]} columns")
             lat, lon = a[:, 0], a[:, 1]
             return np.column_stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)])
         return sphere, (lambda d: 2 * np.arcsin(np.clip(d / 2, 0, 1)))

@@ -38,7 +38,7 @@ def block_bounds(df: DataFrame, order: Column, rows_per_block: int | None = None
 def block_column(order: Column, bounds: list) -> Column:
     if len(bounds) <= TREE_BOUNDS:
         return bound_index(order, bounds)
-    edges = np.asarray(bounds)
+    edges = pd.Series(bounds).to_numpy()  # datetimes as datetime64, as the batches have them
 
     @F.pandas_udf("int")
     def search(x: pd.Series) -> pd.Series:

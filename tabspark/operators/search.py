@@ -6,6 +6,7 @@ import logging
 import math
 from multiprocessing.pool import ThreadPool
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalar import dbl, ident
@@ -75,7 +76,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
             if mask is not None:
                 tagged = tagged.filter((F.col("__set") == "val") | mask)
             scores = metrics_by_set(fitted.transform(tagged), label, "__set", task)
-        except Exception as err:  # a bad combination must not end the search
+        except (ArithmeticError, ValueError, IllegalArgumentException) as err:  # a combination that cannot be fitted
             log.warning("trial %s fold %s failed: %s", t, k, str(err)[:200])
             names = CLASSIFICATION if task == "classification" else REGRESSION
             scores = [(s, m, math.nan) for s in ("train", "val") for m in names]
@@ -88,6 +89,8 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
         rows = [r for part in pool.imap(run, jobs) for r in part]
     data.unpersist()
+    if rows and all(math.isnan(r[-1]) for r in rows):
+        raise ValueError(f"no trial of {model} could be fitted; the log has the reasons")
     return small_table(df.sparkSession, rows, RESULT_SCHEMA)
 
 

@@ -56,7 +56,7 @@ def kfold(df: DataFrame, order: str = "row_id", n_splits: int = 5, out: str = "f
 def stratified_allocation(sizes: dict, n_splits: int) -> dict:
     """Rows of each class per fold when the class-sorted labels are dealt round robin."""
     out, start = {}, 0
-    for v in sorted(sizes):
+    for v in sorted(sizes, key=lambda v: (v is not None, v)):  # a missing label is a class of its own, the first
         n = sizes[v]
         out[v] = [_dealt(start, n, f, n_splits) for f in range(n_splits)]
         start += n
@@ -82,7 +82,7 @@ def stratified_kfold(df: DataFrame, target: str, order: str = "row_id", n_splits
             cond = F.col("__i") <= edge
             inner = F.when(cond, f) if inner is None else inner.when(cond, f)
         inner = inner.otherwise(n_splits - 1) if inner is not None else F.lit(0)
-        cond = F.col(ident(target)) == F.lit(v)
+        cond = F.col(ident(target)).eqNullSafe(F.lit(v))
         fold = F.when(cond, inner) if fold is None else fold.when(cond, inner)
     return r.withColumn(out, fold.cast("bigint")).drop("__i")
 
