@@ -66,11 +66,15 @@ def density_grid(df: DataFrame, column: str, distribution: str, points: int = 10
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width counts (empty bins are absent)."""
+    """Equal-width counts of all bins, empty ones too; all are empty without a value."""
     x = dbl(column)
     lo, hi = df.agg(F.min(x), F.max(x)).first()
-    return (df.filter(x.isNotNull()).groupBy(equal_width_bin(x, lo, hi, bins).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    if lo is None:
+        return every.withColumn("n", F.lit(0).cast("bigint"))
+    counts = (df.filter(x.isNotNull()).groupBy(equal_width_bin(x, lo, hi, bins).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return every.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def histogram_by_class(df: DataFrame, features: list[str], target: str, bins: int = 20,

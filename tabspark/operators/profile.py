@@ -18,12 +18,8 @@ def unpivot_agg(df: DataFrame, structs: list[Column]) -> DataFrame:
     return df.agg(F.array(*structs).alias("r")).select(F.inline("r"))
 
 
-def numeric_profile(df: DataFrame, columns: list[str], exact: bool = True,
-                    scalers: dict[str, str] | None = None) -> DataFrame:
-    """Mean, sample std, min, quartiles and max per column (optionally its scaler name).
-
-    ``exact=False`` takes the quartiles from a sketch in the same single scan.
-    """
+def _numeric_rows(df: DataFrame, columns: list[str], exact: bool) -> list[tuple]:
+    """(column, n, mean, std, min, q25, q50, q75, max) of each column."""
     aggs = []
     for i, c in enumerate(columns):
         x = dbl(c)
@@ -35,8 +31,17 @@ def numeric_profile(df: DataFrame, columns: list[str], exact: bool = True,
         qs = exact_quantiles(df, {c: dbl(c) for c in columns}, [0.25, 0.5, 0.75],
                              counts={c: row[i][4] for i, c in enumerate(columns)})
     else:
-        qs = {c: row[i][5] for i, c in enumerate(columns)}
-    rows = [(c, row[i][0], row[i][1], row[i][2], *qs[c], row[i][3]) for i, c in enumerate(columns)]
+        qs = {c: row[i][5] or [None] * 3 for i, c in enumerate(columns)}
+    return [(c, row[i][4], row[i][0], row[i][1], row[i][2], *qs[c], row[i][3]) for i, c in enumerate(columns)]
+
+
+def numeric_profile(df: DataFrame, columns: list[str], exact: bool = True,
+                    scalers: dict[str, str] | None = None) -> DataFrame:
+    """Mean, sample std, min, quartiles and max per column (optionally its scaler name).
+
+    ``exact=False`` takes the quartiles from a sketch in the same single scan.
+    """
+    rows = [(c, *values) for c, _, *values in _numeric_rows(df, columns, exact)]
     out = small_table(df.sparkSession, rows, PROFILE_SCHEMA)
     if scalers:
         names = F.create_map(*[F.lit(v) for kv in scalers.items() for v in kv])
@@ -55,22 +60,18 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def describe_columns(df: DataFrame, roles: Roles | None = None, **flags) -> DataFrame:
-    """Both profiles under one schema with a type column."""
+    """Both profiles under one schema with a type column; what a type does not have is null."""
     roles = roles or infer_roles(df, **flags)
-    parts = []
-    if roles.numerical:
-        prof = unpivot_agg(df, [
-            F.struct(F.lit("Numerical").alias("type"), F.lit(c).alias("column"),
-                     F.lit(None).cast("string").alias("value"), F.count(dbl(c)).alias("n"),
-                     F.avg(dbl(c)).alias("mean"), F.stddev_samp(dbl(c)).alias("std"))
-            for c in roles.numerical])
-        parts.append(prof)
-    if roles.categorical:
-        cat = categorical_profile(df, list(roles.categorical)).select(
-            F.lit("Categorical").alias("type"), "column", "value", "n",
-            F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"))
-        parts.append(cat)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    figures = ["mean", "std", "min", "q25", "q50", "q75", "max"]
+    rows = _numeric_rows(df, list(roles.numerical), True) if roles.numerical else []
+    out = small_table(df.sparkSession, rows, "column string, n bigint, " + ", ".join(f"{f} double" for f in figures)).select(
+        F.lit("Numerical").alias("type"), "column", F.lit(None).cast("string").alias("value"), "n", *figures,
+        F.lit(None).cast("double").alias("pct"))
+    if not roles.categorical:
+        return out
+    return out.unionByName(categorical_profile(df, list(roles.categorical)).select(
+        F.lit("Categorical").alias("type"), "column", "value", "n",
+        *[F.lit(None).cast("double").alias(f) for f in figures], F.col("pct").cast("double").alias("pct")))
 
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:

@@ -28,8 +28,11 @@ def categorical_profile(spark, d):
 
 @query("describe_cols", " UNION ALL ".join(
     [f"""SELECT 'Numerical' AS type, '{c}' AS "column", NULL::VARCHAR AS value, count({c})::BIGINT AS n, round(avg({c}), 4) AS mean,
-     round(stddev_samp({c}), 4) AS std FROM line_num""" for c in LINE_NUMERIC]
-    + [f"""SELECT 'Categorical', '{c}', {c}::VARCHAR, count(*)::BIGINT, NULL, NULL FROM line_num GROUP BY {c}"""
+     round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS q25,
+     round(quantile_cont({c}, 0.5), 4) AS q50, round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max,
+     NULL::DOUBLE AS pct FROM line_num""" for c in LINE_NUMERIC]
+    + [f"""SELECT 'Categorical', '{c}', {c}::VARCHAR, count(*)::BIGINT, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+     round(count(*) * 100.0 / (SELECT count(*) FROM line_num), 4) FROM line_num GROUP BY {c}"""
        for c in [*LINE_TEXT, "l_linenumber"]]), using=("line_num",))
 def describe_cols(spark, d):
     return tidy(profile.describe_columns(fx.line_num(spark, d)), digits=4)
@@ -81,8 +84,10 @@ def correlated_columns(spark, d):
 
 # --- distributions ---------------------------------------------------------------------------
 
-@query("hist_counts", """SELECT least(floor((value - lo) / ((hi - lo) / 20)), 19)::BIGINT AS bin, count(*)::BIGINT AS n
-       FROM events_value, (SELECT min(value) AS lo, max(value) AS hi FROM events_value) GROUP BY 1""", using=("events_value",))
+@query("hist_counts", """SELECT b.bin::BIGINT AS bin, coalesce(c.n, 0)::BIGINT AS n FROM (SELECT unnest(range(20)) AS bin) b LEFT JOIN (
+       SELECT least(floor((value - lo) / ((hi - lo) / 20)), 19)::BIGINT AS bin, count(*) AS n
+       FROM events_value, (SELECT min(value) AS lo, max(value) AS hi FROM events_value) GROUP BY 1) c ON b.bin = c.bin""",
+       using=("events_value",))
 def hist_counts(spark, d):
     return tidy(dist.histogram(fx.events_value(spark, d), "value", 20))
 
