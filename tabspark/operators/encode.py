@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations, combinations_with_replacement
 from math import comb
+from os.path import commonprefix
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, functions as F
@@ -21,8 +22,11 @@ def category_table(df: DataFrame, columns: list[str], rows_per_block: int | None
         values = df.select(F.col(ident(c)).alias("v")).filter(F.col("v").isNotNull()).distinct()
         if dict(values.dtypes)["v"] == "string":
             # A string order column has no numeric quantiles to cut at, so it is
-            # cut on its leading bytes, which sort the same way.
-            values = values.withColumn("__prefix", F.conv(F.rpad(F.substring(F.hex("v"), 1, 12), 12, "0"), 16, 10).cast("bigint"))
+            # cut on the first bytes behind those that all values share, which sort the same way.
+            low, high = values.agg(F.min("v"), F.max("v")).first()
+            shared = len(commonprefix([low.encode(), high.encode()])) if low is not None else 0
+            head = F.substring(F.hex("v"), 2 * shared + 1, 12)
+            values = values.withColumn("__prefix", F.conv(F.rpad(head, 12, "0"), 16, 10).cast("bigint"))
             pos = ranked(values, "position", "__prefix", tie_break=["v"], rows_per_block=rows_per_block)
         else:
             pos = ranked(values, "position", "v", rows_per_block=rows_per_block)

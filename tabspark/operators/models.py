@@ -7,6 +7,7 @@ class) for two-class classifiers.
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass, field
 
@@ -24,7 +25,11 @@ from tabspark.operators import gram as G
 from tabspark.operators import reduce as R
 from tabspark.operators.profile import class_weights
 
+log = logging.getLogger(__name__)
+
 MAX_CLASSES = 1_000
+#: Passes without this relative gain after which a fit of a loss with kinks ends.
+PATIENCE, GAIN = 10, 1e-3
 
 
 @dataclass
@@ -153,7 +158,7 @@ def _glm(family):
 
     def once(df, features, label, params):
         link = params.get("link", "log")
-        args = dict(regParam=float(params.get("alpha", 1.0)), maxIter=int(params.get("max_iter", 50)),
+        args = dict(regParam=float(params.get("alpha", 1.0)), maxIter=int(params.get("max_iter", 50)), tol=float(params.get("tol", 1e-6)),
                     fitIntercept=params.get("fit_intercept", True))
         if family == "tweedie":
             power = float(params.get("power", 0.0))
@@ -250,20 +255,26 @@ def _lbfgs(evaluate, theta, passes: int, first_step: float, tol: float = 1e-7, m
         if s @ y > 1e-12:
             pairs = [*pairs, (s, y)][-memory:]
         if gain <= tol * max(1.0, abs(value)):
-            break
+            return theta
+    log.warning("no convergence in %s passes", passes)
     return theta
 
 
 def _proximal(evaluate, theta, passes: int, curvature, lmax: float, shrink: float, p: int, last: bool,
               smooth_alpha: float):
-    """Proximal gradient with momentum, or a decaying subgradient for losses with kinks."""
-    point, t, best = theta.copy(), 1.0, (math.inf, theta)
+    """Proximal gradient with momentum, or a decaying subgradient for losses with kinks.
+
+    The latter stops after ``PATIENCE`` passes without a gain of ``GAIN`` of the best objective.
+    """
+    point, t, best, mark = theta.copy(), 1.0, (math.inf, theta), (math.inf, 0)
     lip = (curvature or 1.0) * lmax + smooth_alpha
     for k in range(1, passes + 1):
         base = point if curvature else theta
         objective, grad = evaluate(base)
         if objective < best[0]:
             best = (objective, base.copy())
+        if objective < mark[0] - GAIN * abs(mark[0] if math.isfinite(mark[0]) else 0.0):
+            mark = (objective, k)
         step = 1.0 / lip if curvature else 1.0 / (lip ** 0.5 * math.sqrt(k))
         new = base - step * grad
         new[:p] = np.sign(new[:p]) * np.maximum(0, np.abs(new[:p]) - step * shrink)
@@ -273,8 +284,10 @@ def _proximal(evaluate, theta, passes: int, curvature, lmax: float, shrink: floa
             t = t_next
         done = np.max(np.abs(new - theta)) < 1e-6
         theta = new
-        if done:
+        if done or (not curvature and k - mark[1] >= PATIENCE):
             break
+    else:
+        log.warning("no convergence in %s passes", passes)
     # A zero vector has zero perceptron loss, so the last iterate counts there.
     return theta if curvature or last else best[1]
 
@@ -291,7 +304,7 @@ def linear_gd(df, features, label, params, classification: bool):
     value_of, slope_of, curvature = table[loss]
     penalty, mix = params.get("penalty", "l2"), float(params.get("l1_ratio", 0.15))
     l1 = {"l1": 1.0, "l2": 0.0, None: 0.0}.get(penalty, mix)
-    iters = int(params.get("iterations", 60))
+    iters = int(params.get("max_iter") or params.get("iterations") or params.get("epochs") or 1000)
     df, w = balanced(df, label, params)
 
     g = G.gram(df, [*features, label])

@@ -87,13 +87,14 @@ def anova_scores(df: DataFrame, features: list[str], target: str, k: int | None
 
 
 def regression_f_scores(df: DataFrame, features: list[str], target: str, k: int | None = None) -> DataFrame:
-    """F = r^2 (n-2) / (1-r^2) per feature."""
-    g = G.gram(df, [*features, target])
-    c, iy = g.corr(), g.names.index(target)
+    """F = r^2 (n-2) / (1-r^2) per feature, on the rows that have this feature and the target."""
+    y = dbl(target)
+    row = df.agg(*[F.struct(F.regr_sxy(y, dbl(c)), F.regr_sxx(y, dbl(c)), F.regr_syy(y, dbl(c)), F.regr_count(y, dbl(c))).alias(f"f{i}")
+                   for i, c in enumerate(features)]).first()
     out = []
-    for i, name in enumerate(features):
-        r2 = float(c[i, iy]) ** 2
-        out.append((name, r2 * (g.n - 2) / (1 - r2) if r2 < 1 else math.inf))
+    for name, (sxy, sxx, syy, n) in zip(features, row):
+        r2 = sxy * sxy / (sxx * syy) if sxx and syy else math.nan
+        out.append((name, math.inf if r2 >= 1 else r2 * (n - 2) / (1 - r2)))
     return _ranked_scores(df, out, k)
 
 

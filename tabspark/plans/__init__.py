@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("basics", "profiles", "diagnostics", "shaping", "fitting", "scoring", "results")
+FAMILIES = ("basics", "profiles", "diagnostics", "shaping", "fitting", "scoring", "results",
+            "closed_forms")
 
 
 def load() -> tuple[dict, dict]:

@@ -79,18 +79,18 @@ def _shifted(df):
 
 
 query("lasso_fit")(_fitted("Lasso", "y", alpha=0.1))
-query("tweedie_fit")(_fitted("TweedieRegressor", "y", power=1.5, alpha=0.1, max_iter=25))
-query("gamma_fit")(_fitted("GammaRegressor", "amount", prep=_shifted, alpha=0.1, max_iter=25))
-query("poisson_fit")(_fitted("PoissonRegressor", "y", alpha=0.1, max_iter=25))
-query("gbt_regress")(_fitted("GradientBoostingRegressor", "y", n_estimators=5))
-query("gbt_classify")(_fitted("GradientBoostingClassifier", "label", prep=_any_purchase, n_estimators=5))
+query("tweedie_fit")(_fitted("TweedieRegressor", "y", power=1.5, alpha=0.1))
+query("gamma_fit")(_fitted("GammaRegressor", "amount", prep=_shifted, alpha=0.1))
+query("poisson_fit")(_fitted("PoissonRegressor", "y", alpha=0.1))
+query("gbt_regress")(_fitted("GradientBoostingRegressor", "y"))
+query("gbt_classify")(_fitted("GradientBoostingClassifier", "label", prep=_any_purchase))
 query("logistic_fit")(_fitted("LogisticRegression", "label", prep=_any_purchase, class_weight="balanced"))
 query("ridge_classify")(_fitted("RidgeClassifier", "label", prep=_any_purchase, class_weight="balanced"))
-query("linear_gd_fit")(_fitted("SGDRegressor", "y", loss="huber", epsilon=10.0, iterations=20))
+query("linear_gd_fit")(_fitted("SGDRegressor", "y", loss="huber", epsilon=10.0))
 query("linear_gd_classify")(_fitted("SGDClassifier", "label", prep=_any_purchase, loss="modified_huber",
-                                    class_weight="balanced", iterations=20))
-query("kernel_nystroem_fit")(_fitted("KernelRidge", "y", kernel="rbf", n_components=30))
-query("kernel_svc_fit")(_fitted("SVC", "label", prep=_any_purchase, kernel="rbf", n_components=20, iterations=10,
+                                    class_weight="balanced"))
+query("kernel_nystroem_fit")(_fitted("KernelRidge", "y", kernel="rbf"))
+query("kernel_svc_fit")(_fitted("SVC", "label", prep=_any_purchase, kernel="rbf", n_components=20, max_iter=10,
                                 class_weight="balanced"))
 query("lda_fit")(_fitted("LinearDiscriminantAnalysis", "label", prep=_any_purchase))
 query("qda_fit")(_fitted("QuadraticDiscriminantAnalysis", "label", prep=_any_purchase, reg_param=0.1))
@@ -255,7 +255,7 @@ def grid_product(spark, d):
 
 
 def _searchable(spark, d):
-    return hashed_folds(_any_purchase(fx.user_day(spark, d)), n_splits=3)
+    return hashed_folds(_any_purchase(fx.user_day(spark, d)))
 
 
 @query("grid_search_classify")
@@ -266,7 +266,7 @@ def grid_search_classify(spark, d):
 
 @query("random_search")
 def random_search(spark, d):
-    return tidy(search.random_search(_searchable(spark, d), FEATS, "y", "Ridge", n_trials=4))
+    return tidy(search.random_search(_searchable(spark, d), FEATS, "y", "Ridge"))
 
 
 @query("model_search")

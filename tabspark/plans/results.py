@@ -160,7 +160,11 @@ def map_functions(spark, d):
         larger.alias("larger"))
 
 
-@query("scatter_sample")
+@query("scatter_sample", """SELECT CASE WHEN y > 0 THEN 'purchase' ELSE 'none' END AS "group",
+       count(*) OVER (PARTITION BY y > 0)::BIGINT AS group_size, round(n_events, 6) AS n_events, round(k_mean, 6) AS k_mean
+       FROM user_day, (SELECT count(*) AS n FROM user_day)
+       QUALIFY n <= 2000 OR ('0x' || substr(md5('scatter42:' || row_id), 1, 8))::BIGINT < floor(2000.0::DOUBLE / n * 4294967296)""",
+       using=("user_day",))
 def scatter_sample(spark, d):
     df = fx.user_day(spark, d).withColumn("group", F.when(F.col("y") > 0, "purchase").otherwise("none"))
     return tidy(rs.scatter_sample(df.select("row_id", "group", "n_events", "k_mean"), "group", ["n_events", "k_mean"], budget=2_000))

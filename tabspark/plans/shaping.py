@@ -95,7 +95,14 @@ def _quantile(output):
     return run
 
 
-query("quantile_uniform")(_quantile("uniform"))
+query("quantile_uniform", """SELECT row_id::BIGINT AS row_id, round(CASE WHEN value = q THEN (i0 + i1) / 2.0
+      ELSE i1 + (value - q) / (nxt - q) END / (k - 1), 6) + 0.0 AS t FROM ev ASOF JOIN knots ON value >= q""", using=("events_value",),
+      extra="""ev AS (SELECT row_id, value, least(1000, count(*) OVER ()) AS k FROM events_value),
+      grid AS (SELECT unnest(range(k)) AS i, unnest(quantile_cont) AS q FROM (
+        SELECT k, list_transform(range(k), lambda j: v[1 + floor(j * (n - 1) / (k - 1.0))::BIGINT] + (j * (n - 1) / (k - 1.0) - floor(j * (n - 1) / (k - 1.0)))
+          * (v[least(n, 2 + floor(j * (n - 1) / (k - 1.0))::BIGINT)] - v[1 + floor(j * (n - 1) / (k - 1.0))::BIGINT])) AS quantile_cont
+        FROM (SELECT list_sort(list(value)) AS v, count(*) AS n, least(1000, count(*)) AS k FROM events_value))),
+      knots AS (SELECT q, min(i) AS i0, max(i) AS i1, lead(q) OVER (ORDER BY q) AS nxt FROM grid GROUP BY q)""")(_quantile("uniform"))
 query("quantile_normal")(_quantile("normal"))
 
 
@@ -166,7 +173,7 @@ _FREG = ["n_words", "n_lines", "toxic"]
 
 @query("select_k_freg", "SELECT feature, round(f, 4) AS score, rank FROM (SELECT *, row_number() OVER (ORDER BY f DESC, feature)::BIGINT AS rank FROM ("
        + " UNION ALL ".join(f"SELECT '{c}' AS feature, r * r * (n - 2) / (1 - r * r) AS f FROM (SELECT corr({c}, n_chars) AS r, count(*) AS n "
-                            f"FROM doc_feat WHERE toxic IS NOT NULL)" for c in _FREG) + ")) WHERE rank <= 2", using=("doc_feat",))
+                            f"FROM doc_feat WHERE {c} IS NOT NULL)" for c in _FREG) + ")) WHERE rank <= 2", using=("doc_feat",))
 def select_k_freg(spark, d):
     return tidy(select.regression_f_scores(fx.doc_feat(spark, d), _FREG, "n_chars", k=2), digits=4)
 
