@@ -74,8 +74,8 @@ def decide(clean: bytes, coding: list, chunk: int = CHUNK) -> tuple[str, float,
 def identify(df: DataFrame, content: dict[str, bytes], text: str = "text") -> Column:
     """Column ``struct<lang, score, margin>`` for the whole text of every row of ``df``.
 
-    A null text and a text without letters are ``und`` with score and margin 0, and
-    so is every text when nothing was learned. The dictionaries go out as one
+    A null text and a text without letters (marks alone are none) are ``und`` with
+    score and margin 0, and so is every text when nothing was learned. The dictionaries go out as one
     broadcast of the bounded fitted state.
     """
     state = df.sparkSession.sparkContext.broadcast(content)
@@ -89,7 +89,8 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text") -> Co
                 names=["lang", "score", "margin"])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, RESULT)(letters(F.col(text)).cast("binary"))
+    clean = F.when(F.col(text).rlike(r"\p{L}"), letters(F.col(text)))
+    return F.arrow_udf(run, RESULT)(clean.cast("binary"))
 
 
 def rejected(result: Column, least: float = MARGIN) -> Column:

@@ -97,6 +97,8 @@ def test_language_holds_out_and_rejects(spark, docs, odd):
     got = [r["r"] for r in odd.select("doc_id", "text", language.identify(odd, content).alias("r")).collect()]
     assert [g["lang"] for g in got[:3]] == ["und"] * 3 and all(g["score"] == 0 for g in got[:3])
     assert {g["lang"] for g in got} <= {"en", "de", "fr", "es", "und"}
+    marks = spark.createDataFrame([("12 \u0301\u0308 !",)], "text string")
+    assert marks.select(language.identify(marks, content)["lang"]).first()[0] == "und"
     none = odd.filter("doc_id > 99")
     assert language.fit(none) == {} and odd.select(language.identify(odd, {})["lang"]).distinct().collect()[0][0] == "und"
     assert none.select(language.identify(none, content)).count() == 0
