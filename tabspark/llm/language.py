@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Bounds of the fitted state: languages, labelled texts per language, characters per text.
 LANGUAGES, TEXTS, CHARS = 200, 1000, 360
+#: Times the wanted texts of a language that are sent for the choice.
+SPARE = 4
 #: Bytes compressed at a time, level, and the least margin of a decision.
 CHUNK, LEVEL, MARGIN = 2048, 3, 0.01
 
@@ -29,17 +31,24 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, byte
     The sample has the ``TEXTS`` smallest text hashes of each of the ``LANGUAGES``
     most frequent labels, and ``CHARS`` characters of each text at a place that its
     hash chooses. So the fitted state is at most LANGUAGES * TEXTS * CHARS
-    characters whatever the input. Null labels and texts without letters teach
-    nothing; without labelled rows the result is empty.
+    characters whatever the input. Copies are one text. Hashes above a bound that
+    leaves about ``SPARE`` times as many texts as wanted are not sent, so a task
+    sees that many of a language and not all. Null labels and texts without letters
+    teach nothing; without labelled rows the result is empty.
     """
-    known = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    h = F.xxhash64("text")
-    at = F.pmod(h, F.greatest(F.length("text") - CHARS, F.lit(0)) + 1) + 1
+    known = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    names = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts")).orderBy(
+        F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not names:
+        return {}
+    bounds = F.create_map(*[F.lit(x) for r in names for x in (
+        r["lang"], min(2**63 - 1, int(2**64 * min(1.0, SPARE * TEXTS / r["texts"])) - 2**63))])
+    at = F.pmod("h", F.greatest(F.length("text") - CHARS, F.lit(0)) + 1) + 1
     # only the piece of a text travels
-    pieces = known.filter(F.col("lang").isin(names) & F.col("text").rlike(r"\p{L}")).select(
-        "lang", h.alias("h"), F.substring(F.col("text"), at.cast("int"), F.lit(CHARS)).alias("piece"))
-    first = Window.partitionBy("lang").orderBy("h", "piece")
+    pieces = known.filter(F.col("h") <= bounds[F.col("lang")]).groupBy("lang", "h").agg(
+        F.min(F.substring(F.col("text"), at.cast("int"), F.lit(CHARS))).alias("piece"))
+    first = Window.partitionBy("lang").orderBy("h")
     sample = pieces.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= TEXTS).select(
         "lang", "h", F.trim(letters(F.col("piece"))).alias("clean"))
     texts: dict[str, list] = {}

@@ -104,6 +104,14 @@ def test_language_holds_out_and_rejects(spark, docs, odd):
     assert none.select(language.identify(none, content)).count() == 0
 
 
+def test_language_sample_takes_a_text_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "TEXTS", 20)
+    rows = [("en", "the same text again")] * 500 + [("en", f"text {chr(97 + i % 26)}{chr(97 + i // 26)} own") for i in range(300)] + [("de", "ein Wort"), (None, "x")]
+    content = language.fit(spark.createDataFrame(rows, "lang string, text string").repartition(7))
+    assert set(content) == {"en", "de"} and len(content["en"].decode().split(" own")) >= 19
+    assert content == language.fit(spark.createDataFrame(rows[::-1], "lang string, text string"))
+
+
 def test_language_sizes_are_those_of_the_dictionaries():
     content = {"a": b"the quick brown fox " * 20, "b": b"lorem ipsum dolor sit " * 20}
     coding = language.coders(content)
