@@ -155,6 +155,44 @@ def test_quality_bands():
     assert quality.band_verdict(b"short", compress) == (None, 0.0, True)
 
 
+def test_quality_rejects_what_does_not_compress(docs):
+    import base64
+    import random
+    rng = random.Random(2)
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False, write_content_size=False).compress
+    texts = [r["text"].encode() for r in docs.filter("text is not null").collect()]
+    clean = [t for t in texts if 256 <= len(t) and quality.band_verdict(t, compress)[0] > 0.3]
+    assert len(clean) > 150 and all(quality.band_verdict(t, compress)[2] for t in clean)
+    prose = b" ".join(clean)
+
+    def base64_words(n, width=60):
+        coded = base64.b64encode(rng.randbytes(n))
+        return b" ".join(coded[i:i + width] for i in range(0, n, width))[:n]
+
+    def printable(n):
+        return b" ".join(bytes(rng.randrange(33, 127) for _ in range(8)) for _ in range(n // 9 + 1))[:n]
+
+    def ascii_any(n):
+        return bytes(rng.randrange(128) for _ in range(n))
+
+    def mixed_characters(n):
+        return "".join(chr(rng.randrange(0x80, 0xD7FF)) for _ in range(n)).encode()[:n].decode(errors="ignore").encode()
+
+    for noise in (base64_words, printable, ascii_any, mixed_characters):
+        for n in (300, 500, 700, 1000, 2000, 3000, 4096, 5000, 9000, 20000, 70000, 200000):
+            ratio, odd, inside = quality.band_verdict(noise(n), compress)
+            assert not inside and odd == 1.0, (noise.__name__, n, ratio, odd)
+        for n in (1024, 2048, 4096, 8192, 32768, 131072):  # half prose and half noise
+            assert not quality.band_verdict(prose[:n // 2] + noise(n // 2), compress)[2], (noise.__name__, n)
+        chunks = [prose[i * 4096:][:4096] for i in range(3)] + [noise(4096) for _ in range(4)]
+        rng.shuffle(chunks)
+        assert quality.band_verdict(b"".join(chunks), compress)[1] > 0.5
+        assert quality.judge(noise(20000), compress)[-1] is False
+    cyrillic = "".join(rng.choice("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэф  ") for _ in range(30)).encode()
+    assert quality.most(cyrillic * 100) == pytest.approx(quality.most(b"x" * len(cyrillic * 100)))
+    assert quality.most("漢".encode() * 200) > quality.most(b"x" * 600)
+
+
 def test_bpe_equals_the_rank_coder(spark, docs, odd):
     import base64
 
