@@ -51,6 +51,43 @@ def test_chat_views_are_whole_and_masked(spark, messages, turns):
     assert chat.perspectives(df.filter("conv_id > 99")).count() == 0
 
 
+def long_dialogues():
+    """A null turn (and the same message at turn -1), gaps, 513 and 1,500 messages, as (conv_id, turn, role, text)."""
+    rows = [(1, 0, "system", "be kind"), (1, -1, "ann", "hi"), (1, None, "ann", "hi"), (1, 2, "bob", "Grüße 漢字"), (1, 900, "ann", ""), (1, 10**12, "bob", "late")]
+    rows += [(2, 300 * i, ("ann", "bob", "a person with a long name")[i % 3], f"m{i}") for i in range(12)]
+    for conv, n in ((3, 512), (4, 513), (5, 1500)):
+        rows += [(conv, 0, "system", "rules"), *((conv, i, ("ann", "bob")[i % 2], f"t{i} " + "x" * (i % 5)) for i in range(1, n))]
+    return rows
+
+
+def test_chat_query_gives_the_rows_of_its_sql(spark, tmp_path):
+    import duckdb
+    rows = long_dialogues()
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(map(tuple, q.QUERIES["op2_perspectives"](spark, str(tmp_path)).collect()))
+    db = duckdb.connect()
+    db.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = sorted(db.execute(q.ORACLE["op2_perspectives"]).fetchall())
+    assert len(got) == len({r[:2] for r in got}) == 2 + 3 + 2 * 3
+    assert got == [tuple(r) for r in want]
+
+
+def test_chat_parts_join_to_the_whole(spark):
+    rows = long_dialogues() + [(6, 5, f"p{i % 3}", f"m{i}") for i in range(700)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    whole = {(r["conv_id"], r["speaker"]): (r["text"], r["spans"]) for r in chat.perspectives(df).collect()}
+    for messages in (100, 512):
+        text, spans, parts = defaultdict(str), defaultdict(list), Counter()
+        for r in chat.perspectives(df, messages=messages).orderBy("part").collect():
+            k, at = (r["conv_id"], r["speaker"]), len(text[r["conv_id"], r["speaker"]])
+            spans[k] += [(at + s["start"], at + s["end"]) for s in r["spans"]]
+            text[k] += r["text"]
+            parts[k] += 1
+        assert {k: (text[k], spans[k]) for k in text} == {k: (t, [tuple(s) for s in at]) for k, (t, at) in whole.items()}
+        assert parts[4, "ann"] == -(-513 // messages) and parts[1, "ann"] == 1 and parts[2, "bob"] == 1
+
+
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
