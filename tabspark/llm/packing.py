@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Tokens a bin holds; documents of one source it may hold; rows one task packs together.
 CAPACITY, PER_SOURCE, ROWS_PER_SHARD = 2048, 2, 4096
+#: Equal rows that are dealt to a shard together.
+COPIES = 64
 
 SCHEMA = ("doc_id bigint, piece bigint, start bigint, n_tokens bigint, bin_id string, slot bigint, bin_fill bigint")
 
@@ -64,8 +66,9 @@ def pack(df: DataFrame, key: str = "doc_id", length: Column | None = None, sourc
     spaces as cluster (64-bit hash: a collision costs at most one placement).
 
     Rows are dealt over shards of about ``rows_per_shard`` rows by a hash of key and
-    text, so neither a hot source nor a hot key gathers in a task, and only ids,
-    lengths and hashes are shuffled. A shard leaves a few bins part-filled, well
+    text, equal rows counted first and dealt ``COPIES`` at a time, so neither a hot
+    source nor a hot key gathers in a task, and only ids, lengths, hashes and counts
+    are shuffled. A shard leaves a few bins part-filled, well
     under one in a hundred. Nulls: a null text has no tokens, a null source no
     conflict, a null key is packed like others. A row without tokens keeps one row
     with piece 0 and no bin. Equal rows are packed one by one. Same input, same bins.
@@ -77,9 +80,17 @@ def pack(df: DataFrame, key: str = "doc_id", length: Column | None = None, sourc
     shards = max(1, -(-df.count() // rows_per_shard))
     rows = df.select(F.col(key).alias("doc_id"), F.coalesce(length.cast("bigint"), F.lit(0)).alias("length"),
                      F.xxhash64(source, F.lit(1)).alias("hash"), source.isNotNull().alias("known"),
-                     cluster.alias("cluster"), F.pmod(F.xxhash64(F.col(key), text), F.lit(shards)).alias("shard"))
+                     cluster.alias("cluster"), F.xxhash64(F.col(key), text).alias("row"))
+    light = rows.columns
+    together = min(COPIES, rows_per_shard)
+    rows = rows.groupBy(*light).agg(F.count("*").alias("n")).select(
+        *light, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / together))).alias("chunk"))
+    # rows that differ in source, length or cluster alone spread too
+    rows = rows.select(*(c for c in light if c != "row"), F.least(F.lit(together), F.col("n") - F.col("chunk") * together).alias("copies"),
+                       F.pmod(F.xxhash64("row", "hash", "known", "length", "cluster", "chunk"), F.lit(shards)).alias("shard"))
 
     def shard(batch: pd.DataFrame) -> pd.DataFrame:
+        batch = batch.loc[batch.index.repeat(batch["copies"])]
         batch = batch.sort_values(["length", "doc_id", "cluster", "hash"], ascending=[False, True, True, True],
                                   kind="stable", na_position="first")
         ids = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]

@@ -85,6 +85,18 @@ def test_packing_odd_tables(odd):
     assert packing.pack(odd.filter("doc_id > 99")).count() == 0
 
 
+def test_packing_spreads_repeated_rows(spark):
+    rows = [(7, "same words here", "en", "a")] * 3000 + [(None, None, None, None)] * 1000 + [(8, "one text", "en", f"s{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows + [(100 + i, f"own text {i}", "en", f"t{i}") for i in range(4000)], SCHEMA)
+    got = packing.pack(df, rows_per_shard=500).collect()
+    assert Counter(r["doc_id"] for r in got if r["doc_id"] is None or r["doc_id"] < 100) == {7: 3000, None: 1000, 8: 1000} and len(got) == 9000
+    for k in (7, 8):
+        mine = [r["bin_id"] for r in got if r["doc_id"] == k]
+        assert len(set(mine)) == len(mine)  # copies do not share a bin
+        assert max(Counter(b.split("-")[0] for b in mine).values()) < len(mine) / 3
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, packing.pack(df.repartition(9), rows_per_shard=500).collect()), key=str)
+
+
 def test_language_holds_out_and_rejects(spark, docs, odd):
     rows = q.op3_language(spark, SF).collect()
     truth = {r["doc_id"]: (r["lang"], len(r["text"])) for r in docs.collect()}
