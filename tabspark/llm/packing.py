@@ -63,7 +63,8 @@ def pack(df: DataFrame, key: str = "doc_id", length: Column | None = None, sourc
     and a rest; rests are packed longest first. A bin never holds two documents of
     one duplicate cluster, nor more than ``per_source`` documents of one source.
     Defaults: words as length, the ``source`` column, and the text without case and
-    spaces as cluster (64-bit hash: a collision costs at most one placement).
+    spaces as cluster (64-bit hash: a collision costs at most one placement). Near copies
+    are no cluster by default; pass their class as ``cluster``.
 
     Rows are dealt over shards of about ``rows_per_shard`` rows by a hash of key and
     text, equal rows counted first and dealt ``COPIES`` at a time, so neither a hot
