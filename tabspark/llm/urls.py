@@ -55,16 +55,18 @@ def node_of(url: Column) -> Column:
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) addresses: each page to its canonical link and to the target of its refresh redirect.
+    """(src, dst) addresses: each page to all its canonical links and refresh redirects.
 
     Relative targets are resolved against the page. Links without a target and
     links of a page to itself are left out.
     """
-    tag = F.regexp_extract(html, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    tag = F.regexp_extract(html, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    redirect = F.regexp_extract(tag, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    found = pages.select(F.col(url).alias("url"), F.explode(F.array(canonical, redirect)).alias("target")).filter(
+    def targets(tag: str, link: str) -> Column:
+        tags = F.regexp_extract_all(html, F.lit(tag), F.lit(1))
+        return F.transform(tags, lambda t: F.regexp_extract(t, link, 1))
+
+    canonical = targets(r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
+    redirect = targets(r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)")
+    found = pages.select(F.col(url).alias("url"), F.explode(F.concat(canonical, redirect)).alias("target")).filter(
         F.col("url").isNotNull() & (F.col("target") != ""))
     host, path = host_path(F.col("url"))
     t, site = F.col("target"), F.concat(F.lit("x://"), host)

@@ -149,6 +149,18 @@ def test_url_decisions_follow_links(spark):
         urls.judge(df, rules=[("allow", f"h{i}", "/") for i in range(urls.MOST_RULES + 1)])
 
 
+def test_every_link_of_a_page_is_an_edge(spark):
+    pages = [(1, "https://a.org/1", "<link rel=canonical><link rel='canonical' href='https://b.org/1'><p>\n<LINK rel=\"canonical\" href=\"https://x.net/es/1\">"),
+             (2, "https://a.org/2", "<meta http-equiv=refresh content='5'><meta http-equiv='refresh' content='0; url=https://b.org/2'>"
+                                    "<meta http-equiv='refresh' content='1; url=/r'><link rel=canonical href=/c>"),
+             (3, "https://b.org/1", None), (4, "https://a.org/4", "<link rel=stylesheet href=/s>")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {tuple(r) for r in urls.link_edges(df).collect()}
+    assert got == {("a.org/1", "b.org/1"), ("a.org/1", "x.net/es/1"), ("a.org/2", "b.org/2"), ("a.org/2", "a.org/r"), ("a.org/2", "a.org/c")}
+    blocked = spark.createDataFrame([(5, "https://x.net/es/1", "")], df.schema)
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(df.unionByName(blocked)).collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "block"}
+
+
 def plain_lines(rows, ratio, pages):
     sites = defaultdict(set)
     for _, text, site in rows:
