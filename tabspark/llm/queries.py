@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm import bpe, chat, fingerprint, language, licenses, lines, minhash, packing, quality, urls
+from tabspark.llm import bpe, chat, divergence, fingerprint, language, licenses, lines, minhash, packing, phrases, quality, toxicity, urls
 from tabspark.sources.io import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,73 @@ def op9_line_dedup(spark, sf_dir):
 def op10_minhash(spark, sf_dir):
     """Class of near-duplicate texts of every document."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    """Toxicity of every document by the lexicon of the four folds of labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+    labels = read_table(spark, sf_dir, "labels").filter(~held).groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    lexicon = toxicity.fit(docs.filter(~held).select("doc_id", "text").join(labels, "doc_id").select("text", "label"))
+    scored = docs.select("doc_id", held.alias("held_out"), toxicity.score(docs, lexicon).alias("r"))
+    return scored.select("doc_id", "held_out", F.col("r.score").alias("score"), F.when(F.col("r.score") >= 0.5, 1).otherwise(0).alias("predicted"),
+                         F.col("r.hits").alias("hits"))
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query("op12_divergence", f"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), {_LOWER}) as text, row_number() over () as row from documents),
+w as (select lang, source, row, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+v as (select lang, term, count(*) as n from w group by lang, term having count(distinct row) >= {divergence.LEAST_DOCS}),
+l as (select lang, count(*) as v, sum(n) as total from v group by lang),
+c as (select w.lang, w.source, w.term, count(*) as n from w join v on w.lang = v.lang and w.term = v.term group by all),
+t as (select lang, source, sum(n) as total from c group by all),
+g as (select g.lang, g.source, coalesce(t.total, 0)::hugeint as total from (select distinct lang, source from d) g
+  left join t on g.lang = t.lang and g.source = t.source),
+p as (select g.lang, g.source, v.term, coalesce(c.n, 0) as n, v.n as lang_n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) as p, 1 + (1000000000::hugeint * (v.n + 2)) // (l.total::hugeint + 2 * l.v) as q
+  from g join v on g.lang = v.lang join l on g.lang = l.lang left join c on g.lang = c.lang and g.source = c.source and v.term = c.term),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item,
+    coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join p x on a.lang = x.lang and a.source = x.source
+    left join p y on b.lang = y.lang and b.source = y.source and x.term = y.term group by all),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q)) // (p + q) as value from p where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from (from pairs union all from terms) qualify part = 'pair' or row_number() over (partition by lang, source, part order by value desc, item) <= {divergence.TOP}
+""")
+def op12_divergence(spark, sf_dir):
+    """Divergence of every two sources of a language and the terms each source overuses."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+_GRAMS = " union all ".join(
+    f"select lang, {k} as k, " + " || ' ' || ".join(["w0", *(f"w{i}" for i in range(1, k))]) + f" as phrase, [{', '.join(f'w{i}' for i in range(k))}] as words from s"
+    + (f" where w{k - 1} is not null" if k > 1 else "") for k in range(1, phrases.LONGEST + 1))
+
+
+@query("op13_phrases", f"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), {_LOWER}) as text, row_number() over () as row from documents),
+p as (select lang, row, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece,
+  unnest(range(len(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')))) as part from d),
+w as (select lang, row, part, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) as w0, unnest(range(len(regexp_extract_all(piece, '[^\x20\x09]+')))) as pos from p),
+s as (select lang, w0, {', '.join(f"lead(w0, {i}) over (partition by row, part order by pos) as w{i}" for i in range(1, phrases.LONGEST))} from w),
+f as (select lang, k, phrase, words, count(*) as f from ({_GRAMS}) group by all having count(*) >= {phrases.LEAST}),
+n as (select lang, count(*) as n from w group by lang),
+inner_ as (select lang, f, unnest(flatten([[words[i:i + j - 1] for i in range(1, k - j + 2)] for j in range(2, k)])) as words from f where k > 2),
+c as (select f.* from f left join (select lang, words, max(f) as longer from inner_ group by all) i on f.lang = i.lang and f.words = i.words
+  where k > 1 and (longer is null or 100 * longer < {phrases.COVERED} * f.f)),
+x as (select c.lang, c.k, c.phrase, c.words, c.f, unnest(range(1, c.k)) as cut from c),
+y as (select x.lang, x.phrase, x.f as a, l.f as l, r.f as r, n.n, cut, (1000::hugeint * x.f * n.n) // (l.f::hugeint * r.f) as score from x
+  join f l on x.lang = l.lang and l.words = x.words[1:cut] join f r on x.lang = r.lang and r.words = x.words[cut + 1:x.k] join n on n.lang = x.lang),
+z as (select * from y qualify row_number() over (partition by lang, phrase order by score, cut) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+from z qualify rank <= {phrases.RANKS}
+""")
+def op13_phrases(spark, sf_dir):
+    """The strongest collocations of each language."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
