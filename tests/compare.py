@@ -41,7 +41,7 @@ def difference(df, con, sql: str) -> str | None:
     if sorted(names) != cols:
         return f"columns {cols} vs {sorted(names)}"
     types = {c[0]: str(c[1]) for c in rel.description}
-    spark_types = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+    spark_types = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
     odd = {c: (t, types[c]) for c, t in df.dtypes if spark_types.get(types[c]) != t}
     if odd:
         return f"types differ: {odd}"
