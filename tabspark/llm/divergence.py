@@ -6,8 +6,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.llm.scratch import cut, drop
@@ -88,26 +88,27 @@ def skyband(n: np.ndarray, of: np.ndarray, place: np.ndarray, k: int) -> np.ndar
 
 def _bands(df: DataFrame, k: int) -> DataFrame:
     """The skyband of every (lang, source, salt)."""
-    def run(own: pd.DataFrame) -> pd.DataFrame:
-        words = own["term"].to_numpy(object)
-        place = np.empty(len(words), np.int64)
-        place[sorted(range(len(words)), key=lambda i: words[i].encode())] = np.arange(len(words))
-        return own.iloc[skyband(own["n"].to_numpy(np.int64), own["lang_n"].to_numpy(np.int64), place, k)]
+    def run(own: pa.Table) -> pa.Table:
+        order = pc.sort_indices(pc.cast(own["term"], pa.binary())).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return own.take(pa.array(skyband(own["n"].to_numpy(), own["lang_n"].to_numpy(), place, k)))
 
-    return df.groupBy("lang", "source", "salt").applyInPandas(run, df.schema)
+    return df.groupBy("lang", "source", "salt").applyInArrow(run, df.schema)
 
 
-def top_terms(terms: DataFrame, count: int, k: int = TOP) -> DataFrame:
+def top_terms(terms: DataFrame, most: int, k: int = TOP) -> DataFrame:
     """(lang, source, item, value, rank) of the ``k`` first terms of each group of ``terms``.
 
     ``value`` grows with the group's count and falls with the language's, and ties go
     to the earlier term, so a term that k others dominate in all three is not among
-    the k first. ``count`` is the number of rows; a group of any size is cut by
-    term into parts of about ``BAND_TERMS`` rows, whose skybands are merged.
+    the k first. A group of a language with ``kept`` terms is cut by term into parts of about
+    ``BAND_TERMS`` rows, whose skybands are merged, ``MERGED`` at a time; ``most`` is the greatest ``kept``.
     """
-    salts = max(1, -(-count // BAND_TERMS))
     cols = ("lang", "source", "term", "n", "lang_n", "value")
-    band = _bands(terms.select(*cols, F.pmod(F.xxhash64("term"), F.lit(salts)).alias("salt")), k)
+    parts = F.greatest(F.ceil(F.col("kept") / BAND_TERMS), F.lit(1))
+    band = _bands(terms.select(*cols, F.pmod(F.xxhash64("term"), parts).alias("salt")), k)
+    salts = max(1, -(-most // BAND_TERMS))
     while salts > 1:
         salts = -(-salts // MERGED)
         band = _bands(band.withColumn("salt", F.pmod("salt", F.lit(salts))), k)
@@ -137,24 +138,27 @@ def pair_sums(entries: DataFrame, groups: DataFrame, count: int) -> DataFrame:
     dealt = rows.select("lang", "block", "tile", "idx", "term", "p", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)).alias("other"))
     dealt = dealt.select("lang", "block", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "idx", "term", "p")
 
-    def run(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        base = own[own["term"].isna()].drop_duplicates("idx").sort_values("idx")
-        ids, absent = base["idx"].to_numpy(np.int64), base["p"].to_numpy(np.int64)
-        rest = own[own["term"].notna()]
-        code, terms = pd.factorize(rest["term"])
-        shares = np.tile(absent, (len(terms), 1)).T.copy()
-        shares[np.searchsorted(ids, rest["idx"].to_numpy(np.int64)), code] = rest["p"].to_numpy(np.int64)
-        a, b = key[2], key[3]
-        left = np.flatnonzero(ids // TILE == a)
-        out = []
-        for x in left:
+    def run(own: pa.Table) -> pa.Table:
+        idx, p = own["idx"].to_numpy(), own["p"].to_numpy()
+        bare = own["term"].is_null().to_numpy()
+        ids, first = np.unique(idx[bare], return_index=True)
+        absent = p[bare][first]
+        coded = own["term"].combine_chunks().dictionary_encode()
+        terms, code = coded.dictionary, coded.indices.drop_null().to_numpy()
+        shares = np.repeat(absent[:, None], len(terms), axis=1)
+        shares[np.searchsorted(ids, idx[~bare]), code] = p[~bare]
+        a, b = own["a"][0].as_py(), own["b"][0].as_py()
+        i, j, value = [], [], []
+        for x in np.flatnonzero(ids // TILE == a):
             right = np.flatnonzero((ids // TILE == b) & (ids > ids[x]))
-            if len(right):
-                value = _f(shares[x], shares[right]).sum(axis=1) - len(terms) * _f(absent[x], absent[right])
-                out.append(pd.DataFrame({"lang": key[0], "i": ids[x], "j": ids[right], "value": value}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "i": [], "j": [], "value": []})
-
-    parts = dealt.groupBy("lang", "block", "a", "b").applyInPandas(run, "lang string, i bigint, j bigint, value bigint")
+            i.append(np.full(len(right), ids[x]))
+            j.append(ids[right])
+            value.append(_f(shares[x], shares[right]).sum(axis=1) - len(terms) * _f(absent[x], absent[right]))
+        made = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (i, j, value)]
+        lang = pa.array([own["lang"][0].as_py()] * len(made[0]), pa.string())
+        return pa.table([lang, *(pa.array(v.astype(np.int64)) for v in made)], names=["lang", "i", "j", "value"])
+
+    parts = dealt.groupBy("lang", "block", "a", "b").applyInArrow(run, "lang string, i bigint, j bigint, value bigint")
     return parts.groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))
 
 
@@ -203,6 +207,6 @@ def audit(df: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFr
 
     q = share(F.col("lang_n"), F.col("lang_total"), F.col("kept"))
     above = entries.withColumn("q", q).filter("p > q").withColumn("value", divergence(F.col("p"), F.col("q")))
-    terms = top_terms(above, count, top)
+    terms = top_terms(above, groups.agg(F.max("kept")).first()[0] or 0, top)
     cols = ("lang", "source", "part", "item", "value", "rank")
     return pairs.withColumn("part", F.lit("pair")).select(*cols).unionByName(terms.withColumn("part", F.lit("term")).select(*cols))

@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.llm.scratch import cut, drop
 from tabspark.sources.io import scratch_dir
@@ -167,7 +167,7 @@ def reached_slots(phrases: DataFrame, slots: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def count_phrases(spark: SparkSession, encoded: str, least: int, longest: int, shards: int, slots: int) -> DataFrame:
+def count_phrases(encoded: DataFrame, least: int, longest: int, shards: int, slots: int) -> DataFrame:
     """(lang, words, n) of every phrase of 1 to ``longest`` words with at least ``least`` places.
 
     Step after step reads the next shard, in a cycle. What has ``least`` places so far is
@@ -175,13 +175,13 @@ def count_phrases(spark: SparkSession, encoded: str, least: int, longest: int, s
     next step on, beside those already counted, each until it has met every shard once.
     Two phrases in one slot only start a count too early; it is a whole cycle all the same.
     """
+    spark = encoded.sparkSession
     steps = np.full(slots, UNSET, np.uint8)
-    table = spark.read.parquet(encoded)
     tables: list[DataFrame] = []
     step = 0
     while True:
         state = spark.sparkContext.broadcast(steps.tobytes())
-        seen = count_step(table.filter(F.col("shard") == step % shards), state, step, shards, longest)
+        seen = count_step(encoded.filter(F.col("shard") == step % shards), state, step, shards, longest)
         if tables:
             seen = seen.unionByName(tables[-1].filter("not whole").drop("whole"))
         step += 1
@@ -235,7 +235,7 @@ def collocations(df: DataFrame, least: int = LEAST, longest: int = LONGEST, rank
     path = scratch_dir(spark, "encoded")
     encode(docs, seed, shards).write.option("compression", "zstd").partitionBy("shard").parquet(path)
     encoded = spark.read.schema("lang string, tokens binary, n_words bigint, hash bigint, word binary, shard int").parquet(path)
-    found = count_phrases(spark, path, least, longest, shards, slots).withColumn("k", (F.length("words") / 8).cast("int"))
+    found = count_phrases(encoded, least, longest, shards, slots).withColumn("k", (F.length("words") / 8).cast("int"))
     totals = encoded.filter("shard >= 0").groupBy("lang").agg(F.sum("n_words").alias("n"))
     named = found.select("lang", "words", F.col("n").alias("f"))
     cand = found.filter("k > 1").withColumnRenamed("n", "a")
