@@ -143,8 +143,7 @@ def op11_toxicity(spark, sf_dir):
     """Toxicity of every document by the lexicon of the four folds of labels that are not held out."""
     docs = read_table(spark, sf_dir, "documents")
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
-    labels = read_table(spark, sf_dir, "labels").filter(~held).groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    lexicon = toxicity.fit(docs.filter(~held).select("doc_id", "text").join(labels, "doc_id").select("text", "label"))
+    lexicon = toxicity.fit(docs.filter(~held), read_table(spark, sf_dir, "labels").filter(~held))
     scored = docs.select("doc_id", held.alias("held_out"), toxicity.score(docs, lexicon).alias("r"))
     return scored.select("doc_id", "held_out", F.col("r.score").alias("score"), F.when(F.col("r.score") >= 0.5, 1).otherwise(0).alias("predicted"),
                          F.col("r.hits").alias("hits"))

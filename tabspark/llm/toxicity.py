@@ -11,12 +11,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tabspark.llm.sampling import labelled
 
 #: Bounds of the fitted state: labelled texts of each label, entries, exception phrases.
 TEXTS, ENTRIES, EXCEPTIONS = 12_000, 5_000, 2_000
-#: Times the wanted texts of a label that are sent for the choice.
-SPARE = 2
 #: Letters of a word beginning that may be an entry of its own.
 STEMS = range(3, 9)
 #: Toxic texts an entry is in at least, the least weight, clean texts an exception is in at least.
@@ -123,22 +123,6 @@ def probability(curve: tuple, x: tuple) -> float:
     return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def sample(df: DataFrame, texts: int = TEXTS) -> DataFrame:
-    """(text, label): at most ``texts`` distinct texts of each label, those with the smallest hashes.
-
-    A text with both labels keeps the greater. Hashes above a bound that leaves about ``SPARE``
-    times the wanted texts are not sent on, so no task holds all texts of a label.
-    """
-    known = df.filter(F.col("text").isNotNull() & F.col("label").isNotNull()).select("text", F.col("label").cast("int").alias("label"), F.xxhash64("text").alias("h"))
-    many = {r["label"]: r["n"] for r in known.filter("label in (0, 1)").groupBy("label").agg(F.approx_count_distinct("h").alias("n")).collect()}
-    bound = F.lit(None).cast("bigint")
-    for label, n in many.items():
-        bound = F.when(F.col("label") == label, F.lit(min(2**63 - 1, int(2**64 * min(1.0, SPARE * texts / max(n, 1))) - 2**63))).otherwise(bound)
-    one = known.filter(F.col("h") <= bound).groupBy("h").agg(F.max("label").alias("label"), F.min("text").alias("text"))
-    first = Window.partitionBy("label").orderBy("h")
-    return one.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= texts).select("h", "text", "label")
-
-
 def _counted(df: DataFrame, found) -> DataFrame:
     """Sums of ``found(text, label)``, an iterable of features, by feature and label; counted per task first."""
     names = pa.schema([("feature", pa.string()), ("label", pa.int32()), ("n", pa.int64())])
@@ -187,21 +171,21 @@ def _curve(x: np.ndarray, y: np.ndarray, prior: float) -> tuple:
     return tuple(float(b) for b in beta)
 
 
-def fit(df: DataFrame, texts: int = TEXTS, entries: int = ENTRIES, exceptions: int = EXCEPTIONS) -> Lexicon:
-    """The lexicon of labelled texts (columns ``text`` and ``label`` 0 or 1).
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", texts: int = TEXTS, entries: int = ENTRIES, exceptions: int = EXCEPTIONS) -> Lexicon:
+    """The lexicon of the documents that ``labels`` (``doc_id`` and ``label`` 0 or 1) names.
 
-    It is learned from a sample of at most ``texts`` whole texts of each label
-    (:func:`sample`), counted by Spark: entries are words and beginnings of words that are in more
+    It is learned from at most ``texts`` whole texts of each label
+    (:func:`sampling.labelled`), counted by Spark: entries are words and beginnings of words that are in more
     toxic than clean texts, ``entries`` of them at most, the heaviest first. An exception is
     an entry's word with the one before or after it, found in ``CLEAN`` clean texts and no toxic one.
     The curve is fitted to the sample with each text's own part taken out of the
     weights. Without texts of both labels nothing is an entry and every score is equal.
     """
-    spark = df.sparkSession
-    own = sample(df, texts).persist()
+    spark = docs.sparkSession
+    own = labelled(docs, labels, label, texts).persist()
     try:
-        shares = {r["label"]: r["n"] for r in df.filter(F.col("text").isNotNull() & F.col("label").isin(0, 1)).groupBy(
-            F.col("label").cast("int").alias("label")).count().withColumnRenamed("count", "n").collect()}
+        shares = {r["label"]: r["n"] for r in labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("label")).agg(
+            F.count("*").alias("n")).collect()}
         n = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
         if len(n) < 2:
             return Lexicon({}, [], (4.0 if 1 in n else -4.0, 0.0, 0.0, 0.0))
