@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import os
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -12,8 +13,8 @@ import regex
 from pyspark.sql import Column, SparkSession, functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-#: Distinct pieces a worker remembers, and the longest it keeps.
-PIECES, PIECE_CHARS = 200_000, 64
+#: Distinct pieces of a generation a worker remembers, the longest it keeps, and pieces that are looked up together.
+PIECES, PIECE_CHARS, TOGETHER = 150_000, 64, 100_000
 #: Characters on which the regex module and the tokenizers library cut alike; other texts are cut by the latter.
 SAFE = ((0x0, 0x557), (0x2000, 0x208E), (0x3040, 0x9FFF), (0xAC00, 0xD7A3))
 COMMON = regex.compile("[^%s]" % "".join(f"{chr(a)}-{chr(b)}" for a, b in SAFE))
@@ -35,6 +36,14 @@ def read_ranks(spark: SparkSession, path: str) -> bytes:
         return f.read()
 
 
+def _is_text(token: bytes) -> bool:
+    try:
+        token.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Codec:
     """Encoder and decoder for one rank file and one splitting pattern.
 
@@ -54,26 +63,52 @@ class Codec:
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         back = {c: b for b, c in enumerate(table)}
         self.bytes = {r: bytes(back[c] for c in self.model.id_to_token(r)) for r in tokens.values()}
-        self.known: dict[str, list[int]] = {}
+        self.whole = {t.decode(): r for t, r in tokens.items() if _is_text(t)}
+        # pieces of this generation and the one before: (ids, ids as text, bytes of the ids)
+        self.new: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.old: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def pieces(self, text: str) -> list[str]:
         if COMMON.search(text):
             return [p for p, _ in self.cut.pre_tokenize_str(text)]
         return self.find(text)
 
-    def encode(self, text: str) -> list[int]:
-        known, pieces = self.known, self.pieces(text)
-        new = list({p for p in pieces if p not in known})
-        extra = {}
-        if new:
-            for p, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                (known if len(p) <= PIECE_CHARS else extra)[p] = e.ids
-        out: list[int] = []
-        for p in pieces:
-            out += known[p] if p in known else extra[p]
+    def entry(self, ids) -> tuple[tuple[int, ...], str, bytes]:
+        return tuple(ids), ",".join(map(str, ids)), self.decode_bytes(ids)
+
+    def entries(self, texts: Iterable[str]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """The entry of every piece of every text.
+
+        Pieces of several texts are looked up together: in the memory, in the generation before, in
+        the vocabulary, and what is left in one call of the library. A full memory becomes the older generation.
+        """
+        held, many = [], 0
+        for text in texts:
+            held.append(self.pieces(text))
+            many += len(held[-1])
+            if many >= TOGETHER:
+                yield from self._looked_up(held)
+                held, many = [], 0
+        yield from self._looked_up(held)
+
+    def _looked_up(self, held: list[list[str]]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        known, extra, rest = self.new, {}, []
+        for p in {p for pieces in held for p in pieces if p not in known}:
+            if p in self.old:
+                known[p] = self.old[p]
+            elif p in self.whole:
+                known[p] = self.entry((self.whole[p],))
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            (known if len(p) <= PIECE_CHARS else extra)[p] = self.entry(e.ids)
+        for pieces in held:
+            yield [known[p] for p in pieces] if not extra else [known[p] if p in known else extra[p] for p in pieces]
         if len(known) > PIECES:
-            known.clear()
-        return out
+            self.old, self.new = known, {}
+
+    def encode(self, text: str) -> list[int]:
+        return [i for own in self.entries([text]) for e in own for i in e[0]]
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         table = self.bytes
@@ -95,6 +130,7 @@ class Codec:
 def codec(state: dict) -> Codec:
     """The codec of a broadcast state, made once per worker, which keeps broadcast values between tasks."""
     if "codec" not in state:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks have the cores already
         state["codec"] = Codec(state["ranks"], state["pattern"])
     return state["codec"]
 
@@ -140,18 +176,17 @@ def decode(spark: SparkSession, ids: Column, path: str, pattern: str) -> Column:
 
 
 def round_trip(spark: SparkSession, text: Column, path: str, pattern: str) -> Column:
-    """``struct<n_tokens, ids_sha256, decoded_sha256>``: encode, decode, and digests of both, one row at a time."""
+    """``struct<n_tokens, ids_sha256, decoded_sha256>``: encode, decode, and digests of both; ids are decoded piece by piece."""
     state = shipped(spark, path, pattern)
 
     def run(batches):
         own = codec(state.value)
         for batch in batches:
             n, a, b = [], [], []
-            for cell in batch:
-                ids = own.encode(cell.as_py() or "")
-                n.append(len(ids))
-                a.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
-                b.append(sha256(own.decode_bytes(ids)).hexdigest())
+            for pieces in own.entries(cell.as_py() or "" for cell in batch):
+                n.append(sum([len(ids) for ids, _, _ in pieces]))
+                a.append(sha256(",".join([text for _, text, _ in pieces]).encode()).hexdigest())
+                b.append(sha256(b"".join([data for _, _, data in pieces])).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                              names=["n_tokens", "ids_sha256", "decoded_sha256"])
 
