@@ -5,15 +5,19 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import Counter
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Tokens a bin holds; documents of one source it may hold; rows one task packs together.
 CAPACITY, PER_SOURCE, ROWS_PER_SHARD = 2048, 2, 4096
 #: Equal rows that are dealt to a shard together.
 COPIES = 64
 
-SCHEMA = ("doc_id bigint, piece bigint, start bigint, n_tokens bigint, bin_id string, slot bigint, bin_fill bigint")
+PIECES = "piece bigint, start bigint, n_tokens bigint, bin_id string, slot bigint, bin_fill bigint"
+NAMES = ["doc_id", "piece", "start", "n_tokens", "bin_id", "slot", "bin_fill"]
 
 
 def best_fit(items: list[tuple[int, object, object]], capacity: int, per_source: int) -> list[int]:
@@ -71,7 +75,7 @@ def pack(df: DataFrame, key: str = "doc_id", length: Column | None = None, sourc
     source nor a hot key gathers in a task, and only ids, lengths, hashes and counts
     are shuffled. A shard leaves a few bins part-filled, well
     under one in a hundred. Nulls: a null text has no tokens, a null source no
-    conflict, a null key is packed like others. A row without tokens keeps one row
+    conflict, a null key is packed like others; keys may be numbers, texts, dates or times. A row without tokens keeps one row
     with piece 0 and no bin. Equal rows are packed one by one. Same input, same bins.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -90,32 +94,33 @@ def pack(df: DataFrame, key: str = "doc_id", length: Column | None = None, sourc
     rows = rows.select(*(c for c in light if c != "row"), F.least(F.lit(together), F.col("n") - F.col("chunk") * together).alias("copies"),
                        F.pmod(F.xxhash64("row", "hash", "known", "length", "cluster", "chunk"), F.lit(shards)).alias("shard"))
 
-    def shard(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.loc[batch.index.repeat(batch["copies"])]
-        batch = batch.sort_values(["length", "doc_id", "cluster", "hash"], ascending=[False, True, True, True],
-                                  kind="stable", na_position="first")
-        ids = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]
-        lengths = batch["length"].tolist()
+    def shard(batch: pa.Table) -> pa.Table:
+        batch = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), batch["copies"].to_numpy())))
+        batch = batch.take(pc.sort_indices(batch, sort_keys=[("length", "descending"), *((c, "ascending") for c in ("doc_id", "cluster", "hash"))],
+                                           null_placement="at_start"))
+        lengths = batch["length"].to_pylist()
         rests = [(n % capacity, i) for i, n in enumerate(lengths) if n % capacity]
         rests.sort(key=lambda x: (-x[0], x[1]))
-        known, hashes, groups = batch["known"].tolist(), batch["hash"].tolist(), batch["cluster"].tolist()
-        bins = best_fit([(n, hashes[i] if known[i] else None, None if pd.isna(groups[i]) else groups[i])
-                         for n, i in rests], capacity, per_source)
-        name, fill, slot = int(batch["shard"].iloc[0]), Counter(), Counter()
+        known, hashes, groups = (batch[c].to_pylist() for c in ("known", "hash", "cluster"))
+        bins = best_fit([(n, hashes[i] if known[i] else None, groups[i]) for n, i in rests], capacity, per_source)
+        name, fill, slot = batch["shard"][0].as_py(), Counter(), Counter()
         for (n, _), b in zip(rests, bins):
             fill[b] += n
         rows, whole = [], max(bins, default=-1) + 1
         for i, n in enumerate(lengths):
             for p in range(n // capacity):
-                rows.append((ids[i], p, p * capacity, capacity, f"{name}-{whole}", 0, capacity))
+                rows.append((i, p, p * capacity, capacity, f"{name}-{whole}", 0, capacity))
                 whole += 1
             if not n:
-                rows.append((ids[i], 0, 0, 0, None, None, None))
+                rows.append((i, 0, 0, 0, None, None, None))
         for (n, i), b in zip(rests, bins):
             whole_pieces = lengths[i] // capacity
-            rows.append((ids[i], whole_pieces, whole_pieces * capacity, n, f"{name}-{b}", slot[b], fill[b]))
+            rows.append((i, whole_pieces, whole_pieces * capacity, n, f"{name}-{b}", slot[b], fill[b]))
             slot[b] += 1
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "n_tokens", "bin_id", "slot", "bin_fill"])
-        return out.astype({"doc_id": "Int64", "slot": "Int64", "bin_fill": "Int64"})
+        who, *columns = zip(*rows)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+        # keys stay Arrow values: no number passes through a double
+        return pa.table([batch["doc_id"].take(pa.array(who)), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=NAMES)
 
-    return rows.groupBy("shard").applyInPandas(shard, SCHEMA)
+    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), *StructType.fromDDL(PIECES)])
+    return rows.groupBy("shard").applyInArrow(shard, schema)
