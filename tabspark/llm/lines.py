@@ -38,14 +38,15 @@ def boilerplate(df: DataFrame, host: Column, text: str = "text", ratio: float =
 
 
 def drop_lines(df: DataFrame, host: Column | None = None, text: str = "text", ratio: float = RATIO,
-               pages: int = PAGES) -> DataFrame:
+               pages: int = PAGES, dropped: str | None = "n_dropped") -> DataFrame:
     """``df`` with its text without the boilerplate lines of its host, and ``n_dropped``, the lines that went.
 
     A line goes if at least ``pages`` pages and at least a share ``ratio`` of the
     host's pages have it; every place of it goes, the others keep their order.
     Lines of white space alone stay. A null text stays null, a null host has no
     boilerplate, a text that was all boilerplate becomes empty, equal rows are
-    treated alike. ``df`` must not have columns ``n_dropped`` or ``site_host``.
+    treated alike. Other columns keep their names, whatever these are; a column named like ``dropped`` is
+    replaced, and with None no count is added.
 
     DataFrame operations only. The boilerplate list is written first; up to
     ``SMALL`` lines it is broadcast and no text moves, beyond that texts are
@@ -56,10 +57,13 @@ def drop_lines(df: DataFrame, host: Column | None = None, text: str = "text", ra
     by_host = found.groupBy(F.col("host").alias("site_host")).agg(F.collect_set("line").alias("site_lines"))
     if found.count() <= SMALL:
         by_host = F.broadcast(by_host)
-    joined = df.join(by_host, host == F.col("site_host"), "left")
-    kept = F.filter(parts(F.col(text)), lambda x: ~F.array_contains(F.col("site_lines"), F.unhex(F.md5(x))))
-    return joined.select(*(F.col(f"`{c}`") for c in df.columns if c != text), F.when(F.col("site_lines").isNull(), F.struct(
-        F.col(text).alias("t"), F.lit(0).cast("bigint").alias("n"))).otherwise(F.struct(
-            F.array_join(kept, "\n").alias("t"), (F.size(parts(F.col(text))) - F.size(kept)).cast("bigint").alias("n"))).alias("done")
-    ).select(*(F.col("done.t").alias(text) if c == text else F.col(f"`{c}`") for c in df.columns),
-             F.coalesce("done.n", F.lit(0).cast("bigint")).alias("n_dropped"))
+    # numbered names meet no name of the list
+    names = [c for c in df.columns if c != dropped]
+    own = df.select(*(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(names)), host.alias("d_host"), F.col(f"`{text}`").alias("d_text"))
+    joined = own.join(by_host, F.col("d_host") == F.col("site_host"), "left")
+    kept = F.filter(parts(F.col("d_text")), lambda x: ~F.array_contains(F.col("site_lines"), F.unhex(F.md5(x))))
+    done = joined.select(*(f"d{i}" for i, c in enumerate(names) if c != text), F.when(F.col("site_lines").isNull(), F.struct(
+        F.col("d_text").alias("t"), F.lit(0).cast("bigint").alias("n"))).otherwise(F.struct(
+            F.array_join(kept, "\n").alias("t"), (F.size(parts(F.col("d_text"))) - F.size(kept)).cast("bigint").alias("n"))).alias("done"))
+    count = [F.coalesce("done.n", F.lit(0).cast("bigint")).alias(dropped)] if dropped else []
+    return done.select(*(F.col("done.t" if c == text else f"d{i}").alias(c) for i, c in enumerate(names)), *count)

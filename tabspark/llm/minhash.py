@@ -436,14 +436,16 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", least: floa
     The rows that go are looked up by key and digest; other columns play no part.
     """
     found = cut(near_duplicates(df, key, text, least), "classes")
-    digest = F.coalesce(F.md5(F.col(text)), F.lit("-"))
+    # numbered names meet no name of the lists
+    own = df.select(*(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(df.columns)), F.col(f"`{key}`").alias("own_id"),
+                    F.coalesce(F.md5(F.col(f"`{text}`")), F.lit("-")).alias("own_digest"))
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"))
-    left = df.join(gone.distinct(), F.col(key).eqNullSafe(F.col("gone_id")) & (digest == F.col("gone_digest")), "left_anti")
+    left = own.join(gone.distinct(), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_digest") == F.col("gone_digest")), "left_anti")
     # repeated rows share key and digest with the one that stays
     repeated = found.filter(F.col("kept") & (F.col("class_size") > 1)).groupBy("doc_id", "digest").count().filter("count > 1")
-    if repeated.isEmpty():
-        return left
-    twice = repeated.select(F.col("doc_id").alias("again_id"), F.col("digest").alias("again_digest"))
-    match = F.col(key).eqNullSafe(F.col("again_id")) & (digest == F.col("again_digest"))
-    once = left.join(twice, match, "left_semi").withColumn("again_digest", digest).dropDuplicates([key, "again_digest"]).drop("again_digest")
-    return left.join(twice, match, "left_anti").unionByName(once)
+    if not repeated.isEmpty():
+        twice = repeated.select(F.col("doc_id").alias("again_id"), F.col("digest").alias("again_digest"))
+        match = F.col("own_id").eqNullSafe(F.col("again_id")) & (F.col("own_digest") == F.col("again_digest"))
+        once = left.join(twice, match, "left_semi").dropDuplicates(["own_id", "own_digest"])
+        left = left.join(twice, match, "left_anti").unionByName(once)
+    return left.select(*(F.col(f"d{i}").alias(c) for i, c in enumerate(df.columns)))
