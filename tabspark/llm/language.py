@@ -99,7 +99,8 @@ def identify(df: DataFrame, content: dict[str, bytes], text: str = "text") -> Co
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     clean = F.when(F.col(text).rlike(r"\p{L}"), letters(F.col(text)))
-    return F.arrow_udf(run, RESULT)(clean.cast("binary"))
+    # not deterministic in name only: a filter and a column that use it then share one evaluation
+    return F.arrow_udf(run, RESULT).asNondeterministic()(clean.cast("binary"))
 
 
 def rejected(result: Column, least: float = MARGIN) -> Column:
