@@ -72,7 +72,8 @@ def op4_licenses(spark, sf_dir):
 def op5_quality(spark, sf_dir):
     """Counts, base rules and compression bands of every document."""
     docs = read_table(spark, sf_dir, "documents")
-    return docs.select("doc_id", quality.rules(F.col("text")).alias("q")).select("doc_id", "q.*")
+    limits = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", quality.rules(F.col("text"), limits).alias("q")).select("doc_id", "q.*")
 
 
 @query("op6_byte_bpe")
