@@ -11,20 +11,21 @@ from tabspark.sources.io import read_table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the compression bands keep."""
-    judged = docs.withColumn("_quality", quality.rules(F.col("text")))
-    return judged.filter(F.col("_quality.kept")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    limits = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return docs.filter(quality.rules(F.col("text"), limits)["kept"])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear, with the language that was found."""
-    found = docs.withColumn("_language", language.identify(docs, language.fit(docs)))
-    found = found.filter(~language.rejected(F.col("_language")))
-    return found.select(*(F.col("_language.lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
+    own = [F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(docs.columns)]
+    found = docs.select(*own, language.identify(docs, language.fit(docs)).alias("found"))
+    found = found.filter(~language.rejected(F.col("found")))
+    return found.select(*(F.col("found.lang" if c == "lang" else f"d{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines; n_chars follows the text."""
-    done = lines.drop_lines(docs)
+    done = lines.drop_lines(docs, dropped=None)
     return done.select(*(F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
