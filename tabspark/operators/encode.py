@@ -6,10 +6,11 @@ from itertools import combinations, combinations_with_replacement
 from math import comb
 from os.path import commonprefix
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions.scalar import ident, num
+from tabspark.operators.fitted import Fitted, kind
 from tabspark.operators.ordered import ranked
 
 MAX_WIDE_CATEGORIES = 1_000
@@ -75,10 +76,13 @@ class OneHot(Estimator):
         return OneHotModel({c: sorted(vs) for c, vs in cats.items()})
 
 
-class OneHotModel(Model):
+class OneHotModel(Fitted):
     def __init__(self, categories: dict[str, list]):
-        super().__init__()
-        self.categories = categories
+        super().__init__("one_hot", {"categories": categories})
+
+    @property
+    def categories(self) -> dict[str, list]:
+        return self.state["categories"]
 
     @property
     def output_columns(self) -> list[str]:
@@ -88,15 +92,17 @@ class OneHotModel(Model):
         return [F.when(F.col(ident(c)) == F.lit(v), 1.0).otherwise(0.0).alias(f"{c}_{v}")
                 for c, vs in self.categories.items() for v in vs[1:]]
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        keep = [ident(c) for c in df.columns if c not in self.categories]
-        return df.select(*keep, *self.encoded())
-
     def transform_only(self, df: DataFrame, keep: list[str]) -> DataFrame:
         """Encoded columns with the key columns only."""
         return df.select(*map(ident, keep), *self.encoded())
 
 
+@kind("one_hot")
+def _one_hot(df, s):
+    keep = [ident(c) for c in df.columns if c not in s["categories"]]
+    return df.select(*keep, *OneHotModel(s["categories"]).encoded())
+
+
 def encode_long(df: DataFrame, key: str, columns: list[str], table: DataFrame) -> DataFrame:
     """Sparse one-hot for any cardinality: (key, column, position) of the ones."""
     cells = df.select(ident(key), F.explode(F.array(*[

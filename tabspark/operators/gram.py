@@ -253,6 +253,35 @@ def least_squares(g: Gram, features: list[str], target: str, alpha: float = 0.0,
     return LinearFit(tuple(features), coef, intercept, max(rss, 0.0), tss, g.n, err, ierr)
 
 
+def positive_least_squares(g: Gram, features: list[str], target: str, alpha: float = 0.0, fit_intercept: bool = True,
+                           rounds: int = 10_000) -> LinearFit:
+    """Least squares with no coefficient below zero: columns enter and leave a free set (p x p algebra)."""
+    ix, iy = g.index(features), g.names.index(target)
+    m = g.scatter if fit_intercept else g.raw
+    a, b = m[np.ix_(ix, ix)] + alpha * np.eye(len(ix)), m[ix, iy]
+    coef, free = np.zeros(len(ix)), np.zeros(len(ix), bool)
+    limit = 1e-10 * max(np.abs(b).max(initial=0.0), 1e-300)
+    for _ in range(rounds):
+        slope = np.where(free, -np.inf, b - a @ coef)
+        if free.all() or slope.max() <= limit:
+            break
+        free[int(slope.argmax())] = True
+        while True:
+            new = np.zeros(len(ix))
+            new[free] = _pinv(a[np.ix_(free, free)]) @ b[free]
+            if not (free & (new <= 0)).any():
+                break
+            low = np.flatnonzero(free & (new <= 0))
+            part = coef[low] / np.maximum(coef[low] - new[low], 1e-300)
+            coef = coef + part.min() * (new - coef)
+            free[low[part <= part.min()]] = False
+            coef[~free] = 0.0
+        coef = new
+    intercept = float(g.mean[iy] - g.mean[ix] @ coef) if fit_intercept else 0.0
+    rss = float(m[iy, iy] - 2 * coef @ b + coef @ m[np.ix_(ix, ix)] @ coef)
+    return LinearFit(tuple(features), coef, intercept, max(rss, 0.0), float(m[iy, iy]), g.n, np.full(len(ix), math.nan), math.nan)
+
+
 def ols_table(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Term, coefficient, standard error, t and p, plus the R2 row."""
     fit = least_squares(gram(df, [*features, target]), features, target)

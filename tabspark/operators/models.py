@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions.scalar import dbl, dot, ident
 from tabspark.operators import gram as G
+from tabspark.operators import margins
 from tabspark.operators import reduce as R
+from tabspark.operators.fitted import Fitted, kind
 from tabspark.operators.profile import class_weights
 
 log = logging.getLogger(__name__)
@@ -32,17 +34,6 @@ MAX_CLASSES = 1_000
 PATIENCE, GAIN = 10, 1e-3
 
 
-@dataclass
-class Fitted:
-    """A fitted model: a function that adds the prediction columns."""
-
-    add: object
-    info: dict = field(default_factory=dict)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.add(df)
-
-
 @dataclass
 class Spec:
     name: str
@@ -71,9 +62,23 @@ def balanced(df: DataFrame, label: str, params: dict) -> tuple[DataFrame, str |
 
 # --- moment-based linear models ---------------------------------------------------------
 
+@kind("linear")
+def _linear(df, s):
+    f = dot([dbl(c) for c in s["features"]], s["coef"]) + F.lit(s["intercept"]) if s["features"] else F.lit(s["intercept"])
+    if not s["margin"]:
+        return df.withColumn("prediction", f)
+    return df.withColumn("score", f).withColumn("prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0))
+
+
+def linear_model(fit: G.LinearFit, margin: bool = False) -> Fitted:
+    """A linear function of the features; with ``margin`` its sign is the class."""
+    return Fitted("linear", {"features": list(fit.features), "coef": np.asarray(fit.coef, float), "intercept": float(fit.intercept),
+                             "margin": margin}, {"fit": fit})
+
+
 def from_moments(g, features, label, params) -> Fitted:
-    fit = G.least_squares(g, features, label, float(params.get("alpha", 0.0)), params.get("fit_intercept", True))
-    return Fitted(lambda d: d.withColumn("prediction", fit.predict()), {"fit": fit})
+    fit = G.least_squares if not params.get("positive") else G.positive_least_squares
+    return linear_model(fit(g, features, label, float(params.get("alpha", 0.0)), params.get("fit_intercept", True)))
 
 
 def fit_least_squares(df, features, label, params):
@@ -100,12 +105,22 @@ def fit_ridge_classifier(df, features, label, params):
             f = total / (len(parts) * p.n)
             scaled.append(G.Gram(p.names, p.n * f, p.shift, p.s1 * f, p.s2 * f))
         fit = G.least_squares(G.sum_grams(scaled), features, "__y", alpha, icpt)
-    return Fitted(lambda d: d.withColumn("score", fit.predict()).withColumn(
-        "prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0)), {"fit": fit})
+    return linear_model(fit, margin=True)
 
 
 # --- Spark ML models ------------------------------------------------------------------------
 
+@kind("spark")
+def _spark(df, s):
+    model = s["model"]
+    out = model.transform(df)
+    if hasattr(model.stages[-1], "getProbabilityCol"):
+        out = out.withColumn("score", vector_to_array("probability")[1])
+    elif hasattr(model.stages[-1], "getRawPredictionCol"):
+        out = out.withColumn("score", vector_to_array("rawPrediction")[1])
+    return out.drop("__features", "rawPrediction", "probability")
+
+
 def _spark_fit(df, features, label, stage, weight=None):
     stage.setFeaturesCol("__features").setLabelCol("__label").setPredictionCol("prediction")
     if weight:
@@ -113,18 +128,7 @@ def _spark_fit(df, features, label, stage, weight=None):
     data = df.withColumn("__label", dbl(label))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="__features"), stage])
     model = pipe.fit(data)
-    has_prob = hasattr(model.stages[-1], "getProbabilityCol")
-    has_raw = hasattr(model.stages[-1], "getRawPredictionCol")
-
-    def add(d):
-        out = model.transform(d)
-        if has_prob:
-            out = out.withColumn("score", vector_to_array("probability")[1])
-        elif has_raw:
-            out = out.withColumn("score", vector_to_array("rawPrediction")[1])
-        return out.drop("__features", "rawPrediction", "probability")
-
-    return Fitted(add, {"model": model})
+    return Fitted("spark", {"model": model}, {"model": model})
 
 
 def fit_lasso(df, features, label, params):
@@ -292,6 +296,29 @@ def _proximal(evaluate, theta, passes: int, curvature, lmax: float, shrink: floa
     return theta if curvature or last else best[1]
 
 
+def margin_machine(df, features, label, params, classification: bool) -> Fitted:
+    """A machine with a hinge or a tube (:mod:`margins`), its penalty on the original scale.
+
+    ``C`` weighs the summed loss against half the squared coefficients, ``alpha`` the penalty against the
+    mean loss. With ``nu`` the margin (classes) or tube (numbers) is free: at most this share of the rows
+    lies beyond it and at least this share on or beyond it.
+    """
+    df, w = balanced(df, label, params)
+    nu = params.get("nu")
+    if nu is not None:
+        loss, alpha = ("nu_hinge", 1.0) if classification else ("nu_insensitive", None)
+    else:
+        loss, alpha = params["loss"], None if "C" in params else float(params.get("alpha", 1e-4))
+    if alpha is None:
+        n = df.count() if w is None else df.agg(F.sum(w)).first()[0]
+        alpha = 1.0 / (float(params.get("C", 1.0)) * max(n, 1))
+    m = margins.fit(df, features, label, loss, alpha, nu, float(params.get("epsilon", 0.1)), w, params.get("fit_intercept", True))
+    fit = G.LinearFit(tuple(features), m.coef, m.intercept, 0.0, 0.0, 0.0, np.zeros(len(features)), 0.0)
+    out = linear_model(fit, margin=classification)
+    out.info["machine"] = m
+    return out
+
+
 def linear_gd(df, features, label, params, classification: bool):
     """Full-batch fit of mean loss + penalty on standardised columns.
 
@@ -301,6 +328,8 @@ def linear_gd(df, features, label, params, classification: bool):
     table = MARGIN_LOSSES if classification else RESIDUAL_LOSSES
     if loss not in table:
         raise ValueError(f"unknown loss {loss!r}")
+    if loss in ("hinge", "epsilon_insensitive") and params.get("penalty", "l2") == "l2":
+        return margin_machine(df, features, label, {**params, "loss": loss}, classification)
     value_of, slope_of, curvature = table[loss]
     penalty, mix = params.get("penalty", "l2"), float(params.get("l1_ratio", 0.15))
     l1 = {"l1": 1.0, "l2": 0.0, None: 0.0}.get(penalty, mix)
@@ -360,10 +389,7 @@ def linear_gd(df, features, label, params, classification: bool):
     coef = theta[:p] / std * ys
     intercept = (theta[p] * ys + ym) - coef @ mean
     fit = G.LinearFit(tuple(features), coef, float(intercept), 0.0, 0.0, g.n, np.zeros(p), 0.0)
-    if classification:
-        return Fitted(lambda d: d.withColumn("score", fit.predict()).withColumn(
-            "prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0)), {"fit": fit})
-    return Fitted(lambda d: d.withColumn("prediction", fit.predict()), {"fit": fit})
+    return linear_model(fit, margin=classification)
 
 
 def _gd(classification, **defaults):
@@ -381,27 +407,35 @@ def _kernelised(inner, n_components=100, key="row_id", **defaults):
             gamma = None
         m = int(p.pop("n_components", n_components))
         degree, seed = int(p.pop("degree", 3)), int(p.pop("seed", 42))
-        if "nu" in p:
-            p.setdefault("C", 1.0)
-            p.pop("nu")
         g = G.gram(df, features)
         std = np.sqrt(np.diag(g.scatter) / g.n)
         std[std == 0] = 1.0
-        arr = F.array(*[(dbl(c) - F.lit(float(a))) / F.lit(float(s)) for c, a, s in zip(features, g.mean, std)])
-        base = df.withColumn("__x", arr)
-        marks, norm, gm = R.nystroem_fit(base, "__x", key, m, kernel, gamma, degree, 1.0, seed)
-
-        def lift(d, keep):
-            return R.nystroem_apply(d.withColumn("__x", arr), "__x", keep, marks, norm, kernel, gm, degree, 1.0, "__k_")
-
-        names = [f"__k_{i}" for i in range(len(marks))]
-        lifted = lift(df, df.columns).persist()
+        state = {"features": list(features), "mean": g.mean, "std": std, "kernel": kernel, "degree": degree}
+        base = df.withColumn("__x", _scaled(state))
+        state["marks"], state["norm"], state["gamma"] = R.nystroem_fit(base, "__x", key, m, kernel, gamma, degree, 1.0, seed)
+        names = [f"__k_{i}" for i in range(len(state["marks"]))]
+        lifted = _lift(df, state).persist()
         model = inner(lifted, names, label, p)
         lifted.unpersist()
-        return Fitted(lambda d: model.transform(lift(d, d.columns)).drop(*names), model.info)
+        return Fitted("kernel", {**state, "inner": model}, model.info)
     return fit
 
 
+def _scaled(s):
+    return F.array(*[(dbl(c) - F.lit(float(a))) / F.lit(float(d)) for c, a, d in zip(s["features"], s["mean"], s["std"])])
+
+
+def _lift(df, s):
+    """The kernel features of every row beside its columns."""
+    return R.nystroem_apply(df.withColumn("__x", _scaled(s)), "__x", df.columns, s["marks"], s["norm"], s["kernel"], s["gamma"],
+                            s["degree"], 1.0, "__k_")
+
+
+@kind("kernel")
+def _kernel_model(df, s):
+    return s["inner"].transform(_lift(df, s)).drop(*[f"__k_{i}" for i in range(len(s["marks"]))])
+
+
 # --- moment classifiers -------------------------------------------------------------------------
 
 def _class_moments(df, features, label):
@@ -412,10 +446,16 @@ def _class_moments(df, features, label):
     return classes, [parts[c] for c in classes]
 
 
-def _quadratic_scorer(df, features, classes, quad, lin, const):
+def _quadratic_scorer(features, classes, quad, lin, const) -> Fitted:
+    return Fitted("quadratic", {"features": list(features), "classes": np.array(classes, dtype=float), "quad": quad, "lin": np.asarray(lin),
+                                "const": np.asarray(const)}, {"classes": classes})
+
+
+@kind("quadratic")
+def _quadratic(df, state):
     """argmax over classes of x'Qx + Lx + c (Q is None, diagonal or full per class)."""
-    shared = df.sparkSession.sparkContext.broadcast((quad, lin, const))
-    labels = np.array(classes, dtype=float)
+    shared = df.sparkSession.sparkContext.broadcast((state["quad"], state["lin"], state["const"]))
+    labels = state["classes"]
 
     @F.pandas_udf("struct<prediction double, score double>")
     def score(x: pd.Series) -> pd.DataFrame:
@@ -429,11 +469,8 @@ def _quadratic_scorer(df, features, classes, quad, lin, const):
         prob = prob / prob.sum(1, keepdims=True) if len(s) else s
         return pd.DataFrame({"prediction": labels[top], "score": prob[:, -1]})
 
-    def add(d):
-        out = d.withColumn("__s", score(F.array(*[dbl(c) for c in features])))
-        return out.withColumns({"prediction": F.col("__s.prediction"), "score": F.col("__s.score")}).drop("__s")
-
-    return Fitted(add, {"classes": classes})
+    out = df.withColumn("__s", score(F.array(*[dbl(c) for c in state["features"]])))
+    return out.withColumns({"prediction": F.col("__s.prediction"), "score": F.col("__s.score")}).drop("__s")
 
 
 def fit_gaussian_nb(df, features, label, params):
@@ -444,7 +481,7 @@ def fit_gaussian_nb(df, features, label, params):
     var = np.array([np.diag(p.scatter) / p.n for p in parts]) + eps
     prior = np.log([p.n / total.n for p in parts])
     const = prior - 0.5 * (np.log(2 * np.pi * var) + mean ** 2 / var).sum(1)
-    return _quadratic_scorer(df, features, classes, -0.5 / var, mean / var, const)
+    return _quadratic_scorer(features, classes, -0.5 / var, mean / var, const)
 
 
 def _ledoit_wolf(df, features, label, value, part):
@@ -479,7 +516,7 @@ def fit_lda(df, features, label, params):
     mean = np.array([p.mean for p in parts])
     lin = mean @ np.linalg.pinv(cov)
     const = np.log([p.n / n for p in parts]) - 0.5 * np.einsum("ki,ki->k", lin, mean)
-    return _quadratic_scorer(df, features, classes, None, lin, const)
+    return _quadratic_scorer(features, classes, None, lin, const)
 
 
 def fit_qda(df, features, label, params):
@@ -495,21 +532,22 @@ def fit_qda(df, features, label, params):
         quad.append(-0.5 * inv)
         lin.append(inv @ p.mean)
         const.append(math.log(p.n / n) - 0.5 * logdet - 0.5 * p.mean @ inv @ p.mean)
-    return _quadratic_scorer(df, features, classes, np.array(quad), np.array(lin), np.array(const))
+    return _quadratic_scorer(features, classes, np.array(quad), np.array(lin), np.array(const))
 
 
 def fit_knn(df, features, label, params):
-    from tabspark.operators.neighbours import knn_classify
-
     key = params.get("key", "row_id")
-    arr = F.array(*[dbl(c) for c in features]).alias("x")
-    train = df.select(ident(key), arr, dbl(label).alias("label"))
+    train = df.select(ident(key), F.array(*[dbl(c) for c in features]).alias("x"), dbl(label).alias("label"))
+    return Fitted("neighbours", {"train": train, "features": list(features), "key": key, "k": int(params.get("n_neighbors", 5)),
+                                 "weights": params.get("weights", "uniform"), "metric": params.get("metric", "minkowski")})
 
-    def add(d):
-        pred = knn_classify(train, d.select(ident(key), arr), int(params.get("n_neighbors", 5)),
-                            params.get("weights", "uniform"), key=key, metric=params.get("metric", "minkowski"))
-        return d.join(pred, key)
-    return Fitted(add)
+
+@kind("neighbours")
+def _neighbours(df, s):
+    from tabspark.operators.neighbours import knn_classify
+
+    asked = df.select(ident(s["key"]), F.array(*[dbl(c) for c in s["features"]]).alias("x"))
+    return df.join(knn_classify(s["train"], asked, s["k"], s["weights"], key=s["key"], metric=s["metric"]), s["key"])
 
 
 # --- catalogue --------------------------------------------------------------------------------------
@@ -531,7 +569,7 @@ REGRESSORS = {
     "LinearSVR": _gd(False, loss="epsilon_insensitive", C=1.0, epsilon=0.0),
     "PassiveAggressiveRegressor": _gd(False, loss="epsilon_insensitive", C=1.0),
     "SVR": _kernelised(_gd(False, loss="epsilon_insensitive", C=1.0)),
-    "NuSVR": _kernelised(_gd(False, loss="epsilon_insensitive", C=1.0)),
+    "NuSVR": _kernelised(lambda df, fs, lb, params: margin_machine(df, fs, lb, params, False), nu=0.5, C=1.0),
 }
 CLASSIFIERS = {
     "LogisticRegression": fit_logistic,
@@ -548,8 +586,48 @@ CLASSIFIERS = {
     "PassiveAggressiveClassifier": _gd(True, loss="hinge", C=1.0),
     "LinearSVC": _gd(True, loss="squared_hinge", C=1.0),
     "SVC": _kernelised(_gd(True, loss="hinge", C=1.0)),
-    "NuSVC": _kernelised(_gd(True, loss="hinge", C=1.0)),
+    "NuSVC": _kernelised(lambda df, fs, lb, params: margin_machine(df, fs, lb, params, True), nu=0.5),
+}
+
+
+_LINEAR = ("alpha", "C", "penalty", "l1_ratio", "loss", "epsilon", "class_weight", "fit_intercept", "max_iter", "iterations", "epochs")
+_KERNEL = ("kernel", "gamma", "degree", "n_components", "seed", "key")
+_TREES = ("n_estimators", "learning_rate", "max_depth", "seed")
+#: Parameters that change the fit of a model.
+EFFECTIVE = {
+    "LinearRegression": ("fit_intercept", "positive"),
+    "Ridge": ("alpha", "fit_intercept", "positive"),
+    "RidgeClassifier": ("alpha", "fit_intercept", "class_weight"),
+    "KernelRidge": ("alpha", "fit_intercept", *_KERNEL),
+    "TweedieRegressor": ("power", "alpha", "link", "max_iter", "tol", "fit_intercept"),
+    **dict.fromkeys(("Lasso", "LassoLars"), ("alpha", "fit_intercept", "max_iter")),
+    **dict.fromkeys(("GammaRegressor", "PoissonRegressor"), ("alpha", "link", "max_iter", "tol", "fit_intercept")),
+    **dict.fromkeys(("GradientBoostingRegressor", "XGBRegressor", "GradientBoostingClassifier", "XGBClassifier"), _TREES),
+    **dict.fromkeys(("LGBMRegressor", "LGBMClassifier"), (*_TREES, "num_leaves")),
+    **dict.fromkeys(("SGDRegressor", "MBSGDRegressor", "LinearSVR", "PassiveAggressiveRegressor", "SGDClassifier", "MBSGDClassifier",
+                     "PassiveAggressiveClassifier", "LinearSVC"), _LINEAR),
+    **dict.fromkeys(("SVR", "SVC"), (*_LINEAR, *_KERNEL)),
+    **dict.fromkeys(("NuSVR", "NuSVC"), ("nu", "C", "class_weight", "fit_intercept", "max_iter", *_KERNEL)),
+    "LogisticRegression": ("C", "penalty", "l1_ratio", "class_weight", "max_iter", "tol", "fit_intercept"),
+    "KNeighborsClassifier": ("n_neighbors", "weights", "metric", "key"),
+    "LinearDiscriminantAnalysis": ("shrinkage",),
+    "QuadraticDiscriminantAnalysis": ("reg_param",),
+    "GaussianNB": ("var_smoothing",),
 }
+#: Parameters that are taken and have no effect: they choose a solver, or a tree form without a counterpart.
+WITHOUT_EFFECT = ("solver", "dual", "intercept_scaling", "grow_policy", "objective", "criterion", "early_stopping", "n_jobs", "verbose",
+                  "random_state")
+
+
+def effective(name: str, params: dict) -> dict:
+    """The parameters that change the fit; an unknown one is an error."""
+    if name not in EFFECTIVE:
+        raise ValueError(f"unknown model {name!r}: choose from {sorted(EFFECTIVE)}")
+    idle = {*WITHOUT_EFFECT, *(("loss",) if "loss" not in EFFECTIVE[name] else ()), *(("tol", "max_iter") if "tol" not in EFFECTIVE[name] else ())}
+    unknown = set(params) - set(EFFECTIVE[name]) - idle
+    if unknown:
+        raise ValueError(f"{name} has no parameters {sorted(unknown)}")
+    return {k: v for k, v in params.items() if k in EFFECTIVE[name]}
 
 
 def estimator(name: str, features: list[str], label: str, params: dict | None = None) -> Spec:
@@ -570,5 +648,9 @@ def transformed_target(df: DataFrame, name: str, features: list[str], label: str
 
     t = Scaler(method, [label], standardize=True).fit(df)
     inner = estimator(name, features, label, params).fit(t.transform(df))
-    return Fitted(lambda d: inner.transform(d).withColumn(
-        "prediction", F.expr(t.inverse_sql(label, "prediction"))), {"inner": inner, "transform": t})
+    return Fitted("target", {"inner": inner, "transform": t, "label": label}, {"inner": inner, "transform": t})
+
+
+@kind("target")
+def _target(df, s):
+    return s["inner"].transform(df).withColumn("prediction", F.expr(s["transform"].inverse_sql(s["label"], "prediction")))

@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions.scalar import dbl, equal_width_bin, ident
 from tabspark.functions.special import f_upper
 from tabspark.operators import gram as G
+from tabspark.operators.fitted import Fitted, kind
 from tabspark.operators.roles import infer_roles
 from tabspark.operators.small import small_table
 
@@ -42,16 +43,21 @@ class FeatureSetDecider(Estimator):
         return FeatureSetModel(skewed if self.mode == "skewed" else rest, self.keep)
 
 
-class FeatureSetModel(Model):
+class FeatureSetModel(Fitted):
     def __init__(self, columns: list[str], keep: tuple[str, ...] = ()):
-        super().__init__()
-        self.columns, self.keep = columns, keep
+        super().__init__("columns", {"columns": list(columns), "keep": list(keep)})
+
+    @property
+    def columns(self) -> list[str]:
+        return self.state["columns"]
 
     def feature_names_out(self) -> list[str]:
         return list(self.columns)
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return df.select(*map(ident, [*self.keep, *self.columns]))
+
+@kind("columns")
+def _columns(df, s):
+    return df.select(*map(ident, [*s["keep"], *s["columns"]]))
 
 
 def feature_set_table(df: DataFrame, columns: list[str], threshold: float = 0.75) -> DataFrame:

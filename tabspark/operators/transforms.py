@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions import scalar as S
 from tabspark.functions.scalar import dbl, ident, num
+from tabspark.operators.fitted import Fitted, kind
 from tabspark.operators.quantiles import exact_quantiles
 from tabspark.operators.small import small_table
 
@@ -33,11 +34,6 @@ def robust_params(df, columns):
     return {c: (m, (hi - lo) or 1.0) for c, (lo, m, hi) in qs.items()}
 
 
-def _affine(p):
-    return (lambda x, p=p: f"({x} - {num(p[0])}) / {num(p[1])}",
-            lambda x, p=p: f"{x} * {num(p[1])} + {num(p[0])}")
-
-
 # Transforms without parameters: (forward, inverse) as SQL builders.
 PLAIN = {
     "log": (lambda x: f"log1p({x})", lambda x: f"expm1({x})"),
@@ -47,47 +43,79 @@ PLAIN = {
     "identity": (lambda x: x, lambda x: x),
 }
 AFFINE = {"standard": standard_params, "minmax": minmax_params, "robust": robust_params}
+POWER = {"yeo-johnson": (S.yeo_johnson_sql, S.yeo_johnson_inverse_sql), "box-cox": (S.box_cox_sql, S.box_cox_inverse_sql)}
 
 
-def _pairs(df: DataFrame, method: str, columns: list[str], lambdas: dict[str, float] | None) -> dict:
-    """{column: (forward, inverse)} SQL builders."""
+def _built(form: tuple) -> tuple:
+    """(forward, inverse) SQL builders of a fitted form.
+
+    Forms: ("plain", name), ("affine", centre, scale), ("power", method, lambda) and ("sql", forward, inverse), the last
+    two being SQL with ``{x}`` for the value.
+    """
+    name, *args = form
+    if name == "plain":
+        return PLAIN[args[0]]
+    if name == "affine":
+        return (lambda x: f"({x} - {num(args[0])}) / {num(args[1])}", lambda x: f"{x} * {num(args[1])} + {num(args[0])}")
+    if name == "power":
+        fwd, inv = POWER[args[0]]
+        return (lambda x: fwd(x, args[1]), lambda x: inv(x, args[1]))
+    return (lambda x: args[0].replace("{x}", x), lambda x: args[1].replace("{x}", x))
+
+
+def _forms(df: DataFrame, method: str | tuple[str, str], columns: list[str], lambdas: dict[str, float] | None) -> dict[str, tuple]:
+    """The fitted form of every column; a pair of SQL texts is the user's own transform and its inverse."""
+    if isinstance(method, tuple):
+        if len(method) != 2 or any("{x}" not in m for m in method):
+            raise ValueError("a transform of one's own is two SQL texts with {x}: forward and inverse")
+        return {c: ("sql", *method) for c in columns}
     if method in PLAIN:
-        return {c: PLAIN[method] for c in columns}
+        return {c: ("plain", method) for c in columns}
     if method in AFFINE:
-        return {c: _affine(p) for c, p in AFFINE[method](df, columns).items()}
-    if method in ("yeo-johnson", "box-cox"):
+        return {c: ("affine", float(a), float(b)) for c, (a, b) in AFFINE[method](df, columns).items()}
+    if method in POWER:
         if method == "box-cox":
             low = df.agg(*[F.min(dbl(c)) for c in columns]).first()
             if any(v is not None and v <= 0 for v in low):
                 raise ValueError("box-cox needs strictly positive values")
         lams = lambdas or {r["column"]: r["lambda"] for r in power_lambdas(df, columns, method)}
-        fwd, inv = ((S.yeo_johnson_sql, S.yeo_johnson_inverse_sql) if method == "yeo-johnson"
-                    else (S.box_cox_sql, S.box_cox_inverse_sql))
-        return {c: (lambda x, l=lams[c]: fwd(x, l), lambda x, l=lams[c]: inv(x, l)) for c in columns}
+        return {c: ("power", method, float(lams[c])) for c in columns}
     raise ValueError(f"unknown transform {method!r}")
 
 
 class Scaler(Estimator):
     """Any per-column transform by name; ``standardize`` adds a standard scaling after it."""
 
-    def __init__(self, method: str, columns: list[str], lambdas: dict[str, float] | None = None,
+    def __init__(self, method: str | tuple[str, str], columns: list[str], lambdas: dict[str, float] | None = None,
                  standardize: bool = False):
         super().__init__()
         self.method, self.columns = method, list(columns)
         self.lambdas, self.standardize = lambdas, standardize
 
     def _fit(self, df: DataFrame) -> "ScalerModel":
-        steps = [_pairs(df, self.method, self.columns, self.lambdas)]
+        steps = [_forms(df, self.method, self.columns, self.lambdas)]
         if self.standardize:
             mid = ScalerModel(steps).transform(df)
-            steps.append(_pairs(mid, "standard", self.columns, None))
+            steps.append(_forms(mid, "standard", self.columns, None))
         return ScalerModel(steps)
 
 
-class ScalerModel(Model):
-    def __init__(self, steps: list[dict]):
-        super().__init__()
-        self.steps = steps
+@kind("scaler")
+def _scaler(df, s):
+    for step in s["steps"]:
+        df = df.withColumns({c: F.expr(_built(form)[0](_x(c))) for c, form in step.items()})
+    return df
+
+
+class ScalerModel(Fitted):
+    """Fitted column transforms, in order; ``steps`` has the form of each column."""
+
+    def __init__(self, steps: list[dict[str, tuple]]):
+        super().__init__("scaler", {"steps": steps})
+
+    @property
+    def steps(self) -> list[dict[str, tuple]]:
+        return [{c: _built(form) for c, form in step.items()} for step in self.state["steps"]]
 
     def forward_sql(self, column: str, x: str | None = None) -> str:
         sql = x or _x(column)
@@ -107,17 +135,10 @@ class ScalerModel(Model):
     def columns(self) -> list[str]:
         return list(self.steps[0])
 
-    def _apply(self, df, sql):
-        for step in (self.steps if sql == "fwd" else self.steps[::-1]):
-            k = 0 if sql == "fwd" else 1
-            df = df.withColumns({c: F.expr(pair[k](_x(c))) for c, pair in step.items()})
-        return df
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return self._apply(df, "fwd")
-
     def inverse(self, df: DataFrame) -> DataFrame:
-        return self._apply(df, "inv")
+        for step in self.steps[::-1]:
+            df = df.withColumns({c: F.expr(pair[1](_x(c))) for c, pair in step.items()})
+        return df
 
     def as_sql_stages(self, columns: list[str]) -> list[SQLTransformer]:
         """The same projection as saveable built-in stages."""

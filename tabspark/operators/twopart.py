@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.scalar import dbl, ident
-from tabspark.operators.models import Fitted, estimator
+from tabspark.operators.fitted import Fitted, kind
+from tabspark.operators.models import estimator
 
 # Estimators a hurdle model accepts, by part.
 HURDLE_PARTS = (
@@ -40,23 +41,23 @@ class HurdleRegression:
         return HurdleModel(clf, reg)
 
 
-class HurdleModel:
-    def __init__(self, clf: Fitted, reg: Fitted):
-        self.clf, self.reg = clf, reg
-
-    def _parts(self, df: DataFrame) -> DataFrame:
-        a = self.clf.transform(df).withColumnsRenamed({"prediction": "__class", "score": "__score"})
-        return self.reg.transform(a).withColumnRenamed("prediction", "__value")
+class HurdleModel(Fitted):
+    """Both parts of a fitted hurdle model."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """prediction = class * value."""
-        return self._parts(df).withColumn("prediction", F.col("__class") * F.col("__value")).drop(
-            "__class", "__score", "__value")
+    def __init__(self, clf: Fitted, reg: Fitted):
+        super().__init__("hurdle", {"clf": clf, "reg": reg})
 
     def expected_value(self, df: DataFrame) -> DataFrame:
         """prediction = P(y > 0) * value."""
-        return self._parts(df).withColumn("prediction", F.col("__score") * F.col("__value")).drop(
-            "__class", "__score", "__value")
+        return _hurdle(df, self.state, "__score")
+
+
+@kind("hurdle")
+def _hurdle(df, s, weight: str = "__class"):
+    """prediction = class * value."""
+    a = s["clf"].transform(df).withColumnsRenamed({"prediction": "__class", "score": "__score"})
+    b = s["reg"].transform(a).withColumnRenamed("prediction", "__value")
+    return b.withColumn("prediction", F.col(weight) * F.col("__value")).drop("__class", "__score", "__value")
 
 
 def compose(is_zero_class: Column, value: Column) -> Column:
@@ -64,16 +65,18 @@ def compose(is_zero_class: Column, value: Column) -> Column:
     return F.when(is_zero_class == 0, value).otherwise(0.0)
 
 
-class ZeroInflatedModel:
+class ZeroInflatedModel(Fitted):
     """Composition of an already fitted zero classifier and an already fitted regressor."""
 
-    def __init__(self, classifier, regressor):
-        self.classifier, self.regressor = classifier, regressor
+    def __init__(self, classifier: Fitted, regressor: Fitted):
+        super().__init__("zero_inflated", {"clf": classifier, "reg": regressor})
+
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        a = self.classifier.transform(df).withColumnRenamed("prediction", "__zero").drop("score")
-        b = self.regressor.transform(a).withColumnRenamed("prediction", "__value").drop("score")
-        return b.withColumn("prediction", compose(F.col("__zero"), F.col("__value"))).drop("__zero", "__value")
+@kind("zero_inflated")
+def _zero_inflated(df, s):
+    a = s["clf"].transform(df).withColumnRenamed("prediction", "__zero").drop("score")
+    b = s["reg"].transform(a).withColumnRenamed("prediction", "__value").drop("score")
+    return b.withColumn("prediction", compose(F.col("__zero"), F.col("__value"))).drop("__zero", "__value")
 
 
 def keep_prediction(df: DataFrame, keep: list[str]) -> DataFrame:
