@@ -17,7 +17,8 @@ from tabspark.operators.ordered import running_sum
 LIMIT = 250_000
 ACCURACY = 10_000
 MAX_BRACKETS = 32
-WHOLE = [(-math.inf, math.inf)]
+#: Every value: NaN is the greatest in the order of Spark.
+WHOLE = [(-math.inf, math.nan)]
 
 
 def exact_quantiles(
@@ -67,7 +68,7 @@ def _large(wide, idx, names, n, probs, rows_per_block):
         for p in probs:
             lo, hi = _pair(p, n[i])
             a, b = value[i, lo], value[i, hi]
-            res.append(a + (b - a) * (p * (n[i] - 1) - lo))
+            res.append(a if lo == hi else a + (b - a) * (p * (n[i] - 1) - lo))
         out[names[i]] = res
     return out
 
@@ -120,11 +121,16 @@ def _brackets(wide, idx, probs):
     return spans
 
 
+def _rank(v: float) -> tuple[bool, float]:
+    """Order of Spark: NaN above all numbers."""
+    return v != v, 0.0 if v != v else v
+
+
 def _merge(spans):
     out = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+    for a, b in sorted(spans, key=lambda s: (_rank(s[0]), _rank(s[1]))):
+        if out and _rank(a) <= _rank(out[-1][1]):
+            out[-1][1] = max(out[-1][1], b, key=_rank)
         else:
             out.append([a, b])
     return [tuple(s) for s in out]
