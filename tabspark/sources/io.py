@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -49,8 +49,8 @@ def write_predictions(df: DataFrame, root: str, team: str, split: str, task: str
     return path
 
 
-def save_object(obj: DataFrame | PipelineModel, path: str, overwrite: bool = True) -> None:
-    """Persist a table or a fitted pipeline; ``overwrite=False`` keeps what is there."""
+def save_object(obj: DataFrame | Model, path: str, overwrite: bool = True) -> None:
+    """Persist a table, a fitted model of the catalogue or a fitted pipeline; ``overwrite=False`` keeps what is there."""
     if isinstance(obj, DataFrame):
         obj.write.mode("overwrite" if overwrite else "ignore").parquet(path)
     elif overwrite or not path_exists(path):
@@ -74,8 +74,11 @@ def load_table(spark: SparkSession, path: str, missing: str = "none") -> DataFra
     return spark.read.parquet(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    """A saved model or pipeline, of whatever class it is."""
+    from tabspark.operators.fitted import load
+
+    return load(path)
 
 
 def to_json(value: Column) -> Column:

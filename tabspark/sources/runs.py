@@ -5,14 +5,23 @@ Long form: (run_id, name, set, metric, value, trial).
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+import pyarrow as pa
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tabspark.functions.scalar import ident
+from tabspark.operators.fitted import load
 from tabspark.operators.metrics import minimised
 from tabspark.operators.ordered import ranked
+from tabspark.operators.small import small_table
 
 SET_ORDER = ["train", "val", "test"]
 RESULT_JSON = "name string, trial bigint, metrics map<string, map<string, double>>"
@@ -59,13 +68,85 @@ def scan_runs(spark: SparkSession, root: str, suffixes: list[str] | None = None,
     return df
 
 
+def from_folders(spark: SparkSession, root: str, parse: Callable[[str, dict[str, bytes]], list[tuple] | None], schema: str,
+                 suffixes: list[str] | None = None, contains: list[str] | None = None, pattern: str = "*") -> DataFrame:
+    """(run_id, columns of ``schema``): what a function of the user's own makes of every run folder below ``root``.
+
+    ``parse`` gets a folder's name and its files as {name: bytes} and gives rows, or None for nothing.
+    Folders are chosen by the end or a part of their name before a file is opened, and one task has the files of a folder.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    parts = F.split("path", "/")
+    files = files.select(F.url_decode(F.regexp_replace(F.element_at(parts, -2), "^run_id=", "")).alias("run_id"), F.element_at(parts, -1).alias("name"), "content")
+    if suffixes:
+        files = files.filter(any_of([F.col("run_id").endswith(s) for s in suffixes]))
+    if contains:
+        files = files.filter(any_of([F.col("run_id").contains(s) for s in contains]))
+    out = StructType([StructField("run_id", StringType()), *StructType.fromDDL(schema)])
+    arrow = to_arrow_schema(out)
+
+    def run(batch: pa.Table) -> pa.Table:
+        folder = batch["run_id"][0].as_py()
+        rows = parse(folder, dict(zip(batch["name"].to_pylist(), batch["content"].to_pylist()))) or []
+        columns = list(zip(*[(folder, *r) for r in rows])) if rows else [[] for _ in arrow]
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return files.groupBy("run_id").applyInArrow(run, out)
+
+
 def unpivot_metrics(nested: DataFrame) -> DataFrame:
     """{set: {metric: value}} to long rows."""
     return (nested.select("run_id", "name", "trial", F.explode("metrics").alias("set", "m"))
             .select("run_id", "name", "set", F.explode("m").alias("metric", "value"), "trial"))
 
 
-def save_run(model: PipelineModel | None, runs: DataFrame, folder: str, tables: dict[str, DataFrame] | None = None) -> None:
+def run_id(name: str) -> str:
+    """A new run's folder name: time (UTC), model and a random part, so that two runs never share one."""
+    now = datetime.now(timezone.utc)
+    return f"run_{now:%Y-%m-%d_%H-%M-%S}_{name}_{uuid.uuid4().hex[:8]}"
+
+
+def save_search(df: DataFrame, features: list[str], label: str, pipeline: list[tuple[str, str]], grid, root: str, metric: str,
+                test: DataFrame | None = None, **options) -> str:
+    """Search a pipeline, refit its best trial on every row, and save the run: the new folder.
+
+    It holds ``record`` (JSON: id, time, model, pipeline, grid, best parameters), ``results`` (every
+    trial, fold, set and metric), ``scores`` (sets of the best trial) and ``model``.
+    """
+    from tabspark.operators import grids, pipelines
+    from tabspark.operators.search import metrics_by_set, task_of
+
+    spark = df.sparkSession
+    grid = grid if isinstance(grid, list) else [grid]
+    trials = grids.expand(grid)
+    results = pipelines.search(df, features, label, pipeline, trials, **options).persist()
+    best, model = pipelines.best_pipeline(df, results, features, label, pipeline, trials, metric, options.get("scorers", ()))
+    name = trials[best].get(pipeline[-1][0], pipeline[-1][1])
+    folder = f"{root.rstrip('/')}/{run_id(name)}"
+    record = {"run_id": folder.rsplit("/", 1)[1], "created": datetime.now(timezone.utc).isoformat(timespec="seconds"), "model": name, "metric": metric,
+              "pipeline": pipeline, "grid": grid, "n_trials": len(trials), "best_trial": best, "best_params": trials[best], "features": features, "label": label}
+    tagged = df.withColumn("__set", F.lit("train"))
+    if test is not None:
+        tagged = tagged.unionByName(test.withColumn("__set", F.lit("test")), allowMissingColumns=True)
+    scores = metrics_by_set(model.transform(tagged), label, "__set", task_of(name))
+    scores += [(r["set"], r["metric"], r["v"]) for r in results.filter((F.col("trial") == best) & (F.col("set") == "val")).groupBy("set", "metric").agg(
+        F.avg("value").alias("v")).collect()]
+    small_table(spark, [(json.dumps(record, default=str),)], "record string").write.parquet(f"{folder}/record")
+    results.write.parquet(f"{folder}/results")
+    small_table(spark, [(record["run_id"], name, s, m, float(v), best) for s, m, v in scores],
+                "run_id string, name string, set string, metric string, value double, trial bigint").write.parquet(f"{folder}/scores")
+    model.write().save(f"{folder}/model")
+    results.unpersist()
+    return folder
+
+
+def load_search(spark: SparkSession, folder: str) -> tuple[dict, DataFrame, Model]:
+    """(record, results, model) of a run that :func:`save_search` saved."""
+    record = json.loads(spark.read.parquet(f"{folder}/record").first()[0])
+    return record, spark.read.parquet(f"{folder}/results"), load_run_model(folder)
+
+
+def save_run(model: Model | None, runs: DataFrame, folder: str, tables: dict[str, DataFrame] | None = None) -> None:
     """A run folder: metrics, the fitted pipeline and any named tables."""
     runs.write.mode("overwrite").parquet(f"{folder}/runs")
     if model is not None:
@@ -74,8 +155,9 @@ def save_run(model: PipelineModel | None, runs: DataFrame, folder: str, tables:
         t.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def load_run_model(folder: str) -> PipelineModel:
-    return PipelineModel.load(f"{folder}/model")
+def load_run_model(folder: str) -> Model:
+    """The model of a run, of whatever class it is."""
+    return load(f"{folder}/model")
 
 
 def load_from_run(spark: SparkSession, folder: str, name: str) -> DataFrame:
