@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabspark.functions.scalar import dbl, ident
 from tabspark.operators import gram as G, grids
 from tabspark.operators.metrics import CLASSIFICATION, REGRESSION, minimised, regression_by
-from tabspark.operators.models import CLASSIFIERS, REGRESSORS, estimator, from_moments
+from tabspark.operators.models import CLASSIFIERS, REGRESSORS, effective, estimator, from_moments
 from tabspark.operators.small import small_table
 
 log = logging.getLogger(__name__)
@@ -24,7 +24,7 @@ RESULT_SCHEMA = "trial bigint, params string, fold bigint, set string, metric st
 def task_of(model: str) -> str:
     if model in CLASSIFIERS:
         return "classification"
-    if model in REGRESSORS:
+    if model in REGRESSORS or model == "HurdleRegression":
         return "regression"
     raise ValueError(f"unknown model {model!r}")
 
@@ -60,6 +60,13 @@ def cross_validate(df: DataFrame, features: list[str], label: str, model: str, t
     from one pass of per-fold moments.
     """
     task = task_of(model)
+    if model == "HurdleRegression":
+        from tabspark.operators import pipelines
+
+        return pipelines.search(df, features, label, [("model", model)], [{f"model__{k}": v for k, v in t.items()} for t in trials],
+                                fold, mask=mask, parallelism=parallelism)
+    for t in trials:
+        effective(model, t)  # an unknown parameter is an error, not a trial like another
     folds = sorted(r[0] for r in df.select(ident(fold)).distinct().collect())
     data = df.persist()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FAMILIES = ("basics", "profiles", "diagnostics", "shaping", "fitting", "scoring", "results",
-            "closed_forms")
+            "closed_forms", "searches")
 
 
 def load() -> tuple[dict, dict]:

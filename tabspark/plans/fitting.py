@@ -90,7 +90,7 @@ query("linear_gd_fit")(_fitted("SGDRegressor", "y", loss="huber", epsilon=10.0))
 query("linear_gd_classify")(_fitted("SGDClassifier", "label", prep=_any_purchase, loss="modified_huber",
                                     class_weight="balanced"))
 query("kernel_nystroem_fit")(_fitted("KernelRidge", "y", kernel="rbf"))
-query("kernel_svc_fit")(_fitted("SVC", "label", prep=_any_purchase, kernel="rbf", n_components=20, max_iter=10,
+query("kernel_svc_fit")(_fitted("SVC", "label", prep=_any_purchase, kernel="rbf", n_components=100,
                                 class_weight="balanced"))
 query("lda_fit")(_fitted("LinearDiscriminantAnalysis", "label", prep=_any_purchase))
 query("qda_fit")(_fitted("QuadraticDiscriminantAnalysis", "label", prep=_any_purchase, reg_param=0.1))
@@ -221,18 +221,24 @@ _RIDGE_TRIALS = """(SELECT row_number() OVER (ORDER BY a, b) - 1 AS trial, alpha
     (VALUES (0, 0.0005::DOUBLE), (1, 0.1::DOUBLE), (2, 1.0::DOUBLE), (3, 10.0::DOUBLE)) x(a, alpha), (VALUES (0, 'True'), (1, 'False')) z(b, fit_intercept))"""
 
 
-@query("trials_table", f"""SELECT trial::BIGINT AS trial, alpha, fit_intercept, k::BIGINT AS fold, count(*) FILTER (fold <> k)::BIGINT AS n_train,
-       count(*) FILTER (fold = k)::BIGINT AS n_val FROM (SELECT {_h(42)} % 5 AS fold FROM doc_feat), (SELECT unnest(range(5)) AS k), {_RIDGE_TRIALS}
-       GROUP BY ALL""", using=("doc_feat",))
+@query("trials_table", f"""SELECT t.trial::BIGINT AS trial, t.alpha, t.fit_intercept, m.k::BIGINT AS fold, any_value(m.n)::BIGINT AS n_train, count(*)::BIGINT AS n_val,
+       round(sqrt(avg(power(y - CASE WHEN t.fit_intercept = 'True' THEN my + (x - mx) * n * c / (n * v + t.alpha) ELSE x * sxy / (sxx + t.alpha) END, 2))), 4) AS rmse
+       FROM tt JOIN m ON tt.fold = m.k, {_RIDGE_TRIALS} t GROUP BY t.trial, t.alpha, t.fit_intercept, m.k""", using=("doc_feat",),
+       extra=f"""tt AS (SELECT n_chars AS y, n_words AS x, {_h(42)} % 5 AS fold FROM doc_feat),
+       m AS (SELECT k, count(*)::DOUBLE AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS v, covar_pop(y, x) AS c, sum(x * x) AS sxx, sum(x * y) AS sxy
+         FROM tt, (SELECT unnest(range(5)) AS k) WHERE fold <> k GROUP BY k)""")
 def trials_table(spark, d):
-    """Every (trial, fold) fit of the built-in ridge grid with its row counts."""
+    """Every (trial, fold) fit of the built-in ridge grid: its row counts and held-out error."""
     trials = grids.expand(grids.choose_grid("Ridge"))
-    entries = F.array(*[F.struct(F.lit(i).cast("bigint").alias("trial"), F.lit(t["alpha"]).alias("alpha"),
-                                 F.lit(str(t["fit_intercept"])).alias("fit_intercept")) for i, t in enumerate(trials)])
-    sizes = hashed_folds(fx.doc_feat(spark, d)).groupBy("fold").agg(F.count(F.lit(1)).alias("n_val"))
-    total = sizes.agg(F.sum("n_val")).first()[0]
-    out = sizes.select("fold", (F.lit(total) - F.col("n_val")).alias("n_train"), "n_val", F.explode(entries).alias("t"))
-    return tidy(out.select("t.trial", "t.alpha", "t.fit_intercept", "fold", "n_train", "n_val"), exact=("alpha",))
+    df = hashed_folds(fx.doc_feat(spark, d))
+    scores = search.cross_validate(df, ["n_words"], "n_chars", "Ridge", trials).filter("set = 'val' AND metric = 'RMSE'")
+    sizes = {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
+    n = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (int(k), v)])
+    entries = F.array(*[F.struct(F.lit(float(t["alpha"])).alias("alpha"), F.lit(str(t["fit_intercept"])).alias("fit_intercept")) for t in trials])
+    own = entries[F.col("trial").cast("int")]
+    return tidy(scores.select("trial", own["alpha"].alias("alpha"), own["fit_intercept"].alias("fit_intercept"), "fold",
+                              (F.lit(sum(sizes.values())) - n[F.col("fold").cast("int")]).alias("n_train"), n[F.col("fold").cast("int")].alias("n_val"),
+                              F.col("value").alias("rmse")), exact=("alpha",), rmse=4)
 
 
 @query("grid_product", """SELECT (row_number() OVER (ORDER BY p, c, a, b) - 1)::BIGINT AS trial, pen AS clf_penalty, cv AS clf_c, alpha AS reg_alpha,
@@ -274,4 +280,4 @@ def model_search(spark, d):
     df = split.hash_split(_searchable(spark, d)).persist()
     root = io.scratch_dir(spark, "runs")
     return tidy(search.model_search(df.filter("split = 'train'").drop("split"), df.filter("split = 'test'").drop("split"),
-                                    FEATS, "y", {"LinearRegression": None, "Ridge": None}, "regression", root=root, subset=1))
+                                    FEATS, "y", {"LinearRegression": None, "Ridge": None}, "regression", root=root))

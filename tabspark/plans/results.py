@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tabspark.functions.scalar import map_invert, map_key_with_suffix, map_rename_keys
 from tabspark.operators import split
-from tabspark.plans.registry import query, tidy
+from tabspark.plans.registry import ORACLE, query, tidy
 from tabspark.sources import fixtures as fx, io, runs as rs
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -24,6 +26,22 @@ def runs_scan(spark, d):
     return tidy(rs.unpivot_metrics(found), exact=("value",))
 
 
+def _results(folder, files):
+    """Rows of the results files of one run folder."""
+    return [(r["name"], side, metric, value, r["trial"]) for data in files.values() for r in map(json.loads, data.decode().splitlines())
+            for side, values in r["metrics"].items() for metric, value in values.items()]
+
+
+@query("runs_scan_own_parser", ORACLE["runs_scan"])
+def runs_scan_own_parser(spark, d):
+    """The scan of run folders by a function of one's own."""
+    root = io.scratch_dir(spark, "runs")
+    rs.write_run_folders(rs.nest_metrics(fx.runs(spark, d)), root)
+    found = rs.from_folders(spark, root, _results, "name string, set string, metric string, value double, trial bigint",
+                            ["_ASIA", "_EUROPE"], ["run_0"], "*.json")
+    return tidy(found, exact=("value",))
+
+
 @query("runs_append", """SELECT task, set, metric, count(*)::BIGINT AS n, round(sum(value), 2) AS total FROM (
        SELECT *, 'regression' AS task FROM runs UNION ALL SELECT *, 'second' FROM runs) GROUP BY ALL""", using=("runs",))
 def runs_append(spark, d):

@@ -267,4 +267,4 @@ def reduce_dispatch(spark, d):
 
 @query("nystroem_features")
 def nystroem_features(spark, d):
-    return tidy(reduce.nystroem(fx.embeddings(spark, d), "x", ["row_id"], "row_id", n_components=10))
+    return tidy(reduce.nystroem(fx.embeddings(spark, d), "x", ["row_id"], "row_id", n_components=100))
