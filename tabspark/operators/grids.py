@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from copy import deepcopy
 from dataclasses import dataclass
 from itertools import product
 
@@ -39,148 +40,117 @@ class Categorical:
         return rng.choice(self.values)
 
 
-def _log(lo, hi):
-    return Real(lo, hi, True)
-
-
-# The candidate lists that recur across model families.
-BOOL = [True, False]
-ALPHAS = [0.0005, 0.1, 1.0, 10.0]
-COSTS = [0.1, 1, 10, 100]
-KERNELS = ["linear", "rbf", "poly"]
-GAMMAS = [0.1, 1, "scale", "auto"]
-NUS = [0.1, 0.5, 0.9]
-SGD_ALPHAS = [0.0001, 0.001, 0.01]
-PENALTIES = ["l1", "l2", "elasticnet"]
-EPS_LOSSES = ["epsilon_insensitive", "squared_epsilon_insensitive"]
-ROUNDS = [100, 300, 500]
-DEPTHS = [3, 5, 7]
-BALANCED = ["balanced"]
-LONG = [5000]
-
-
-def _grid_for(name: str):
-    """Discrete grid of a model, by family."""
-    if name == "LinearRegression":
-        return {"fit_intercept": BOOL}
-    if name in ("Ridge", "Lasso", "LassoLars"):
-        return {"alpha": ALPHAS, "fit_intercept": BOOL}
-    if name == "RidgeClassifier":
-        return {"alpha": ALPHAS, "fit_intercept": BOOL, "class_weight": BALANCED}
-    if name == "KernelRidge":
-        return {"alpha": ALPHAS, "kernel": ["linear", "poly", "rbf"], "degree": [2, 3]}
-    if name == "TweedieRegressor":
-        return {"power": list(np.linspace(1.0, 2.0, 4)), "alpha": list(np.logspace(-3, 1, 4)),
-                "link": ["log", "identity"], "max_iter": LONG}
-    if name == "GammaRegressor":
-        return {"alpha": list(np.linspace(1e-6, 1, 10)), "fit_intercept": BOOL,
-                "solver": ["lbfgs", "newton-cholesky"], "max_iter": [1000, 5000]}
-    if name == "PoissonRegressor":
-        return {"alpha": list(np.logspace(-3, 1, 10)), "fit_intercept": BOOL}
-    if name in ("LGBMRegressor", "LGBMClassifier"):
-        return {"num_leaves": [31, 127], "learning_rate": [0.01, 0.1], "n_estimators": [20, 40]}
-    if name in ("XGBRegressor", "XGBClassifier"):
-        objective = "reg:squarederror" if name == "XGBRegressor" else "binary:logistic"
-        return {"n_estimators": ROUNDS, "max_depth": DEPTHS, "grow_policy": ["depthwise", "lossguide"],
-                "objective": [objective]}
-    if name == "GradientBoostingRegressor":
-        return {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.1], "max_depth": DEPTHS}
-    if name == "GradientBoostingClassifier":
-        return {"n_estimators": ROUNDS, "max_depth": DEPTHS, "loss": ["log_loss", "exponential"],
-                "criterion": ["friedman_mse", "mse"]}
-    if name in ("SVR", "SVC", "NuSVR", "NuSVC"):
-        size = {"nu": NUS} if name.startswith("Nu") else {"C": COSTS}
-        weight = {"class_weight": BALANCED} if name.endswith("C") else {}
-        return {**size, "kernel": KERNELS, "gamma": GAMMAS, **weight}
-    if name == "LinearSVR":
-        return {"C": COSTS, "intercept_scaling": [1, 10], "loss": EPS_LOSSES, "fit_intercept": [True],
-                "max_iter": LONG}
-    if name == "LinearSVC":
-        base = {"C": COSTS, "class_weight": BALANCED, "fit_intercept": [True], "max_iter": LONG}
-        return [{**base, "penalty": ["l1"], "loss": ["squared_hinge"]},
-                {**base, "penalty": ["l2"], "loss": ["hinge", "squared_hinge"]}]
-    if name == "LogisticRegression":
-        base = {"C": COSTS, "dual": [False, True], "class_weight": ["balanced", None],
-                "intercept_scaling": [1, 10], "max_iter": LONG, "tol": [1e-4]}
-        return [{**base, "penalty": [None, "l2"], "solver": ["lbfgs"]},
-                {**base, "penalty": ["l1"], "solver": ["liblinear"]},
-                {**base, "penalty": ["elasticnet"], "l1_ratio": [0.2, 0.5, 0.75]}]
-    if name == "KNeighborsClassifier":
-        return {"n_neighbors": [1, 3, 5, 7, 9], "weights": ["uniform", "distance"],
-                "metric": ["cosine", "haversine", "minkowski"]}
-    if name == "LinearDiscriminantAnalysis":
-        return {"solver": ["svd", "lsqr", "eigen"], "shrinkage": [None, "auto"]}
-    if name == "QuadraticDiscriminantAnalysis":
-        return {"reg_param": [0, 0.1, 0.5, 1.0]}
-    if name == "GaussianNB":
-        return {"var_smoothing": [1e-9]}
-    if name == "PassiveAggressiveRegressor":
-        return {"C": [0.1, 1, 10, 100, 1000, 100000], "fit_intercept": BOOL, "max_iter": [1000, 5000],
-                "loss": EPS_LOSSES}
-    if name == "PassiveAggressiveClassifier":
-        return {"C": COSTS, "fit_intercept": BOOL, "max_iter": LONG, "loss": ["hinge", "squared_hinge"],
-                "class_weight": BALANCED, "early_stopping": [True]}
-    if name == "SGDRegressor":
-        return {"alpha": SGD_ALPHAS, "penalty": PENALTIES,
-                "loss": ["squared_error", "huber", *EPS_LOSSES], "fit_intercept": [True], "max_iter": LONG}
-    if name == "SGDClassifier":
-        return {"alpha": SGD_ALPHAS, "penalty": PENALTIES,
-                "loss": ["hinge", "log_loss", "modified_huber", "squared_hinge", "perceptron"],
-                "class_weight": BALANCED, "fit_intercept": [True], "max_iter": LONG}
-    if name == "MBSGDClassifier":
-        return {"alpha": SGD_ALPHAS, "penalty": PENALTIES, "loss": ["hinge", "log", "squared_loss"],
-                "fit_intercept": [True], "epochs": [1000, 5000]}
-    raise ValueError(f"no parameter grid for model {name}")
-
-
-# Continuous ranges that replace a list when sampling.
-_RANGES = {
-    ("alpha", "Ridge", "Lasso", "LassoLars", "KernelRidge", "RidgeClassifier"): _log(1e-4, 100),
-    ("alpha", "TweedieRegressor", "PoissonRegressor"): _log(1e-3, 10),
-    ("alpha", "GammaRegressor"): _log(1e-6, 1),
-    ("alpha", "SGDRegressor", "SGDClassifier", "MBSGDClassifier"): _log(1e-4, 1e-2),
-    ("power", "TweedieRegressor"): Real(1.0, 2.0),
-    ("C", "SVR", "SVC"): _log(0.1, 10),
-    ("C", "LinearSVR", "LinearSVC", "LogisticRegression", "PassiveAggressiveClassifier"): _log(0.1, 100),
-    ("C", "PassiveAggressiveRegressor"): _log(0.1, 100000),
-    ("nu", "NuSVR", "NuSVC"): Real(0.1, 0.9),
-    ("gamma", "SVR", "SVC", "NuSVR", "NuSVC"): _log(0.01, 0.1),
-    ("learning_rate", "LGBMRegressor", "LGBMClassifier", "GradientBoostingRegressor"): _log(0.01, 0.1),
-    ("reg_param", "QuadraticDiscriminantAnalysis"): Real(0, 1),
-    ("var_smoothing", "GaussianNB"): _log(1e-9, 1e-7),
-    ("num_leaves", "LGBMRegressor", "LGBMClassifier"): Integer(31, 127),
-    ("n_estimators", "LGBMRegressor", "LGBMClassifier"): Integer(20, 40),
-    ("n_estimators", "GradientBoostingRegressor"): Integer(100, 300),
-    ("n_estimators", "GradientBoostingClassifier", "XGBRegressor", "XGBClassifier"): Integer(100, 500),
-    ("max_depth", "GradientBoostingRegressor", "GradientBoostingClassifier", "XGBRegressor",
-     "XGBClassifier"): Integer(3, 7),
-    ("n_neighbors", "KNeighborsClassifier"): Integer(3, 9),
-    ("intercept_scaling", "LinearSVR"): Integer(1, 10),
-    ("degree", "KernelRidge"): Integer(2, 3),
+# The candidate values of every model; a list holds several grids.
+GRIDS: dict[str, dict | list[dict]] = {
+    "LinearRegression": {"fit_intercept": [True, False]},
+    "Ridge": {"alpha": [0.0005, 0.1, 1.0, 10.0], "fit_intercept": [True, False]},
+    "Lasso": {"alpha": [0.0005, 0.1, 1.0, 10.0], "fit_intercept": [True, False]},
+    "LassoLars": {"alpha": [0.0005, 0.1, 1.0, 10.0], "fit_intercept": [True, False]},
+    "KernelRidge": {"alpha": [0.0005, 0.1, 1.0, 10.0], "kernel": ["linear", "poly", "rbf"], "degree": [2, 3]},
+    "TweedieRegressor": {"power": list(np.linspace(1.0, 2.0, 4)), "alpha": list(np.logspace(-3, 1, 4)), "link": ["log", "identity"],
+                         "max_iter": [5000]},
+    "GammaRegressor": {"alpha": list(np.linspace(1e-6, 1, 10)), "fit_intercept": [True, False], "solver": ["lbfgs", "newton-cholesky"],
+                       "max_iter": [1000, 5000]},
+    "PoissonRegressor": {"alpha": list(np.logspace(-3, 1, 10)), "fit_intercept": [True, False]},
+    "LGBMRegressor": {"num_leaves": [31, 127], "learning_rate": [0.01, 0.1], "n_estimators": [20, 40]},
+    "XGBRegressor": {"n_estimators": [100, 300, 500], "max_depth": [3, 5, 7], "grow_policy": ["depthwise", "lossguide"],
+                     "objective": ["reg:squarederror"]},
+    "GradientBoostingRegressor": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.1], "max_depth": [3, 5, 7]},
+    "SVR": {"C": [0.1, 1, 10, 100], "kernel": ["linear", "rbf", "poly"], "gamma": [0.1, 1, "scale", "auto"]},
+    "NuSVR": {"nu": [0.1, 0.5, 0.9], "kernel": ["linear", "rbf", "poly"], "gamma": [0.1, 1, "scale", "auto"]},
+    "LinearSVR": {"C": [0.1, 1, 10, 100], "intercept_scaling": [1, 10], "loss": ["epsilon_insensitive", "squared_epsilon_insensitive"],
+                  "fit_intercept": [True], "max_iter": [5000]},
+    "PassiveAggressiveRegressor": {"C": [0.1, 1, 10, 100, 1000, 100000], "fit_intercept": [True, False], "max_iter": [1000, 5000],
+                                   "loss": ["epsilon_insensitive", "squared_epsilon_insensitive"]},
+    "SGDRegressor": {"alpha": [0.0001, 0.001, 0.01], "penalty": ["l1", "l2", "elasticnet"],
+                     "loss": ["squared_error", "huber", "epsilon_insensitive", "squared_epsilon_insensitive"], "fit_intercept": [True],
+                     "max_iter": [5000]},
+    "LogisticRegression": [
+        {"C": [0.1, 1, 10, 100], "dual": [False, True], "class_weight": ["balanced", None], "intercept_scaling": [1, 10],
+         "max_iter": [5000], "tol": [0.0001], "penalty": [None, "l2"], "solver": ["lbfgs"]},
+        {"C": [0.1, 1, 10, 100], "dual": [False, True], "class_weight": ["balanced", None], "intercept_scaling": [1, 10],
+         "max_iter": [5000], "tol": [0.0001], "penalty": ["l1"], "solver": ["liblinear"]},
+        {"C": [0.1, 1, 10, 100], "dual": [False, True], "class_weight": ["balanced", None], "intercept_scaling": [1, 10],
+         "max_iter": [5000], "tol": [0.0001], "penalty": ["elasticnet"], "l1_ratio": [0.2, 0.5, 0.75]},
+    ],
+    "RidgeClassifier": {"alpha": [0.0005, 0.1, 1.0, 10.0], "fit_intercept": [True, False], "class_weight": ["balanced"]},
+    "KNeighborsClassifier": {"n_neighbors": [1, 3, 5, 7, 9], "weights": ["uniform", "distance"],
+                             "metric": ["cosine", "haversine", "minkowski"]},
+    "LinearDiscriminantAnalysis": {"solver": ["svd", "lsqr", "eigen"], "shrinkage": [None, "auto"]},
+    "QuadraticDiscriminantAnalysis": {"reg_param": [0, 0.1, 0.5, 1.0]},
+    "GaussianNB": {"var_smoothing": [1e-09]},
+    "LGBMClassifier": {"num_leaves": [31, 127], "learning_rate": [0.01, 0.1], "n_estimators": [20, 40]},
+    "XGBClassifier": {"n_estimators": [100, 300, 500], "max_depth": [3, 5, 7], "grow_policy": ["depthwise", "lossguide"],
+                      "objective": ["binary:logistic"]},
+    "GradientBoostingClassifier": {"n_estimators": [100, 300, 500], "max_depth": [3, 5, 7], "loss": ["log_loss", "exponential"],
+                                   "criterion": ["friedman_mse", "mse"]},
+    "SVC": {"C": [0.1, 1, 10, 100], "kernel": ["linear", "rbf", "poly"], "gamma": [0.1, 1, "scale", "auto"], "class_weight": ["balanced"]},
+    "NuSVC": {"nu": [0.1, 0.5, 0.9], "kernel": ["linear", "rbf", "poly"], "gamma": [0.1, 1, "scale", "auto"], "class_weight": ["balanced"]},
+    "LinearSVC": [
+        {"C": [0.1, 1, 10, 100], "class_weight": ["balanced"], "fit_intercept": [True], "max_iter": [5000], "penalty": ["l1"],
+         "loss": ["squared_hinge"]},
+        {"C": [0.1, 1, 10, 100], "class_weight": ["balanced"], "fit_intercept": [True], "max_iter": [5000], "penalty": ["l2"],
+         "loss": ["hinge", "squared_hinge"]},
+    ],
+    "PassiveAggressiveClassifier": {"C": [0.1, 1, 10, 100], "fit_intercept": [True, False], "max_iter": [5000],
+                                    "loss": ["hinge", "squared_hinge"], "class_weight": ["balanced"], "early_stopping": [True]},
+    "SGDClassifier": {"alpha": [0.0001, 0.001, 0.01], "penalty": ["l1", "l2", "elasticnet"],
+                      "loss": ["hinge", "log_loss", "modified_huber", "squared_hinge", "perceptron"], "class_weight": ["balanced"],
+                      "fit_intercept": [True], "max_iter": [5000]},
+    "MBSGDClassifier": {"alpha": [0.0001, 0.001, 0.01], "penalty": ["l1", "l2", "elasticnet"], "loss": ["hinge", "log", "squared_loss"],
+                        "fit_intercept": [True], "epochs": [1000, 5000]},
 }
-# Parameters that only the sampled space of a model has.
-_EXTRA = {
-    "SVR": {"degree": Integer(2, 3)},
-    "SVC": {"degree": Integer(2, 3)},
-    "GradientBoostingClassifier": {"learning_rate": _log(0.01, 0.1)},
+# What each model is sampled from where that is a range; other parameters are drawn from their candidates.
+RANGES: dict[str, dict] = {
+    "Ridge": {"alpha": Real(0.0001, 100, log=True)},
+    "Lasso": {"alpha": Real(0.0001, 100, log=True)},
+    "LassoLars": {"alpha": Real(0.0001, 100, log=True)},
+    "KernelRidge": {"alpha": Real(0.0001, 100, log=True), "degree": Integer(2, 3)},
+    "TweedieRegressor": {"power": Real(1.0, 2.0), "alpha": Real(0.001, 10, log=True)},
+    "GammaRegressor": {"alpha": Real(1e-06, 1, log=True)},
+    "PoissonRegressor": {"alpha": Real(0.001, 10, log=True)},
+    "LGBMRegressor": {"num_leaves": Integer(31, 127), "learning_rate": Real(0.01, 0.1, log=True), "n_estimators": Integer(20, 40)},
+    "XGBRegressor": {"n_estimators": Integer(100, 500), "max_depth": Integer(3, 7)},
+    "GradientBoostingRegressor": {"n_estimators": Integer(100, 300), "learning_rate": Real(0.01, 0.1, log=True), "max_depth": Integer(3, 7)},
+    "SVR": {"C": Real(0.1, 10, log=True), "gamma": Real(0.01, 0.1, log=True), "degree": Integer(2, 3)},
+    "NuSVR": {"nu": Real(0.1, 0.9), "gamma": Real(0.01, 0.1, log=True)},
+    "LinearSVR": {"C": Real(0.1, 100, log=True), "intercept_scaling": Integer(1, 10)},
+    "PassiveAggressiveRegressor": {"C": Real(0.1, 100000, log=True)},
+    "SGDRegressor": {"alpha": Real(0.0001, 0.01, log=True)},
+    "LogisticRegression": {"C": Real(0.1, 100, log=True)},
+    "RidgeClassifier": {"alpha": Real(0.0001, 100, log=True)},
+    "KNeighborsClassifier": {"n_neighbors": Integer(3, 9)},
+    "QuadraticDiscriminantAnalysis": {"reg_param": Real(0, 1)},
+    "GaussianNB": {"var_smoothing": Real(1e-09, 1e-07, log=True)},
+    "LGBMClassifier": {"num_leaves": Integer(31, 127), "learning_rate": Real(0.01, 0.1, log=True), "n_estimators": Integer(20, 40)},
+    "XGBClassifier": {"n_estimators": Integer(100, 500), "max_depth": Integer(3, 7)},
+    "GradientBoostingClassifier": {"n_estimators": Integer(100, 500), "max_depth": Integer(3, 7),
+                                   "learning_rate": Real(0.01, 0.1, log=True)},
+    "SVC": {"C": Real(0.1, 10, log=True), "gamma": Real(0.01, 0.1, log=True), "degree": Integer(2, 3)},
+    "NuSVC": {"nu": Real(0.1, 0.9), "gamma": Real(0.01, 0.1, log=True)},
+    "LinearSVC": {"C": Real(0.1, 100, log=True)},
+    "PassiveAggressiveClassifier": {"C": Real(0.1, 100, log=True)},
+    "SGDClassifier": {"alpha": Real(0.0001, 0.01, log=True)},
+    "MBSGDClassifier": {"alpha": Real(0.0001, 0.01, log=True)},
 }
 
 
-def _space_for(name: str):
-    ranges = {k[0]: v for k, v in _RANGES.items() if name in k[1:]}
-
-    def convert(grid):
-        return {**{p: ranges.get(p, Categorical(tuple(vs))) for p, vs in grid.items()}, **_EXTRA.get(name, {})}
-
-    grid = _grid_for(name)
-    return [convert(g) for g in grid] if isinstance(grid, list) else convert(grid)
+def _space(grid: dict, ranges: dict) -> dict:
+    """Ranges where there are any, candidates elsewhere; a range may stand for a parameter that the grid leaves out."""
+    return {**{p: ranges.get(p, Categorical(tuple(v))) for p, v in grid.items()}, **{p: r for p, r in ranges.items() if p not in grid}}
 
 
 def available_grid(model: str, kind: str = "grid"):
     """Grid (``grid``) or sampling space (``bayes``) of a model by name."""
     if kind not in ("grid", "bayes"):
         raise ValueError(f"unknown grid kind {kind!r}")
-    return _grid_for(model) if kind == "grid" else _space_for(model)
+    if model not in GRIDS:
+        raise ValueError(f"no parameter grid for model {model}")
+    grid = deepcopy(GRIDS[model])
+    if kind == "grid":
+        return grid
+    ranges = RANGES.get(model, {})
+    return [_space(g, ranges) for g in grid] if isinstance(grid, list) else _space(grid, ranges)
 
 
 def _prefixed(grid, prefix):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabspark.operators import fitted, margins, models, pipelines, scorers, search, transforms, twopart
+from tabspark.operators import fitted, grids, margins, models, pipelines, scorers, search, transforms, twopart
 from tabspark.operators.encode import OneHotModel
 from tabspark.operators.select import FeatureSetModel
 
@@ -258,3 +258,9 @@ def test_quantiles_with_nan_are_alike_at_every_size(spark):
     for probs in ([0.0, 0.5, 0.999, 1.0], [i / 60 for i in range(61)]):
         small, large = (exact_quantiles(df, {"x": F.col("x")}, probs, limit=n)["x"] for n in (10_000, 10))
         assert np.array_equal(small, large, equal_nan=True) and math.isnan(large[-1]) and large[0] == 0.0
+
+
+def test_every_grid_and_space_fits_its_model():
+    for name, grid in grids.GRIDS.items():
+        for trial in grids.expand(grid) + grids.sample(grids.available_grid(name, "bayes"), 5):
+            assert set(models.effective(name, trial)) <= set(trial)
