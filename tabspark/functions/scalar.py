@@ -154,6 +154,14 @@ def bound_index(x: Column, bounds: list) -> Column:
     return tree(0, len(bounds)).cast("int")
 
 
+def digamma(x: Column) -> Column:
+    """psi(x) for x >= 1: eight steps up, then the asymptotic series."""
+    z = x.cast("double") + 8
+    v = 1 / (z * z)
+    series = F.log(z) - 0.5 / z - v * (1 / 12 - v * (1 / 120 - v * (1 / 252 - v * (1 / 240 - v / 132))))
+    return series - reduce(lambda a, b: a + b, [1 / (x + i) for i in range(8)])
+
+
 def dot(cols: list[Column], weights) -> Column:
     return reduce(lambda a, b: a + b, [c * F.lit(float(w)) for c, w in zip(cols, weights)])
 

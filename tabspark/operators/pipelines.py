@@ -26,6 +26,7 @@ from tabspark.operators import reduce as R
 from tabspark.operators import select
 from tabspark.operators.encode import polynomial_name, polynomial_terms
 from tabspark.operators.fitted import Fitted, kind
+from tabspark.operators.information import neighbour_information
 from tabspark.operators.metrics import CLASSIFICATION, REGRESSION, f1_macro_from
 from tabspark.operators.models import effective, estimator, from_moments
 from tabspark.operators.search import MOMENT_MODELS, RESULT_SCHEMA, metrics_by_set, task_of
@@ -199,7 +200,9 @@ class _Run:
             top = sorted(range(len(r2)), key=lambda i: (-r2[i], node.columns[i]))[:many]
             return [node.columns[i] for i in sorted(top)]
         fn = {"f": select.anova_scores, "mutual_info": lambda *a: select.mutual_information(*a, regression=task == "regression"),
-              "chi2": select.chi2_scores}.get(params["score_func"])
+              "chi2": select.chi2_scores, "mutual_info_neighbours": neighbour_information}.get(params["score_func"])
+        if params["score_func"] == "mutual_info_neighbours" and task == "regression":
+            raise ValueError("mutual_info_neighbours needs a class; use mutual_info")
         if fn is None:
             raise ValueError(f"unknown score_func {params['score_func']!r}")
         scored = {r["feature"]: r["score"] for r in fn(self.train(node, k), node.columns, self.label).collect()}

@@ -6,7 +6,7 @@ from functools import reduce as fold_left
 
 from pyspark.sql import functions as F
 
-from tabspark.operators import preprocess, reduce, select, split, transforms
+from tabspark.operators import information, preprocess, reduce, select, split, transforms
 from tabspark.operators.roles import TabularDataset
 from tabspark.plans.registry import query, tidy
 from tabspark.sources import fixtures as fx
@@ -196,6 +196,36 @@ def mutual_info_binned(spark, d):
     return tidy(select.mutual_information(fx.doc_feat(spark, d), DOCS[1:], "quality"))
 
 
+def _neighbour_sql(c, k=3):
+    """All pairs of one feature: psi of whole numbers is a harmonic sum, and the Euler constants cancel."""
+    return f"""SELECT '{c}' AS feature, round(greatest(0, psi_n + mean), 6) + 0.0 AS score FROM (
+        SELECT avg(own.psi - cls.psi - alle.psi) AS mean, any_value(total.psi) AS psi_n FROM (
+            SELECT i, size, n, sum(CASE WHEN same AND near THEN 1 ELSE 0 END) AS own_rows, sum(CASE WHEN near THEN 1 ELSE 0 END) AS all_rows FROM (
+                SELECT *, CASE WHEN r = 0 THEN dist = 0 ELSE dist < r END AS near FROM (
+                    SELECT *, max(CASE WHEN same AND j <> i AND nth = least({k}, size - 1) THEN dist END) OVER (PARTITION BY i) AS r FROM (
+                        SELECT a.row_id AS i, b.row_id AS j, a.size, a.n, a.y = b.y AS same, abs(a.x - b.x) AS dist,
+                            row_number() OVER (PARTITION BY a.row_id, a.y = b.y, a.row_id = b.row_id ORDER BY abs(a.x - b.x)) AS nth
+                        FROM pts_{c} a CROSS JOIN pts_{c} b)))
+            GROUP BY i, size, n) q
+        JOIN psi own ON own.m = q.own_rows JOIN psi cls ON cls.m = q.size JOIN psi alle ON alle.m = q.all_rows JOIN psi total ON total.m = q.n)"""
+
+
+_POINTS = [f"""pts_{c} AS (SELECT *, count(*) OVER () AS n FROM (SELECT row_id, quality AS y, {c} AS x, count(*) OVER (PARTITION BY quality) AS size
+    FROM doc_feat WHERE quality IS NOT NULL AND {c} IS NOT NULL) WHERE size > 1)""" for c in DOCS[1:]]
+_PSI = "psi AS (SELECT m, coalesce(sum(1.0::DOUBLE / (m - 1)) FILTER (m > 1) OVER (ORDER BY m), 0) AS psi FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM documents))) AS m))"
+
+
+@query("mutual_info_neighbours", " UNION ALL ".join(map(_neighbour_sql, DOCS[1:])), using=("doc_feat",), extra=", ".join([*_POINTS, _PSI]))
+def mutual_info_neighbours(spark, d):
+    return tidy(information.neighbour_information(fx.doc_feat(spark, d), DOCS[1:], "quality"))
+
+
+@query("mutual_info_neighbours_blocks", " UNION ALL ".join(map(_neighbour_sql, DOCS[1:])), using=("doc_feat",), extra=", ".join([*_POINTS, _PSI]))
+def mutual_info_neighbours_blocks(spark, d):
+    """The same in blocks of 50 values, as a large table is cut."""
+    return tidy(information.neighbour_information(fx.doc_feat(spark, d), DOCS[1:], "quality", rows_per_block=50))
+
+
 @query("mutual_info_regression_binned", _mi_sql(_bin_sql("n_chars")), using=("doc_feat",), extra="lab AS (SELECT * FROM doc_feat)")
 def mutual_info_regression_binned(spark, d):
     return tidy(select.mutual_information(fx.doc_feat(spark, d), DOCS[1:], "n_chars", regression=True))

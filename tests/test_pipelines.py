@@ -97,6 +97,17 @@ def test_k_best_and_landmarks_take_effect(data):
     assert mapped[1] < 0.7 * mapped[0]
 
 
+def test_k_best_by_neighbours(data):
+    """The class depends on |b - 3| only, which an F score does not see."""
+    df = data[0].withColumn("y", (F.abs(F.col("b") - 3) > 4).cast("double"))
+    steps = [("k", "select_k_best"), ("m", "GaussianNB")]
+    chosen = pipelines.fit_pipeline(df, list("abc"), "y", steps, {"k__k": 1, "k__score_func": "mutual_info_neighbours"})
+    alone = pipelines.fit_pipeline(df, ["b"], "y", steps[1:], {})
+    assert rows(chosen.transform(df), "prediction") == rows(alone.transform(df), "prediction")
+    with pytest.raises(ValueError, match="needs a class"):
+        pipelines.fit_pipeline(df, list("abc"), "a", [steps[0], ("m", "Ridge")], {"k__k": 1, "k__score_func": "mutual_info_neighbours"})
+
+
 def test_unknown_keys_raise(data):
     df = data[0]
     pipeline = [("pca", "pca"), ("regressor", "Ridge")]
