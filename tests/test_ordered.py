@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tabspark.operators import curves, dist, encode, split
-from tabspark.operators.ordered import block_bounds, block_column, filled, ranked, running_sum
+from tabspark.operators.ordered import block_bounds, block_column, blocks_of, filled, ranked, running_sum
 from tabspark.operators.quantiles import exact_quantiles
 
 
@@ -63,6 +63,34 @@ def test_ranked_with_ties(skewed):
     assert [r[2] for r in rows] == list(range(1, 3001))
 
 
+@pytest.mark.parametrize("tie", ["id", "name", "day"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_a_hot_value_is_cut_by_the_tie_break(spark, tie, descending):
+    """A third nulls, half zeros, a text of one long prefix, a tie that is null now and then."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1800):
+        u = rng.random()
+        rows.append((i, None if u < 0.33 else 0.0 if u < 0.8 else rng.randrange(-50, 50) / 10))
+    df = spark.createDataFrame(rows, "id long, v double").withColumns({
+        "name": F.concat(F.lit("a long common beginning é "), F.lpad(F.col("id").cast("string"), 6, "0")),
+        "day": F.expr("date_add(DATE '2020-01-01', cast(id as int))")})
+    block = blocks_of(df, F.col("v"), F.col(tie), 50)
+    sizes = [r["count"] for r in df.groupBy(block.alias("b")).count().collect()]
+    assert max(sizes) <= 200, sorted(sizes)[-5:]
+    got = ranked(df, "r", "v", descending=descending, tie_break=[tie], rows_per_block=50)
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]), reverse=descending)
+    assert {r["id"]: r["r"] for r in got.collect()} == {r[0]: i + 1 for i, r in enumerate(order)}
+
+
+@pytest.mark.parametrize("tie", ["id", "name"])
+def test_hot_value_with_many_cuts_and_null_ties(spark, tie):
+    df = spark.range(3000).select("id", F.lit(1).alias("v"), F.format_string("n%06d", "id").alias("name"))
+    df = df.withColumn(tie, F.when(F.col("id") > 0, F.col(tie)))
+    got = ranked(df.withColumn("was", F.coalesce("id", F.lit(0))), "r", "v", tie_break=[tie], rows_per_block=5)
+    assert all(r["r"] == r["was"] + 1 for r in got.collect())
+
+
 @pytest.mark.parametrize("probs", [[0.5], [0.25, 0.5, 0.75], [0.0, 0.01, 0.99, 1.0], list(np.linspace(0, 1, 50))])
 def test_exact_quantiles_large_path(spark, probs):
     rng = np.random.default_rng(0)
