@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import functions as F
+
 from tabspark.functions.scalar import dbl
-from tabspark.operators import dist, gram, profile, roles
+from tabspark.functions.special import digamma
+from tabspark.operators import dist, gram, likelihood, ordered, profile, roles
+from tabspark.operators.small import small_table
 from tabspark.plans.registry import query, tidy
 from tabspark.sources import fixtures as fx
 
@@ -127,6 +133,48 @@ def fit_gamma(spark, d):
     return tidy(dist.fit_table(fx.events_value(spark, d), "value", "gamma"))
 
 
+_COUNTS = """UNION ALL SELECT 'rows', count(value)::DOUBLE FROM events_missing UNION ALL SELECT 'missing', (count(*) - count(value))::DOUBLE FROM events_missing
+       UNION ALL SELECT 'outside', 0.0"""
+
+
+@query("likelihood_lognorm", f"""SELECT 's' AS parameter, round(stddev_pop(ln(value)), 3) AS value FROM events_missing
+       UNION ALL SELECT 'scale', round(exp(avg(ln(value))), 3) FROM events_missing UNION ALL SELECT 'loc', 0.0
+       UNION ALL SELECT 'mean_log_density', round(-avg(ln(value)) - ln(stddev_pop(ln(value))) - 0.5 * ln(2 * pi()) - 0.5, 3) FROM events_missing
+       {_COUNTS}""", using=("events_missing",))
+def likelihood_lognorm(spark, d):
+    return tidy(likelihood.likelihood_table(fx.events_missing(spark, d), "value", "lognorm", fixed={"loc": 0.0}), digits=3)
+
+
+RAYLEIGH = likelihood.Density(lambda x, sigma: F.when(x > 0, F.log(x) - 2 * math.log(sigma) - x * x / (2 * sigma ** 2)),
+                              lambda mean, std, least: {"sigma": mean}, ("sigma",))
+
+
+@query("likelihood_own_density", f"""SELECT 'sigma' AS parameter, round(sqrt(avg(value) / 2), 3) AS value FROM events_missing
+       UNION ALL SELECT 'mean_log_density', round(avg(ln(value)) / 2 - ln(avg(value) / 2) - 1, 3) FROM events_missing
+       {_COUNTS}""", using=("events_missing",))
+def likelihood_own_density(spark, d):
+    """A density given by its formula, fitted to the root of the value."""
+    return tidy(likelihood.likelihood_table(fx.events_missing(spark, d), "value", RAYLEIGH, apply_transform=F.sqrt), digits=3)
+
+
+@query("likelihood_gamma_moments", """SELECT 'newton' AS fit, round(avg(value), 3) AS mean, round(avg(ln(value)), 3) AS mean_log FROM events_value
+       UNION ALL SELECT 'likelihood', round(avg(value), 3), round(avg(ln(value)), 3) FROM events_value""", using=("events_value",))
+def likelihood_gamma_moments(spark, d):
+    """At the maximum the fitted mean and mean logarithm, which fix both parameters, are those of the data."""
+    df = fx.events_value(spark, d)
+    fits = {"newton": dist.fit_gamma(df, dbl("value")),
+            "likelihood": likelihood.fit_likelihood(df, "value", "gamma", fixed={"loc": 0.0}).params}
+    rows = [(k, p["a"] * p["scale"], digamma(p["a"]) + math.log(p["scale"])) for k, p in fits.items()]
+    return tidy(small_table(spark, rows, "fit string, mean double, mean_log double"), digits=3)
+
+
+@query("rank_hot_value_blocks", """SELECT row_id::BIGINT AS row_id, row_number() OVER (ORDER BY y, row_id)::BIGINT AS position FROM user_day""", using=("user_day",))
+def rank_hot_value_blocks(spark, d):
+    """Ranks of a target that is mostly zero, cut into blocks of 25 rows."""
+    df = fx.user_day(spark, d).select("row_id", "y")
+    return tidy(ordered.ranked(df, "position", "y", tie_break=["row_id"], rows_per_block=25).select("row_id", "position"))
+
+
 @query("fitted_density", """SELECT round(lo + i * ((hi - lo) / 999), 6) AS x,
        round(exp(-pow((lo + i * ((hi - lo) / 999) - m) / s, 2) / 2) / (s * sqrt(2 * pi())), 9) AS density
        FROM (SELECT min(value) AS lo, max(value) AS hi, avg(value) AS m, stddev_pop(value) AS s FROM events_value),
