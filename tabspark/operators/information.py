@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalar import dbl, digamma, ident
 from tabspark.operators.ordered import ranked, running_sum
+from tabspark.operators.small import small_table
 
 ROWS_PER_BLOCK = 1_000_000
 CELL = ["feature", "class"]
@@ -98,16 +99,21 @@ def neighbour_information(df: DataFrame, features: list[str], target: str, k: in
     classes of one row. A feature without any pair of rows in a class has score 0.
 
     Equal values are one row with a count before anything is sorted. All is windows over
-    blocks of at most ``rows_per_block`` values; no window covers a class or a feature.
+    blocks of about ``rows_per_block`` values; no window covers a class or a feature. The
+    counted values and their intervals are persisted, so the table is read once; one row
+    per feature comes to the driver.
     """
     if k < 1:
         raise ValueError("k must be 1 at least")
     size = rows_per_block or ROWS_PER_BLOCK
-    m = _rows_inside(_with_reach(_points(df, features, target), k, size), size)
-    w, n = F.col("w"), F.sum("w")
-    term = digamma(F.col("own")) - digamma(F.col("size")) - digamma(F.col("m"))
-    found = m.groupBy("feature").agg(n.alias("n"), (F.sum(w * term) / n).alias("mean"))
-    score = F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("mean"))
-    every = df.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(features)], "feature string")
-    return every.join(found.select("feature", score.alias("score")), "feature", "left").select(
-        "feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+    points = _points(df, features, target).persist()
+    reached = _with_reach(points, k, size).persist()
+    try:
+        w, n = F.col("w"), F.sum("w")
+        term = digamma(F.col("own")) - digamma(F.col("size")) - digamma(F.col("m"))
+        score = F.greatest(F.lit(0.0), digamma(n) + F.sum(w * term) / n)
+        found = {r["feature"]: r["score"] for r in _rows_inside(reached, size).groupBy("feature").agg(score.alias("score")).collect()}
+    finally:
+        reached.unpersist()
+        points.unpersist()
+    return small_table(df.sparkSession, [(c, float(found.get(c, 0.0))) for c in dict.fromkeys(features)], "feature string, score double")

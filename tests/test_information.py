@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabspark.functions.scalar import digamma
-from tabspark.operators.information import neighbour_information
+from tabspark.operators.information import _points, _rows_inside, _with_reach, neighbour_information
 
 
 def psi(n):
@@ -71,11 +71,11 @@ def test_empty_and_repeated_names(spark):
 
 def test_no_window_over_a_class_or_feature(spark):
     df = spark.range(500).select(F.rand(1).alias("x"), (F.col("id") % 2).alias("y"))
-    plan = neighbour_information(df, ["x"], "y", rows_per_block=50)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" in plan
-    for line in plan.splitlines():
-        if "Window [" in line and ("lag(x" in line or "sum(" in line and "unboundedpreceding$(), currentrow$()" in line):
-            assert "block" in line
+    reached = _with_reach(_points(df, ["x"], "y"), 3, 50)
+    for step, order in ((reached, "lag(x"), (_rows_inside(reached, 50), "sum(__v0")):
+        windows = [line for line in step._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line and order in line]
+        assert windows and all("block" in line.rsplit("], [", 2)[-2] for line in windows)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_digamma(spark):
