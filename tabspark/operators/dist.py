@@ -78,16 +78,24 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 
 def histogram_by_class(df: DataFrame, features: list[str], target: str, bins: int = 20,
-                       log_bins: bool = False) -> DataFrame:
-    """Counts per (feature, class, bin); log bins use log10 of the positive values."""
+                       log_bins: bool = False, empty: bool = False) -> DataFrame:
+    """Counts per (feature, class, bin); log bins use log10 of the positive values.
+
+    With ``empty`` every class has all bins of every feature, so that classes can be drawn
+    over each other; a null class is a class, and a feature without values has empty bins only.
+    """
     prep = (lambda c: F.when(dbl(c) > 0, F.log10(dbl(c)))) if log_bins else dbl
     row = df.agg(*[F.struct(F.min(prep(c)), F.max(prep(c))) for c in features]).first()
     cells = F.array(*[
-        F.struct(F.lit(c).alias("feature"), equal_width_bin(prep(c), lo, hi, bins).alias("bin"))
+        F.struct(F.lit(c).alias("feature"), (F.lit(None).cast("int") if lo is None else equal_width_bin(prep(c), lo, hi, bins).cast("int")).alias("bin"))
         for c, (lo, hi) in zip(features, row)])
-    return (df.select(F.col(ident(target)).alias("class"), F.explode(cells).alias("e"))
-            .select("class", "e.feature", "e.bin").filter("bin IS NOT NULL")
-            .groupBy("feature", "class", "bin").agg(F.count(F.lit(1)).alias("n")))
+    found = df.select(F.col(ident(target)).alias("class"), F.explode(cells).alias("e")).select("class", "e.feature", "e.bin")
+    if not empty:
+        return found.filter("bin IS NOT NULL").groupBy("feature", "class", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # one row of counts per feature and class; its bins are unfolded after the shuffle
+    counts = [F.count_if(F.col("bin") == i) for i in range(bins)]
+    rows = found.groupBy("feature", "class").agg(F.array(*counts).alias("c"))
+    return rows.select("feature", "class", F.posexplode("c").alias("bin", "n"))
 
 
 def grid_size(n_plots: int, n_rows: int) -> int:

@@ -72,7 +72,7 @@ class OneHot(Estimator):
             cats[c].append(_native(r["v"], types[c]))
         wide = [c for c, vs in cats.items() if len(vs) > self.max_categories]
         if wide or len(seen) > most:
-            raise ValueError(f"over {self.max_categories} categories in {wide or self.columns}: use encode_long")
+            raise ValueError(f"over {self.max_categories} categories in {wide or self.columns}: use SparseOneHot")
         return OneHotModel({c: sorted(vs) for c, vs in cats.items()})
 
 

@@ -148,7 +148,7 @@ class _Reader(MLReader):
             return tuple(map(whole, at)) if what == "tuple" else {whole(k): whole(x) for k, x in at}
 
         # the kinds register where their fits live
-        from tabspark.operators import models, pipelines, twopart  # noqa: F401
+        from tabspark.operators import models, pipelines, sparse, twopart  # noqa: F401
 
         model = self.cls.__new__(self.cls)
         Model.__init__(model)

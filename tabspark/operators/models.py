@@ -536,18 +536,27 @@ def fit_qda(df, features, label, params):
 
 
 def fit_knn(df, features, label, params):
+    """The training table as it is; with a ``recall`` also an index of cells that a query visits in part."""
     key = params.get("key", "row_id")
     train = df.select(ident(key), F.array(*[dbl(c) for c in features]).alias("x"), dbl(label).alias("label"))
-    return Fitted("neighbours", {"train": train, "features": list(features), "key": key, "k": int(params.get("n_neighbors", 5)),
-                                 "weights": params.get("weights", "uniform"), "metric": params.get("metric", "minkowski")})
+    k, metric = int(params.get("n_neighbors", 5)), params.get("metric", "minkowski")
+    index = {}
+    if params.get("recall") is not None:
+        from tabspark.operators.neighbours import fit_index
+
+        fit = fit_index(train, k, metric, float(params["recall"]), key)
+        index = {"centres": fit.centres, "probes": fit.probes}
+    return Fitted("neighbours", {"train": train, "features": list(features), "key": key, "k": k,
+                                 "weights": params.get("weights", "uniform"), "metric": metric, **index})
 
 
 @kind("neighbours")
 def _neighbours(df, s):
-    from tabspark.operators.neighbours import knn_classify
+    from tabspark.operators.neighbours import CellIndex, knn_classify
 
     asked = df.select(ident(s["key"]), F.array(*[dbl(c) for c in s["features"]]).alias("x"))
-    return df.join(knn_classify(s["train"], asked, s["k"], s["weights"], key=s["key"], metric=s["metric"]), s["key"])
+    index = CellIndex(s["centres"], s["probes"], s["metric"]) if "centres" in s else None
+    return df.join(knn_classify(s["train"], asked, s["k"], s["weights"], key=s["key"], metric=s["metric"], index=index), s["key"])
 
 
 # --- catalogue --------------------------------------------------------------------------------------

@@ -1,24 +1,45 @@
-"""Exact k-nearest-neighbour classification as a blocked join.
+"""k-nearest-neighbour search and classification as a blocked join, exact or through an index.
 
 Training rows are cut into cells around sampled pivots.  Cell radii bound every
 distance, so a query row visits only the cells that can hold one of its k
 neighbours.  A crowded cell is split into blocks of bounded size and the queries
 of a block into chunks, so one task never holds a whole cell; each task keeps its
 k best per query and the merge sees k rows per visited block.
+
+Wide vectors are about equally far from each other, so radii rule out little. For
+them ``CellIndex`` puts every row into the cell of its nearest fitted centre, and a
+query visits only as many cells as a wanted share of the true neighbours needs. That
+number is measured against the exact search, not set.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabspark.functions.scalar import HASH_RANGE, hash32, ident
+from tabspark.operators.small import small_table
 
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 1_024
+#: Rows that the centres of an index are fitted on, and rows whose neighbours set the cells a query visits.
+CENTRE_ROWS = 65_536
+MEASURED_ROWS = 1_000
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """Centres of cells in the coordinates of ``metric`` and the number of cells that a query visits."""
+
+    centres: np.ndarray
+    probes: int
+    metric: str = "minkowski"
 
 
 def _embed(metric: str):
@@ -49,33 +70,48 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(d, 0, None))
 
 
-def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str = "minkowski",
-                       key: str = "row_id", x: str = "x", label: str = "label", seed: int = 42,
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(key, neighbour, label, distance, rank): the k nearest training rows of every query row."""
-    embed, back = _embed(metric)
+def _coords(metric: str):
+    embed, _ = _embed(metric)
 
     @F.pandas_udf("array<double>")
     def coords(s: pd.Series) -> pd.Series:
         return pd.Series(list(embed(_matrix(s)))) if len(s) else pd.Series([], dtype=object)
 
+    return coords
+
+
+def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str = "minkowski",
+                       key: str = "row_id", x: str = "x", label: str = "label", seed: int = 42,
+                       block_rows: int = BLOCK_ROWS, index: CellIndex | None = None) -> DataFrame:
+    """(key, neighbour, label, distance, rank): the k nearest training rows of every query row.
+
+    With an ``index`` a query visits the cells of its nearest centres, and more of them until they hold
+    k rows; distances are exact, and the share of the true neighbours is that of ``fit_index``.
+    An empty training table gives no rows.
+    """
+    if index is not None and index.metric != metric:
+        raise ValueError(f"the index is for {index.metric!r}, not {metric!r}")
+    _, back = _embed(metric)
+    coords = _coords(metric)
     arr = lambda: coords(F.col(ident(x)).cast("array<double>"))
     t = train.select(F.col(ident(key)).alias("tid"), F.col(ident(label)).alias("label"), arr().alias("tx"))
     q = query.select(F.col(ident(key)).alias("qid"), arr().alias("qx"))
 
-    n = t.count()
-    cells = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
-    pool = t.withColumn("h", hash32(F.col("tid"), f"pivot{seed}"))
-    if n > 100 * cells:
-        pool = pool.filter(F.col("h") < F.lit(int(20.0 * cells / n * HASH_RANGE)))
-    pivots = np.array([r["tx"] for r in pool.orderBy("h").limit(cells).collect()], dtype=float)
-
-    @F.pandas_udf("struct<cell int, d double>")
-    def assign(s: pd.Series) -> pd.DataFrame:
-        d = _distances(_matrix(s, pivots.shape[1]), pivots)
-        c = d.argmin(1) if len(d) else np.zeros(0, dtype=int)
-        return pd.DataFrame({"cell": c.astype("int32"), "d": d[np.arange(len(d)), c]})
+    if index is None:
+        n = t.count()
+        cells = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
+        pool = t.withColumn("h", hash32(F.col("tid"), f"pivot{seed}"))
+        if n > 100 * cells:
+            pool = pool.filter(F.col("h") < F.lit(int(20.0 * cells / n * HASH_RANGE)))
+        pivots = np.array([r["tx"] for r in pool.orderBy("h").limit(cells).collect()], dtype=float)
+    else:
+        pivots = index.centres
+    if not len(pivots):
+        types = dict(t.dtypes)
+        return small_table(train.sparkSession, [], f"{ident(key)} {dict(q.dtypes)['qid']}, neighbour {types['tid']}, "
+                           f"label {types['label']}, distance double, rank int")
 
+    assign = _assign(pivots)
     t = t.withColumn("a", assign("tx")).select("tid", "label", "tx", F.col("a.cell").alias("cell"),
                                                F.col("a.d").alias("d"))
     stats = {r["cell"]: r for r in t.groupBy("cell").agg(
@@ -90,6 +126,13 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
         d = _distances(_matrix(s, pivots.shape[1]), pivots)
         out = []
         for row in d:
+            if index is not None:
+                near = np.argsort(row, kind="stable")
+                near = near[count[near] > 0]
+                need = max(index.probes, int(np.searchsorted(np.cumsum(count[near]), k)) + 1)
+                hit = near[:need]
+                out.append(np.concatenate([np.arange(first[c], first[c] + blocks[c]) for c in hit]).astype("int32"))
+                continue
             upper = row + radius
             order = np.argsort(upper)
             reach = np.cumsum(count[order])
@@ -132,6 +175,101 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
             .select(F.col("qid").alias(key), F.col("tid").alias("neighbour"), "label", "distance", "rank"))
 
 
+def _assign(centres: np.ndarray):
+    """The nearest centre of a row and the distance to it."""
+    @F.pandas_udf("struct<cell int, d double>")
+    def assign(s: pd.Series) -> pd.DataFrame:
+        d = _distances(_matrix(s, centres.shape[1]), centres)
+        c = d.argmin(1) if len(d) else np.zeros(0, dtype=int)
+        return pd.DataFrame({"cell": c.astype("int32"), "d": d[np.arange(len(d)), c]})
+
+    return assign
+
+
+def _rank_of(centres: np.ndarray):
+    """Which place a cell has among the cells of a query, by the distance of the centres; the nearest is 1."""
+    @F.pandas_udf("int")
+    def rank_of(s: pd.Series, cell: pd.Series) -> pd.Series:
+        if not len(s):
+            return pd.Series([], dtype="int32")
+        order = np.argsort(_distances(_matrix(s), centres), axis=1, kind="stable")
+        return pd.Series((order == cell.to_numpy()[:, None]).argmax(1).astype("int32") + 1)
+
+    return rank_of
+
+
+def _sampled(df: DataFrame, key: str, rows: int, n: int, name: str) -> DataFrame:
+    """About ``rows`` rows by a seeded hash of the key, at most that many."""
+    h = hash32(F.col(ident(key)), name)
+    return df if n <= rows else df.filter(h < F.lit(int(1.1 * rows / n * HASH_RANGE))).orderBy(h).limit(rows)
+
+
+def fit_index(train: DataFrame, k: int, metric: str = "minkowski", recall: float = 0.95, key: str = "row_id",
+              x: str = "x", label: str = "label", cells: int | None = None, centre_rows: int = CENTRE_ROWS,
+              measured_rows: int = MEASURED_ROWS, seed: int = 42, block_rows: int = BLOCK_ROWS) -> CellIndex:
+    """Centres by k-means on at most ``centre_rows`` rows, and the cells to visit for the wanted recall.
+
+    The k nearest other rows of at most ``measured_rows`` training rows are found exactly; the index
+    visits the least number of cells that hold the share ``recall`` of them. Every training row is in a
+    cell when the index is used. Ids are unique.
+    """
+    coords = _coords(metric)
+    n = train.count()
+    if not n:
+        return CellIndex(np.zeros((0, 0)), 1, metric)
+    cells = min(n, cells or max(1, min(MAX_PIVOTS, round(math.sqrt(n)))))
+    point = coords(F.col(ident(x)).cast("array<double>"))
+    sample = _sampled(train, key, max(centre_rows, cells), n, f"centres{seed}").select(array_to_vector(point).alias("features"))
+    model = KMeans(k=cells, seed=seed, maxIter=20).fit(sample)
+    centres = np.array(model.clusterCenters(), dtype=float)
+
+    asked = _sampled(train, key, measured_rows, n, f"measured{seed}").persist()
+    true = nearest_neighbours(train, asked, k + 1, metric, key, x, label, seed, block_rows)
+    true = true.filter(F.col(ident(key)) != F.col("neighbour")).withColumn(
+        "place", F.row_number().over(Window.partitionBy(ident(key)).orderBy("rank"))).filter(F.col("place") <= k)
+    own = train.select(F.col(ident(key)).alias("neighbour"), _assign(centres)(point).alias("a")).select("neighbour", "a.cell")
+    pairs = true.select(F.col(ident(key)).alias("qid"), "neighbour").join(own, "neighbour").join(
+        asked.select(F.col(ident(key)).alias("qid"), point.alias("qx")), "qid")
+    found = pairs.groupBy(_rank_of(centres)("qx", "cell").alias("r")).count().collect()
+    asked.unpersist()
+    hits = np.zeros(len(centres) + 1)
+    for r in found:
+        hits[r["r"]] = r["count"]
+    reach = np.cumsum(hits)
+    return CellIndex(centres, max(1, int(np.searchsorted(reach, recall * reach[-1] - 1e-9))), metric)
+
+
+def index_report(train: DataFrame, query: DataFrame, k: int, index: CellIndex, key: str = "row_id", x: str = "x",
+                 label: str = "label", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row (queries, neighbours, found, recall, cells, probes, visited): the index against the exact search.
+
+    ``visited`` is the mean share of the training rows in the ``probes`` nearest cells of a query.
+    """
+    take = lambda i: nearest_neighbours(train, query, k, index.metric, key, x, label, block_rows=block_rows, index=i).select(
+        F.col(ident(key)).alias("qid"), "neighbour")
+    exact, mine = take(None), take(index).withColumn("hit", F.lit(1))
+    both = exact.join(mine, ["qid", "neighbour"], "left").agg(
+        F.count_distinct("qid").alias("queries"), F.count(F.lit(1)).alias("neighbours"), F.count("hit").alias("found"))
+    point = _coords(index.metric)(F.col(ident(x)).cast("array<double>"))
+    held = {r["cell"]: r["n"] for r in train.select(_assign(index.centres)(point).alias("a")).groupBy("a.cell").agg(
+        F.count(F.lit(1)).alias("n")).collect()} if len(index.centres) else {}
+    count = np.array([held.get(c, 0) for c in range(len(index.centres))], dtype=float)
+    probes, centres = index.probes, index.centres
+
+    @F.pandas_udf("double")
+    def share(s: pd.Series) -> pd.Series:
+        near = np.argsort(_distances(_matrix(s, centres.shape[1]), centres), axis=1, kind="stable")
+        out = []
+        for row in near:
+            row = row[count[row] > 0]
+            out.append(count[row[:probes]].sum() / max(count.sum(), 1.0))
+        return pd.Series(out, dtype="float64")
+
+    seen = query.agg(F.avg(share(point))).first()[0] if len(centres) and count.sum() else 0.0
+    return both.select("queries", "neighbours", "found", (F.col("found") / F.col("neighbours")).alias("recall"),
+                       F.lit(len(centres)).alias("cells"), F.lit(probes).alias("probes"), F.lit(seen).alias("visited"))
+
+
 def knn_classify(train: DataFrame, query: DataFrame, k: int = 5, weights: str = "uniform",
                  key: str = "row_id", **options) -> DataFrame:
     """Majority (or inverse-distance) vote; ties go to the smallest label."""

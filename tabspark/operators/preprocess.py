@@ -13,8 +13,10 @@ from tabspark.operators.profile import assert_no_missing, low_variance_columns
 from tabspark.operators.project import drop_columns, map_values
 from tabspark.operators.roles import infer_roles
 from tabspark.operators.select import skew_sets
+from tabspark.operators.sparse import SparseOneHot, correlated_places, sparse_moments
 from tabspark.operators.split import hash_split, stratified_split
 from tabspark.operators.transforms import Scaler
+from tabspark.sources.io import scratch_dir
 
 
 def _select(items: list[tuple[str, str]]) -> SQLTransformer:
@@ -84,17 +86,28 @@ def extend_pipeline(base: Pipeline, *stages) -> Pipeline:
 def prepare_train(df: DataFrame, target: str, key: str = "row_id", remove: list[str] = (),
                   threshold: float = 0.9, prune: bool = True, encode_first: bool = True,
                   target_mapping: dict | None = None, test_size: float = 0.2, seed: int = 42,
-                  stratify: bool = False, **role_flags):
+                  stratify: bool = False, sparse: bool = False, **role_flags):
     """Drop, check nulls, encode, find correlated columns, map the target, split.
 
     Returns (table with a split column, encoder, correlated columns).  The flagged
     columns stay in the table when encoding comes first; otherwise the un-encoded
-    table loses them before encoding.
+    table loses them before encoding.  With ``sparse`` the inputs become the one
+    vector column ``encoded`` at any number of categories, and the correlated
+    places are a table (place, name), of which only un-encoded columns can be lost.
     """
     df = drop_columns(df, [c for c in remove if c in df.columns])
     assert_no_missing(df)
     inputs = [c for c in df.columns if c not in (key, target)]
     roles = infer_roles(df.select(*map(ident, inputs)), **role_flags)
+    if sparse:
+        encoded, encoder, flagged = _sparse_inputs(df, list(roles.categorical), inputs, threshold, prune)
+        if not encode_first and prune:
+            plain = [c for c in inputs if c not in roles.categorical]
+            lost = {r["name"] for r in flagged.filter(F.col("name").isin(plain)).collect()}
+            if lost:
+                kept = [c for c in inputs if c not in lost]
+                encoded, encoder, _ = _sparse_inputs(df.drop(*lost), list(roles.categorical), kept, threshold, False)
+        return _mapped_split(encoded, target, key, target_mapping, test_size, seed, stratify), encoder, flagged
     encoder = OneHot(list(roles.categorical)).fit(df)
     encoded = encoder.transform(df)
     flagged: list[str] = []
@@ -105,8 +118,23 @@ def prepare_train(df: DataFrame, target: str, key: str = "row_id", remove: list[
         df = df.drop(*[c for c in flagged if c in df.columns])
         encoder = OneHot([c for c in roles.categorical if c in df.columns]).fit(df)
         encoded = encoder.transform(df)
+    return _mapped_split(encoded, target, key, target_mapping, test_size, seed, stratify), encoder, flagged
+
+
+def _mapped_split(encoded: DataFrame, target: str, key: str, target_mapping: dict | None, test_size: float, seed: int,
+                  stratify: bool) -> DataFrame:
     if target_mapping:
         encoded = map_values(encoded, target, target_mapping)
-    split = (stratified_split(encoded, target, key, test_size, seed) if stratify
-             else hash_split(encoded, key, test_size, seed))
-    return split, encoder, flagged
+    return stratified_split(encoded, target, key, test_size, seed) if stratify else hash_split(encoded, key, test_size, seed)
+
+
+def _sparse_inputs(df: DataFrame, categorical: list[str], inputs: list[str], threshold: float, prune: bool):
+    """The table with its inputs in one vector, the encoder and the (place, name) a greater place is correlated with."""
+    encoder = SparseOneHot(categorical, numerical=[c for c in inputs if c not in categorical]).fit(df)
+    encoded, names = encoder.transform(df), encoder.names(df.sparkSession)
+    if not prune:
+        return encoded, encoder, names.limit(0)
+    path = scratch_dir(df.sparkSession, "moments")
+    sparse_moments(encoded, "encoded").write.parquet(path)
+    pairs = correlated_places(df.sparkSession.read.parquet(path), threshold)
+    return encoded, encoder, pairs.select(F.col("j").cast("bigint").alias("place")).distinct().join(names, "place")

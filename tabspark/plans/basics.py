@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tabspark.functions.scalar import dbl, format_number
-from tabspark.operators import encode, fill, profile, project, roles, select
+from tabspark.operators import encode, fill, profile, project, roles, select, sparse
 from tabspark.operators.outliers import outlier_mask
 from tabspark.operators.small import small_table
 from tabspark.plans.registry import query, tidy
@@ -258,6 +260,57 @@ def onehot_unknown(spark, d):
     return tidy(model.transform(df))
 
 
+def _places_sql(table, column, first):
+    return (f"SELECT v, CASE WHEN p > 0 THEN p - 1 + {first} END::BIGINT AS place FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS p "
+            f"FROM (SELECT DISTINCT {column} AS v FROM {table}))")
+
+
+@query("one_hot_sparse", f"""SELECT c_custkey::BIGINT AS c_custkey, s.place AS segment_place, n.place AS name_place FROM customer
+       JOIN ({_places_sql('customer', 'c_mktsegment', 0)}) s ON s.v = c_mktsegment
+       JOIN ({_places_sql('customer', 'c_name', '(SELECT count(DISTINCT c_mktsegment) - 1 FROM customer)')}) n ON n.v = c_name""")
+def one_hot_sparse(spark, d):
+    df = io.read_table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    model = sparse.SparseOneHot(["c_mktsegment", "c_name"]).fit(df)
+    places = F.transform(sparse.entries("encoded"), lambda e: e["place"])
+    split = F.lit(model.state["first"]["c_name"])
+    return tidy(model.transform(df).withColumn("p", places).select(
+        "c_custkey", F.get(F.filter("p", lambda i: i < split), 0).alias("segment_place"),
+        F.get(F.filter("p", lambda i: i >= split), 0).alias("name_place")))
+
+
+@query("sparse_moments", f"""WITH pri AS ({_places_sql('orders', 'o_orderpriority', 0)}),
+       cust AS ({_places_sql('orders', 'o_custkey', '(SELECT count(DISTINCT o_orderpriority) - 1 FROM orders)')}),
+       cells AS (SELECT o_orderkey AS k, -2 AS place, 1::BIGINT AS x FROM orders
+         UNION ALL SELECT o_orderkey, -1, floor(o_totalprice)::BIGINT FROM orders
+         UNION ALL SELECT o_orderkey, place, 1 FROM orders JOIN pri ON v = o_orderpriority WHERE place IS NOT NULL
+         UNION ALL SELECT o_orderkey, place, 1 FROM orders JOIN cust ON v = o_custkey WHERE place IS NOT NULL)
+       SELECT a.place::BIGINT AS i, b.place::BIGINT AS j, count(*)::BIGINT AS n, sum(a.x * b.x)::BIGINT AS v
+       FROM cells a JOIN cells b ON a.k = b.k AND a.place <= b.place GROUP BY ALL""")
+def sparse_moments(spark, d):
+    df = io.read_table(spark, d, "orders").select("o_orderpriority", "o_custkey", F.floor("o_totalprice").alias("y"))
+    out = sparse.SparseOneHot(["o_orderpriority", "o_custkey"]).fit(df).transform(df)
+    return tidy(sparse.sparse_moments(out, "encoded", "y").withColumn("v", F.round("v").cast("bigint")))
+
+
+_FLAGS = ["l_linenumber", "l_returnflag", "l_linestatus"]
+_FLAG_VALUES = [("l_linenumber", n) for n in range(2, 8)] + [("l_returnflag", "N"), ("l_returnflag", "R"), ("l_linestatus", "O")]
+_FLAG_NAMES = ["l_quantity", "l_extendedprice"] + [f"{c}_{v}" for c, v in _FLAG_VALUES]
+
+
+@query("correlated_places", "WITH ind AS (SELECT l_quantity, l_extendedprice, " + ", ".join(
+    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS \"{c}_{v}\"" for c, v in _FLAG_VALUES) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(r, 6) AS r FROM (SELECT corr(\"{a}\", \"{b}\") AS r FROM ind) WHERE abs(r) >= 0.15"
+    for a, b in combinations(_FLAG_NAMES, 2)))
+def correlated_places(spark, d):
+    df = io.read_table(spark, d, "lineitem").select("l_quantity", "l_extendedprice", *_FLAGS)
+    model = sparse.SparseOneHot(_FLAGS, numerical=["l_quantity", "l_extendedprice"]).fit(df)
+    path = io.scratch_dir(spark, "moments")
+    sparse.sparse_moments(model.transform(df), "encoded").write.parquet(path)
+    pairs = sparse.correlated_places(spark.read.parquet(path), 0.15)
+    names = model.names(spark)
+    return tidy(pairs.join(names.toDF("i", "a"), "i").join(names.toDF("j", "b"), "j").select("a", "b", "r"))
+
+
 @query("label_encode", """SELECT l_returnflag, (dense_rank() OVER (ORDER BY l_returnflag) - 1)::BIGINT AS code,
        count(*)::BIGINT AS n FROM line_num GROUP BY l_returnflag""", using=("line_num",))
 def label_encode(spark, d):

@@ -130,6 +130,31 @@ def knn_classify(spark, d):
     return tidy(neighbours.knn_classify(df.filter("split = 'train'"), df, k=5))
 
 
+# --- neighbours of wide vectors: every hundredth row asks all rows --------------------------------
+
+@query("knn_wide", """SELECT q AS vec_id, t AS neighbour, round(d, 6) AS distance, rank FROM (
+       SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(d, 9), t)::BIGINT AS rank FROM (
+         SELECT a.vec_id AS q, b.vec_id AS t, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
+         FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 10""")
+def knn_wide(spark, d):
+    df = fx.embeddings(spark, d)
+    out = neighbours.nearest_neighbours(df, df.filter("row_id % 100 = 0"), 10)
+    return tidy(out.select(F.col("row_id").alias("vec_id"), "neighbour", "distance", "rank"))
+
+
+@query("knn_index_recall", """SELECT count(*) AS queries, 10 * count(*) AS neighbours, 1::BIGINT AS recall_reached,
+       count(*) AS own_found FROM embeddings WHERE vec_id % 100 = 0""")
+def knn_index_recall(spark, d):
+    df = fx.embeddings(spark, d).persist()
+    asked = df.filter("row_id % 100 = 0")
+    index = neighbours.fit_index(df, 10)
+    own = neighbours.nearest_neighbours(df, asked, 1, index=index).agg(
+        F.count_if(F.col("row_id") == F.col("neighbour")).alias("own_found"))
+    report = neighbours.index_report(df, asked, 10, index).select(
+        "queries", "neighbours", F.when(F.col("recall") >= 0.9, 1).otherwise(0).alias("recall_reached"), F.lit(1).alias("one"))
+    return tidy(report.join(own.withColumn("one", F.lit(1)), "one").drop("one"))
+
+
 # --- two-part -----------------------------------------------------------------------------------
 
 def _hurdle(expected):

@@ -110,6 +110,15 @@ def hist_by_class(spark, d):
     return tidy(dist.histogram_by_class(fx.cust_feat(spark, d), ["c_acctbal", "n_orders"], "c_mktsegment"))
 
 
+@query("hist_by_class_all_bins", f"""SELECT k.feature, k.class, b.bin, coalesce(h.n, 0)::BIGINT AS n FROM (
+       SELECT DISTINCT feature, c_mktsegment AS class FROM cust_feat, (VALUES ('c_acctbal'), ('n_orders')) f(feature)) k
+       CROSS JOIN (SELECT range::BIGINT AS bin FROM range(20)) b
+       LEFT JOIN ({_class_hist_sql(["c_acctbal", "n_orders"], "{}::DOUBLE")}) h
+       ON h.feature = k.feature AND h.class = k.class AND h.bin = b.bin""", using=("cust_feat",))
+def hist_by_class_all_bins(spark, d):
+    return tidy(dist.histogram_by_class(fx.cust_feat(spark, d), ["c_acctbal", "n_orders"], "c_mktsegment", empty=True))
+
+
 @query("hist_by_class_log", _class_hist_sql(["c_acctbal", "n_orders"], "CASE WHEN {0} > 0 THEN log10({0}::DOUBLE) END"),
        using=("cust_feat",))
 def hist_by_class_log(spark, d):
