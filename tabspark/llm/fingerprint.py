@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Coordinates of a fingerprint, hex digits of each, rows that one task handles in order.
 COORDINATES, DIGITS, ROWS_PER_RANGE = 64, 4, 8192
+#: Ranges at most, so that their bounds stay below 10 MB; beyond that a range has more rows, which are read in order.
+MAX_RANGES = 65_536
 
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
@@ -97,7 +99,7 @@ def against_next(df: DataFrame, key: str = "doc_id", text: str = "text", rows_pe
     rows = df.select(F.col(key).cast("bigint").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     rows = rows.withColumn("h", F.xxhash64("t"))
     ids = rows.select("k", "h")
-    n = max(1, -(-ids.count() // rows_per_range))
+    n = min(MAX_RANGES, max(1, -(-ids.count() // rows_per_range)))
     order = [F.desc_nulls_last("k"), F.asc("h")]
     # the first row of every range, one line a range
     heads = (ids.repartitionByRange(n, *order).withColumn("p", F.spark_partition_id())
@@ -119,7 +121,7 @@ def against_next(df: DataFrame, key: str = "doc_id", text: str = "text", rows_pe
     ranges.__annotations__ = {"keys": pa.Array, "hashes": pa.Array, "return": pa.Array}
     # a copy of a head for the range above says so; several rows equal to a head give equal copies
     dealt = rows.select("k", "h", "t", F.posexplode(F.arrow_udf(ranges, "array<int>")("k", "h")).alias("copy", "p"))
-    dealt = dealt.repartition(n, "p").sortWithinPartitions("p", "copy", *order)
+    dealt = dealt.repartitionById(n, "p").sortWithinPartitions("p", "copy", *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cells():
