@@ -98,7 +98,8 @@ def _verified(slack: int):
         out = pd.DataFrame(rows, columns=["grams", "first", "last", "decisive"])
         return out.astype({"grams": "int32", "first": "Int64", "last": "Int64", "decisive": "bool"})
 
-    return verify
+    # one evaluation, also where a filter and a column use the result
+    return verify.asNondeterministic()
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] | None = None,

@@ -67,6 +67,7 @@ def test_edited_shuffled_and_odd_texts(spark):
     found = licenses.find(spark.createDataFrame(rows, "doc_id bigint, text string"), notices=[("mit", mit)])
     got = licenses.by_document(found).collect()
     labels = {r["doc_id"]: r["labels"] for r in got}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert labels == {1: "mit", 2: "", 3: "", 4: "", 5: "mit", 6: ""} and len(got) == len(rows)
     assert all(r["spans"] == f"mit:0-{len(w) - 1}" and r["score"] == 1 for r in got if r["doc_id"] == 5)
 
