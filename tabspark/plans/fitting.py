@@ -148,11 +148,11 @@ def knn_index_recall(spark, d):
     df = fx.embeddings(spark, d).persist()
     asked = df.filter("row_id % 100 = 0")
     index = neighbours.fit_index(df, 10)
-    own = neighbours.nearest_neighbours(df, asked, 1, index=index).agg(
-        F.count_if(F.col("row_id") == F.col("neighbour")).alias("own_found"))
+    own = neighbours.nearest_neighbours(df, asked, 1, index=index).filter("row_id = neighbour")
     report = neighbours.index_report(df, asked, 10, index).select(
-        "queries", "neighbours", F.when(F.col("recall") >= 0.9, 1).otherwise(0).alias("recall_reached"), F.lit(1).alias("one"))
-    return tidy(report.join(own.withColumn("one", F.lit(1)), "one").drop("one"))
+        "queries", "neighbours", F.when(F.col("recall") >= 0.9, 1).otherwise(0).alias("recall_reached"), F.lit(0).alias("own_found"))
+    each = own.select(*[F.lit(0).alias(c) for c in report.columns[:3]], F.lit(1).alias("own_found"))
+    return tidy(report.unionByName(each).agg(*[F.sum(c).alias(c) for c in report.columns]))
 
 
 # --- two-part -----------------------------------------------------------------------------------
