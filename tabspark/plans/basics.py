@@ -281,13 +281,13 @@ def one_hot_sparse(spark, d):
 @query("sparse_moments", f"""WITH pri AS ({_places_sql('orders', 'o_orderpriority', 0)}),
        cust AS ({_places_sql('orders', 'o_custkey', '(SELECT count(DISTINCT o_orderpriority) - 1 FROM orders)')}),
        cells AS (SELECT o_orderkey AS k, -2 AS place, 1::BIGINT AS x FROM orders
-         UNION ALL SELECT o_orderkey, -1, floor(o_totalprice)::BIGINT FROM orders
+         UNION ALL SELECT o_orderkey, -1, floor(o_totalprice / 1000)::BIGINT FROM orders
          UNION ALL SELECT o_orderkey, place, 1 FROM orders JOIN pri ON v = o_orderpriority WHERE place IS NOT NULL
          UNION ALL SELECT o_orderkey, place, 1 FROM orders JOIN cust ON v = o_custkey WHERE place IS NOT NULL)
        SELECT a.place::BIGINT AS i, b.place::BIGINT AS j, count(*)::BIGINT AS n, sum(a.x * b.x)::BIGINT AS v
        FROM cells a JOIN cells b ON a.k = b.k AND a.place <= b.place GROUP BY ALL""")
 def sparse_moments(spark, d):
-    df = io.read_table(spark, d, "orders").select("o_orderpriority", "o_custkey", F.floor("o_totalprice").alias("y"))
+    df = io.read_table(spark, d, "orders").select("o_orderpriority", "o_custkey", F.floor(F.col("o_totalprice") / 1000).alias("y"))
     out = sparse.SparseOneHot(["o_orderpriority", "o_custkey"]).fit(df).transform(df)
     return tidy(sparse.sparse_moments(out, "encoded", "y").withColumn("v", F.round("v").cast("bigint")))
 

@@ -132,7 +132,7 @@ def knn_classify(spark, d):
 
 # --- neighbours of wide vectors: every hundredth row asks all rows --------------------------------
 
-@query("knn_wide", """SELECT q AS vec_id, t AS neighbour, round(d, 6) AS distance, rank FROM (
+@query("knn_wide", """SELECT q AS vec_id, t AS neighbour, round(round(d, 9), 6) AS distance, rank FROM (
        SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(d, 9), t)::BIGINT AS rank FROM (
          SELECT a.vec_id AS q, b.vec_id AS t, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
          FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 10""")
