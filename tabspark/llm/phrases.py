@@ -19,15 +19,15 @@ LONGEST, LEAST, RANKS, COVERED = 5, 100, 2000, 100
 SHARDS, SLOTS, WORDS_KNOWN = 3, 1 << 23, 300_000
 UNSET = 255
 #: Tokens that are counted together.
-TOKENS_AT_ONCE = 500_000
+TOKENS_AT_ONCE = 2_000_000
 #: Slots of one row when reached slots go to the driver.
 SLOT_ROW = 1 << 16
 
 #: A-Z lower-cased; every character that ends a piece becomes a line feed.
 FOLDED = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _P = np.uint64(0x9E3779B97F4A7C15)
-COUNTED = "lang string, words binary, start int, slot int, n bigint"
-COUNTED_COLUMNS = ("lang", "words", "start", "slot", "n")
+COUNTED = "lang string, words binary, start int, n bigint"
+COUNTED_COLUMNS = ("lang", "words", "start", "n")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -37,6 +37,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
+def _first(words: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """Keys of single words of languages with these salts; a slot is the low bits of a key."""
+    return _mix(_mix(words) ^ salts)
+
+
+def _longer(key: np.ndarray, word: np.ndarray, k: int) -> np.ndarray:
+    """Keys of phrases of ``k`` words with one more word."""
+    with np.errstate(over="ignore"):
+        return _mix(key * _P + word + np.uint64(k))
+
+
+def _salts(langs) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x) for x in langs], np.uint64)
+
+
 class _Words(dict):
     """Word to a hash other than 0; new words are noted."""
 
@@ -83,13 +98,13 @@ def encode(docs: DataFrame, seed: int, shards: int = SHARDS) -> DataFrame:
 
 
 def count_batch(tokens: np.ndarray, salts: np.ndarray, steps: np.ndarray, step: int, shards: int, longest: int):
-    """(length, first place of a phrase, start, slot, count) of the active phrases of a stretch of tokens.
+    """(length, first place of a phrase, start, count) of the active phrases of a stretch of tokens.
 
     ``steps`` has, by slot of a phrase's hash, the step from which the phrase counts
     as frequent. A word is active from step 0, a longer phrase from the later of the steps
     of its two parts without the last and the first word, and each for ``shards`` steps.
     """
-    key = _mix(_mix(tokens) ^ salts)
+    key = _first(tokens, salts)
     at = np.flatnonzero(tokens)
     start = np.zeros(len(at), np.int64)
     for k in range(1, longest + 1):
@@ -101,15 +116,15 @@ def count_batch(tokens: np.ndarray, salts: np.ndarray, steps: np.ndarray, step:
             alike = places[first][inverse]  # equal hashes must be equal words of one language
             if (salts[places] != salts[alike]).any() or any((tokens[places + w] != tokens[alike + w]).any() for w in range(k)):
                 raise ValueError("two phrases of a batch share a hash")
-            yield k, places[first], start[active][first], slot[active][first], n
+            yield k, places[first], start[active][first], n
         reached = np.full(len(tokens) + 1, UNSET, np.uint8)
-        reached[at] = steps[slot]
+        # a phrase in the slot of an earlier one is reached when its parts are, not before
+        reached[at] = np.maximum(steps[slot], start)
         if k == longest:
             break
         # both parts frequent: the next word belongs to the same piece, or it would not be in the list
         both = at[(reached[at] != UNSET) & (reached[at + 1] != UNSET)]
-        with np.errstate(over="ignore"):
-            longer = _mix(key[both] * _P + tokens[both + k] + np.uint64(k))
+        longer = _longer(key[both], tokens[both + k], k)
         start = np.maximum(reached[both], reached[both + 1]).astype(np.int64)
         key[both] = longer
         at = both
@@ -117,7 +132,7 @@ def count_batch(tokens: np.ndarray, salts: np.ndarray, steps: np.ndarray, step:
 
 def count_step(shard: DataFrame, table, step: int, shards: int, longest: int) -> DataFrame:
     """Counts of the active phrases in one shard; a phrase is the bytes of its word hashes."""
-    schema = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("start", pa.int32()), ("slot", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("start", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps = np.frombuffer(table.value, np.uint8)
@@ -125,13 +140,13 @@ def count_step(shard: DataFrame, table, step: int, shards: int, longest: int) ->
         def counted(langs: list[str], parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             number = {x: i for i, x in enumerate(dict.fromkeys(langs))}
             lang = np.repeat(np.array([number[x] for x in langs], np.int32), [len(p) for p in parts])
-            salts = np.array([xxhash.xxh3_64_intdigest(x) for x in number], np.uint64)
+            salts = _salts(number)
             names, tokens = pa.array(list(number), pa.string()), np.concatenate(parts)
-            for k, place, start, slot, n in count_batch(tokens, salts[lang], steps, step, shards, longest):
+            for k, place, start, n in count_batch(tokens, salts[lang], steps, step, shards, longest):
                 words = np.stack([tokens[place + i] for i in range(k)], axis=1).tobytes()
                 yield pa.RecordBatch.from_arrays([
                     names.take(pa.array(lang[place])), pa.array([words[i:i + 8 * k] for i in range(0, len(words), 8 * k)], pa.binary()),
-                    pa.array(start.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
+                    pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
 
         for batch in batches:
             langs, parts, held = [], [], 0
@@ -152,6 +167,22 @@ def reached_slots(phrases: DataFrame, slots: int) -> np.ndarray:
     """Slots of ``phrases``, gathered as bitmaps of at most ``slots`` bits in all."""
     row = min(SLOT_ROW, slots)
 
+    def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            salts = _salts(names.dictionary.to_pylist())[names.indices.to_numpy()]
+            words = batch.column(1).to_pylist()
+            size = np.array([len(w) // 8 for w in words])
+            out = np.zeros(len(words), np.uint64)
+            for k in np.unique(size).tolist():
+                own = np.flatnonzero(size == k)
+                tokens = np.frombuffer(b"".join(words[i] for i in own), np.uint64).reshape(-1, k)
+                key = _first(tokens[:, 0], salts[own])
+                for i in range(1, k):
+                    key = _longer(key, tokens[:, i], i)
+                out[own] = key
+            yield pa.RecordBatch.from_arrays([pa.array((out & np.uint64(slots - 1)).astype(np.int32))], names=["slot"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -161,7 +192,7 @@ def reached_slots(phrases: DataFrame, slots: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())],
                                          names=["part", "bits"])
 
-    dealt = phrases.select("slot").repartition(F.floor(F.col("slot") / row))
+    dealt = phrases.select("lang", "words").mapInArrow(slot, "slot int").repartition(F.floor(F.col("slot") / row))
     out = [p["part"] * row + np.flatnonzero(np.unpackbits(np.frombuffer(p["bits"], np.uint8)))
            for p in dealt.mapInArrow(run, "part int, bits binary").collect()]
     return np.concatenate(out) if out else np.zeros(0, np.int64)
@@ -173,32 +204,36 @@ def count_phrases(encoded: DataFrame, least: int, longest: int, shards: int, slo
     Step after step reads the next shard, in a cycle. What has ``least`` places so far is
     entered in the table of steps, and longer phrases of two entered parts are counted from the
     next step on, beside those already counted, each until it has met every shard once.
-    Two phrases in one slot only start a count too early; it is a whole cycle all the same.
+    Two phrases in one slot only start a count too early, but never before the parts of its phrase
+    are reached; it is a whole cycle all the same.
     """
     spark = encoded.sparkSession
     steps = np.full(slots, UNSET, np.uint8)
-    tables: list[DataFrame] = []
+    live, out = None, []
     step = 0
     while True:
         state = spark.sparkContext.broadcast(steps.tobytes())
         seen = count_step(encoded.filter(F.col("shard") == step % shards), state, step, shards, longest)
-        if tables:
-            seen = seen.unionByName(tables[-1].filter("not whole").drop("whole"))
+        if live is not None:
+            seen = seen.unionByName(live.filter("not whole").drop("whole"))
         step += 1
         if step >= UNSET:
             raise ValueError(f"more than {UNSET} steps")
-        total = seen.groupBy("lang", "words").agg(F.sum("n").alias("n"), F.first("start").alias("start"), F.first("slot").alias("slot"))
+        total = seen.groupBy("lang", "words").agg(F.sum("n").alias("n"), F.min("start").alias("start"))
         total = total.withColumn("whole", F.col("start") + shards <= step).filter(~F.col("whole") | (F.col("n") >= least))
-        tables.append(cut(total.select(*COUNTED_COLUMNS, "whole"), "phrases"))
+        table = cut(total.select(*COUNTED_COLUMNS, "whole"), "phrases")
         state.unpersist()
-        new = reached_slots(tables[-1].filter((F.col("n") >= least) & (F.length("words") < 8 * longest)), slots)
+        drop(spark, *([live] if live is not None else []))
+        live = table
+        if step >= shards:  # no phrase has met every shard before
+            out.append(cut(live.filter("whole").select("lang", "words", "n"), "whole"))
+        new = reached_slots(live.filter((F.col("n") >= least) & (F.length("words") < 8 * longest)), slots)
         new = new[steps[new] == UNSET]
         steps[new] = step
         if step >= int(steps[steps != UNSET].max(initial=0)) + shards:  # every phrase that could start has had its cycle
             break
-    out = [t.filter("whole").select("lang", "words", "n") for t in tables]
     found = cut(reduce(DataFrame.unionByName, out), "frequent")
-    drop(spark, *tables)
+    drop(spark, live, *out)
     return found
 
 

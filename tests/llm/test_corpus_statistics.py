@@ -122,6 +122,24 @@ def test_phrases(odd, shards, slots, covered, ranks):
     assert got == plain_phrases(odd.collect(), 4, 5, ranks, covered)
 
 
+def test_a_phrase_in_a_reached_slot_is_counted_for_a_whole_cycle(spark):
+    import numpy as np
+
+    least, longest, shards = 6, 5, 3
+    for seed in (1, 2):
+        rng = np.random.default_rng(seed)
+        ids, texts, want = rng.integers(1, 2**63, 30, dtype=np.uint64), [], Counter()
+        for shard in range(shards):
+            tokens = ids[rng.choice(30, 600, p=rng.dirichlet(np.full(30, 0.3)))].copy()
+            tokens[rng.random(600) < 0.1] = 0
+            tokens[-1] = 0
+            texts.append((shard, "en", bytearray(tokens.tobytes())))
+            windows = [tokens[i:i + k] for k in range(1, longest + 1) for i in range(600 - k + 1)]
+            want.update(w.tobytes() for w in windows if w.all())
+        found = phrases.count_phrases(spark.createDataFrame(texts, "shard int, lang string, tokens binary"), least, longest, shards, 64)
+        assert {bytes(r["words"]): r["n"] for r in found.collect()} == {w: n for w, n in want.items() if n >= least}
+
+
 def test_phrases_of_nothing(spark, odd):
     assert phrases.collocations(odd.filter("doc_id < -1")).count() == 0
     assert phrases.collocations(table(spark, [(1, None, None, None), (2, "en", "a", " . ,")]), 1).count() == 0
