@@ -73,7 +73,9 @@ def yeo_johnson_inverse_sql(x: str, lam: float) -> str:
 
 
 def box_cox_sql(x: str, lam: float) -> str:
-    return f"ln({x})" if lam == 0 else f"(pow({x}, {num(lam)}) - 1D) / {num(lam)}"
+    # ln of 0 is null in Spark; the limit is minus infinity
+    return (f"CASE WHEN {x} = 0D THEN {num(float('-inf'))} ELSE ln({x}) END" if lam == 0
+            else f"(pow({x}, {num(lam)}) - 1D) / {num(lam)}")
 
 
 def box_cox_inverse_sql(x: str, lam: float) -> str:

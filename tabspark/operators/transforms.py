@@ -76,8 +76,9 @@ def _forms(df: DataFrame, method: str | tuple[str, str], columns: list[str], lam
     if method in POWER:
         if method == "box-cox":
             low = df.agg(*[F.min(dbl(c)) for c in columns]).first()
-            if any(v is not None and v <= 0 for v in low):
-                raise ValueError("box-cox needs strictly positive values")
+            # a given lambda has a value or a limit at 0; only the likelihood of a fitted one has none
+            if any(v is not None and (v < 0 or v == 0 and not lambdas) for v in low):
+                raise ValueError("box-cox needs values of 0 and more" if lambdas else "box-cox needs strictly positive values")
         lams = lambdas or {r["column"]: r["lambda"] for r in power_lambdas(df, columns, method)}
         return {c: ("power", method, float(lams[c])) for c in columns}
     raise ValueError(f"unknown transform {method!r}")

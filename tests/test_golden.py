@@ -204,3 +204,14 @@ def test_io_store(spark, tmp_path):
     io.write_csv(df, inferred)
     assert io.read_csv(spark, inferred).dtypes == [("id", "int")]
     assert io.prediction_path("/x/", "team", "test", "regression") == "/x/team__test__reg_pred"
+
+
+def test_box_cox_of_zero_at_a_given_lambda(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, 1.0), (2, 4.0), (3, None)], "row_id long, v double")
+    models = [Scaler("box-cox", ["v"], lambdas={"v": lam}).fit(df) for lam in (0.0, 0.5, 2.0, -1.0)]
+    got = {r[0]: tuple(r)[1:] for r in df.select("row_id", *[F.expr(m.forward_sql("v")) for m in models]).collect()}
+    assert got == {0: (-math.inf, -2.0, -0.5, -math.inf), 1: (0.0, 0.0, 0.0, 0.0), 2: (math.log(4.0), 2.0, 7.5, 0.75), 3: (None,) * 4}
+    with pytest.raises(ValueError):
+        Scaler("box-cox", ["v"]).fit(df)
+    with pytest.raises(ValueError):
+        Scaler("box-cox", ["v"], lambdas={"v": 0.5}).fit(df.withColumn("v", F.col("v") - 1))
