@@ -13,7 +13,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabspark.llm.sampling import labelled
+from tabspark.functions.scalar import bound_index
+from tabspark.llm.scratch import cut, drop
+from tabspark.operators.quantiles import exact_quantiles
 
 #: Bytes of a chunk, compression level.
 CHUNK, LEVEL = 4096, 3
@@ -26,8 +28,8 @@ BANDS = ((256, 0.10), (1024, 0.08), (4096, 0.06), (65536, 0.05))
 #: German messages in a row pass the first (0.58 at 4,096 bytes). Base64 has 0.92, 0.84, 0.79, 0.77, 0.76, 0.75, 0.75 at least.
 MOST = ((256, 0.85, 1.00), (512, 0.75, 0.88), (1024, 0.665, 0.765), (2048, 0.60, 0.68), (4096, 0.56, 0.60),
         (16384, 0.52, 0.52), (65536, 0.46, 0.46))
-#: Bounds of the fitted limits: clean texts learned from, lengths (steps of half a power of two), texts a length needs.
-TEXTS, STEP, NEAR = 8_000, 0.5, 40
+#: Lengths of the fitted limits (steps of half a power of two), texts a length needs, values of a length that one task may hold.
+STEP, NEAR, HELD = 0.5, 40, 50_000
 #: Shares of the clean texts that the fitted lower and upper limits may lose, and how much wider they are set.
 LOSS, SLACK = (0.002, 0.001), (1.0, 1.25)
 #: A chunk is odd below this ratio or above the most of its length; a text with more than this share of odd chunks is rejected.
@@ -127,14 +129,56 @@ def learn(figures: list[tuple[int, float, float]]) -> Limits:
     return Limits(points)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", texts: int = TEXTS) -> Limits:
-    """Limits learned from at most ``texts`` documents that ``labels`` calls good (1) and the base rules pass.
+def _line(at: Column, x: list[float], y: list[float]) -> Column:
+    """The line through the points, at a place between the first and the last."""
+    k = F.greatest(F.lit(0), F.least(bound_index(at, x) - 1, F.lit(len(x) - 2)))
+    points = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in zip(x, y)])
+    low, high = F.get(points, k), F.get(points, k + 1)
+    return low["y"] + (high["y"] - low["y"]) * (at - low["x"]) / (high["x"] - low["x"])
+
+
+def learn_all(figures: DataFrame) -> Limits:
+    """:func:`learn` of a table (script, size, ratio); medians and losses are exact and computed by Spark."""
+    at, ratio = F.col("size"), F.col("ratio")
+    ends = {r["script"]: r for r in figures.groupBy("script").agg(F.min("size").alias("a"), F.max("size").alias("b")).collect()}
+    near = {(w, float(x)): (F.col("script") == w) & (F.abs(at - F.lit(float(x))) <= STEP)
+            for w, r in ends.items() for x in np.arange(np.floor(r["a"]), np.ceil(r["b"]) + STEP, STEP)}
+    if not near:
+        return Limits({})
+    n = dict(zip(near, figures.agg(*[F.count_if(c) for c in near.values()]).first()))
+    near = {p: c for p, c in near.items() if n[p] >= NEAR}
+    middle = exact_quantiles(figures, {p: F.when(c, ratio) for p, c in near.items()}, [0.5], HELD, counts=n) if near else {}
+    spread = exact_quantiles(figures, {p: F.when(c, F.abs(ratio - F.lit(middle[p][0]))) for p, c in near.items()}, [0.5], HELD, counts=n) if near else {}
+    grid = {w: [(x, middle[v, x][0], 1.4826 * spread[v, x][0]) for v, x in sorted(near) if v == w] for w in ends}
+    grid = {w: g for w, g in grid.items() if len(g) >= 2}
+    off = {}
+    for w, g in grid.items():
+        x, centre, wide = map(list, zip(*g))
+        inside = (F.col("script") == w) & at.between(x[0], x[-1])
+        off[w] = F.when(inside, (ratio - _line(at, x, centre)) / F.greatest(_line(at, x, wide), F.lit(1e-9)))
+    lost = exact_quantiles(figures, off, [LOSS[0], 1 - LOSS[1]], HELD) if off else {}
+    points = {}
+    for w, g in grid.items():
+        down, up = SLACK[0] * max(0.0, -lost[w][0]), SLACK[1] * max(0.0, lost[w][1])
+        points[w] = [(x, m - down * s, m + up * s) for x, m, s in g]
+    return Limits(points)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id") -> Limits:
+    """Limits learned from every distinct text that ``labels`` calls good (1) and the base rules pass.
 
-    Only three numbers of each of them reach the driver.
+    No text moves: the figures of the documents meet the labels. Null ids and texts teach nothing.
     """
-    good = labelled(docs, labels.filter(F.col(label) == 1), label, texts)
-    seen = good.select(rules(F.col("text"), NO_LIMITS, figures=True).alias("q")).filter("q.ratio is not null and not q.base_failed")
-    return learn([(r["script"], r["size"], r["ratio"]) for r in seen.select("q.script", "q.size", "q.ratio").collect()])
+    good = labels.filter(F.col(label) == 1).select(F.col(key).alias("key")).distinct()
+    seen = docs.filter(F.col("text").isNotNull()).select(
+        F.col(key).alias("key"), F.xxhash64("text").alias("h"), rules(F.col("text"), NO_LIMITS, figures=True).alias("q"))
+    seen = seen.select("key", "h", "q.script", "q.size", "q.ratio", "q.base_failed").join(good, "key", "left_semi").drop("key")
+    # filtered behind the write, or every text is judged once more for the filter
+    figures = cut(seen.distinct(), "figures")
+    figures = figures.filter("ratio is not null and not base_failed")
+    limits = learn_all(figures)
+    drop(docs.sparkSession, figures)
+    return limits
 
 
 NO_LIMITS = Limits({})

@@ -54,6 +54,19 @@ def test_limits_are_medians_and_spreads():
     assert quality.learn(own[:30]).points == {}  # too few to tell
 
 
+def test_limits_are_learned_from_every_good_text(spark):
+    # 9,000 good texts of 280 to 840 bytes; the last 700 compress unlike the rest
+    word = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), (20 + F.col("doc_id") % 40).cast("int")), lambda i: F.concat(
+        F.hex(F.xxhash64("doc_id", i) % F.when(F.col("doc_id") < 8300, 1 << 24).otherwise(1 << 40)), F.lit("an"), (i % 10).cast("string"))))
+    docs = spark.range(9000, numPartitions=8).select(F.col("id").alias("doc_id")).withColumn("text", word)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    q = docs.select(quality.rules(F.col("text"), figures=True).alias("q")).filter("q.ratio is not null and not q.base_failed")
+    figures = [(r["script"], r["size"], r["ratio"]) for r in q.select("q.script", "q.size", "q.ratio").collect()]
+    want, got = quality.learn(figures).points, quality.fit(docs, labels.unionByName(labels)).points
+    assert len(figures) > 8000 and set(got) == set(want) and len(want[0]) >= 3
+    assert [x for p in got[0] for x in p] == pytest.approx([x for p in want[0] for x in p], rel=1e-9)
+
+
 def test_limits_decide_and_keep_clean_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
