@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.scalar import dbl, ident
-from tabspark.operators.quantiles import exact_quantiles
+from tabspark.operators.quantiles import LIMIT, medians_by
 from tabspark.operators.small import small_table
 
 REGRESSION = ("RMSE", "MAE", "RMedSE", "MedAE", "R2")
@@ -33,8 +33,8 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def regression_by(df: DataFrame, y: str, yhat: str, by: str | None, max_groups: int = 100) -> DataFrame:
     """The five metrics overall, or per value of a small grouping column.
 
-    The medians come from the exact distributed quantile, so no group is held by
-    one task; sqrt is monotone, so the root median squared error at an odd count
+    The medians of large groups come from the exact distributed quantile of each row's own
+    group, so no such group is held by one task; sqrt is monotone, so the root median squared error at an odd count
     equals the median absolute error and at an even count averages two squares.
     """
     e, t = _error(y, yhat), dbl(y)
@@ -46,15 +46,17 @@ def regression_by(df: DataFrame, y: str, yhat: str, by: str | None, max_groups:
             raise ValueError(f"{by} has over {max_groups} groups")
     else:
         rows = df.agg(F.lit(None).cast("string").alias("g"), *sums).collect()
-    cols, counts = {}, {}
-    for i, r in enumerate(rows):
-        inside = lambda c, g=r["g"]: F.when(F.col(ident(by)).eqNullSafe(F.lit(g)), c) if by else c
-        cols[f"a{i}"], cols[f"s{i}"] = inside(F.abs(e)), inside(e * e)
-        counts[f"a{i}"] = counts[f"s{i}"] = r["n"]
-    med = exact_quantiles(df, cols, [0.5], counts=counts)
+    group = F.col(ident(by)) if by else F.lit(None).cast("string")
+    if max((r["n"] for r in rows), default=0) <= LIMIT:
+        half = df.groupBy(group.alias("g")).agg(F.percentile(e * e, 0.5).alias("s"), F.percentile(F.abs(e), 0.5).alias("a"))
+        med = {r["g"]: (r["s"], r["a"]) for r in half.collect()}
+    else:
+        # squares keep the order, so the middle squares are the squares of the middle errors
+        pairs = medians_by(df, group, F.abs(e), {r["g"]: r["n"] for r in rows})
+        med = {g: (a * a + (b * b - a * a) * 0.5, a + (b - a) * 0.5) for g, (a, b) in pairs.items()}
     out = [((r["g"],) if by else ()) + (
-        r["mse"] ** 0.5, r["mae"], med[f"s{i}"][0] ** 0.5, med[f"a{i}"][0],
-        1.0 - r["mse"] / r["var"] if r["var"] else None) for i, r in enumerate(rows)]
+        r["mse"] ** 0.5, r["mae"], med[r["g"]][0] ** 0.5, med[r["g"]][1],
+        1.0 - r["mse"] / r["var"] if r["var"] else None) for r in rows]
     group = f"{ident(by)} {dict(df.dtypes)[by]}, " if by else ""
     return small_table(df.sparkSession, 
         out, group + ", ".join(f"{m} double" for m in REGRESSION))

@@ -100,6 +100,49 @@ def _order_statistics(wide, spans, ranks, rows_per_block) -> dict[tuple[int, int
     return {(r["k"], rank): r["v"] for r in found for rank in ranks[r["k"]] if r["hi"] - r["m"] <= rank < r["hi"]}
 
 
+def medians_by(df: DataFrame, group: Column, value: Column, counts: dict, limit: int | None = None,
+               rows_per_block: int | None = None) -> dict[object, tuple[float, float]]:
+    """{group: the two middle values}, equal at an odd count; ``counts`` has the non-null values of every group.
+
+    A row meets the bracket of its own group only, so the work does not grow with the number of groups.
+    """
+    names = list(counts)
+    number = {g: i for i, g in enumerate(names)}
+    known = [x for g, i in number.items() if g is not None for x in (F.lit(g), F.lit(i))]
+    k = F.coalesce(F.element_at(F.create_map(*known), group) if known else F.lit(None), F.lit(number.get(None)).cast("int"))
+    rows = df.select(k.cast("int").alias("k"), value.cast("double").alias("v")).filter("v IS NOT NULL")
+    ranks = {i: sorted(set(_pair(0.5, counts[g]))) for g, i in number.items() if counts[g]}
+    if not ranks:
+        return {}
+    spans = {i: WHOLE[0] for i in ranks}
+    if max(counts.values()) > (LIMIT if limit is None else limit):
+        eps = 3.0 / ACCURACY
+        spans = {r["k"]: tuple(r["q"]) for r in rows.groupBy("k").agg(
+            F.percentile_approx("v", [0.5 - eps, 0.5 + eps], ACCURACY).alias("q")).collect()}
+    found = _middle(rows, spans, ranks, rows_per_block)
+    # a sketch that missed a rank is rare; such groups are read without brackets
+    missed = [i for i in ranks if any((i, r) not in found for r in ranks[i])]
+    if missed:
+        found.update(_middle(rows.filter(F.col("k").isin(missed)), {i: WHOLE[0] for i in missed}, ranks, rows_per_block))
+    return {names[i]: (found[i, r[0]], found[i, r[-1]]) for i, r in ranks.items()}
+
+
+def _middle(rows: DataFrame, spans: dict, ranks: dict, rows_per_block: int | None) -> dict[tuple[int, int], float]:
+    """{(group, rank): value} for the ranks inside the span of their group; what lies outside is one row a side."""
+    ends = F.create_map(*[x for i, (a, b) in spans.items() for x in (F.lit(i), F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")))])
+    v, own = F.col("v"), rows.withColumn("s", F.element_at(ends, F.col("k")))
+    a, b = F.col("s.a"), F.col("s.b")
+    counts = own.select("k", F.when(v < a, 0).when(v <= b, 1).otherwise(2).alias("r"),
+                        F.when(v < a, F.lit(-math.inf)).when(v <= b, v).otherwise(b).alias("v")).groupBy("k", "r", "v").agg(
+        F.count(F.lit(1)).alias("m")).persist()
+    cum = running_sum(counts, {"hi": F.col("m")}, "v", ["k"], rows_per_block=rows_per_block, tie_break=["r"])
+    lists = F.create_map(*[x for i in spans for x in (F.lit(i), F.array(*[F.lit(int(r)) for r in ranks[i]]))])
+    wanted = F.exists(F.element_at(lists, F.col("k")), lambda r: (r >= F.col("hi") - F.col("m")) & (r < F.col("hi")))
+    found = cum.filter((F.col("r") == 1) & wanted).collect()
+    counts.unpersist()
+    return {(r["k"], rank): r["v"] for r in found for rank in ranks[r["k"]] if r["hi"] - r["m"] <= rank < r["hi"]}
+
+
 def _pair(p: float, n: int) -> tuple[int, int]:
     pos = p * (n - 1)
     return math.floor(pos), math.ceil(pos)

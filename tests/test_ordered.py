@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tabspark.operators import curves, dist, encode, split
+from tabspark.operators import curves, dist, encode, quantiles, split
 from tabspark.operators.ordered import block_bounds, block_column, blocks_of, filled, ranked, running_sum
 from tabspark.operators.quantiles import exact_quantiles
 
@@ -145,3 +145,30 @@ def test_missing_keys_survive_the_block_join(spark):
     df = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "a").alias("k"), (F.col("id") * 1.0).alias("v"))
     got = running_sum(df, {"s": F.lit(1)}, "id", ["k"], rows_per_block=50)
     assert got.count() == 400 and got.agg(F.max("s")).first()[0] == 200
+
+
+@pytest.mark.parametrize("limit,rows_per_block", [(None, None), (5, 40)])
+def test_medians_by_group(spark, limit, rows_per_block):
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 301), ("b", 400), (None, 7), ("c", 1)) for v in rng.integers(0, 50, n)]
+    df = spark.createDataFrame([*rows, ("a", None), ("d", None)], "g string, v double")
+    counts = {"a": 301, "b": 400, None: 7, "c": 1, "d": 0}
+    got = quantiles.medians_by(df, F.col("g"), F.col("v"), counts, limit, rows_per_block)
+    want = {}
+    for g, n in counts.items():
+        own = sorted(v for h, v in rows if h == g)
+        if own:
+            want[g] = (own[(n - 1) // 2], own[n // 2])
+    assert got == want
+
+
+def test_error_medians_read_a_row_once_at_any_number_of_groups(spark, monkeypatch):
+    """The plan of the medians has no cell per row and group."""
+    from tabspark.operators import metrics
+
+    df = spark.range(600).select((F.col("id") % 20).alias("g"), F.col("id").cast("double").alias("y"), F.lit(3.5).alias("p"))
+    want = {tuple(r) for r in metrics.regression_by(df, "y", "p", "g").collect()}
+    monkeypatch.setattr(metrics, "LIMIT", 10)
+    monkeypatch.setattr(quantiles, "LIMIT", 10)
+    monkeypatch.setattr(F, "explode", lambda *a: pytest.fail("a row is repeated"))
+    assert {tuple(r) for r in metrics.regression_by(df, "y", "p", "g").collect()} == want
