@@ -21,7 +21,8 @@ def cumulative_counts(df: DataFrame, y: str, score: str, rows_per_block: int | N
     p, n = df.agg(F.count_if(pos), F.count_if(~pos)).first()
     cum = running_sum(per, {"tp": F.col("dp"), "fp": F.col("dn")}, "threshold", descending=True,
                       rows_per_block=rows_per_block)
-    return cum.select("threshold", "tp", "fp", "dp", "dn", F.lit(p).alias("p"), F.lit(n).alias("n"))
+    # literals as long: products of two counts pass 32 bits
+    return cum.select("threshold", "tp", "fp", "dp", "dn", *[F.lit(v).cast("bigint").alias(c) for c, v in (("p", p), ("n", n))])
 
 
 def roc_points(df: DataFrame, y: str, score: str, rows_per_block: int | None = None) -> DataFrame:
@@ -40,12 +41,12 @@ def auc_roc(df: DataFrame, y: str, score: str, rows_per_block: int | None = None
     """Trapezoid area; each score adds its negatives times the mean height before and after."""
     c = cumulative_counts(df, y, score, rows_per_block)
     return c.agg((F.sum(F.col("dn") * (F.col("tp") - F.col("dp") / 2.0))
-                  / (F.first("p") * F.first("n"))).alias("value"))
+                  / (F.first("p").cast("double") * F.first("n"))).alias("value"))
 
 
 def average_precision(df: DataFrame, y: str, score: str, rows_per_block: int | None = None) -> DataFrame:
     c = cumulative_counts(df, y, score, rows_per_block)
-    return c.agg((F.sum(F.col("dp") * F.col("tp") / (F.col("tp") + F.col("fp"))) / F.first("p")).alias("value"))
+    return c.agg((F.sum(F.col("dp").cast("double") * F.col("tp") / (F.col("tp") + F.col("fp"))) / F.first("p")).alias("value"))
 
 
 def chance_level(df: DataFrame, y: str) -> DataFrame:

@@ -172,3 +172,11 @@ def test_error_medians_read_a_row_once_at_any_number_of_groups(spark, monkeypatc
     monkeypatch.setattr(quantiles, "LIMIT", 10)
     monkeypatch.setattr(F, "explode", lambda *a: pytest.fail("a row is repeated"))
     assert {tuple(r) for r in metrics.regression_by(df, "y", "p", "g").collect()} == want
+
+
+def test_area_with_counts_whose_product_passes_32_bits(spark):
+    """100,000 positive and 50,000 negative rows: the product of the counts is 5e9."""
+    df = spark.range(150_000).select((F.col("id") % 3 > 0).cast("int").alias("y"), (F.col("id") % 3 / 2.0).alias("score"))
+    # the scores 0.5 and 1.0 are positive, 0.0 is negative
+    assert curves.auc_roc(df, "y", "score").first()[0] == 1.0
+    assert curves.average_precision(df, "y", "score").first()[0] == 1.0
