@@ -4,7 +4,10 @@ Training rows are cut into cells around sampled pivots.  Cell radii bound every
 distance, so a query row visits only the cells that can hold one of its k
 neighbours.  A crowded cell is split into blocks of bounded size and the queries
 of a block into chunks, so one task never holds a whole cell; each task keeps its
-k best per query and the merge sees k rows per visited block.
+k best per query and the merge sees k rows per visited block.  Where radii rule out
+little, blocks are joined into units, so a query row is sent and merged once per
+unit.  A task works in tiles: a matrix product leaves the few pairs that can be among
+the k best, and these get their distance from the differences.
 
 Wide vectors are about equally far from each other, so radii rule out little. For
 them ``CellIndex`` puts every row into the cell of its nearest fitted centre, and a
@@ -28,6 +31,10 @@ from tabspark.operators.small import small_table
 
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 1_024
+#: Blocks in a unit, numbers in its vectors, and units at least, where a query visits more than DENSE of all blocks.
+UNIT_BLOCKS, UNIT_CELLS, UNITS, DENSE = 16, 1 << 22, 5, 0.5
+#: Rows of a tile by queries and by training rows, and pairs whose differences are held at once.
+TILE, TILE_ROWS, TILE_PAIRS = 1_024, 4_096, 1 << 15
 #: Rows that the centres of an index are fitted on, and rows whose neighbours set the cells a query visits.
 CENTRE_ROWS = 65_536
 MEASURED_ROWS = 1_000
@@ -70,6 +77,50 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(d, 0, None))
 
 
+def _sliced(f, s: pd.Series, width: int, *more):
+    """Parts of ``f`` over slices of a batch: a batch against all centres at once is ten times a tile."""
+    a = _matrix(s, width)
+    return [f(a[i:i + TILE], *[m[i:i + TILE] for m in more]) for i in range(0, max(len(a), 1), TILE)]
+
+
+def _best_of_unit(q: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, training row, distance rounded to 9 digits) of the k nearest of every query; ties go to the lower row."""
+    q2, t2 = (q * q).sum(1), (t * t).sum(1)
+    # rounding of the product's distances, which lose digits where two vectors are close
+    slack = 8 * (q.shape[1] + 8) * np.finfo(float).eps * (q2 + np.nanmax(t2, initial=0.0))
+    wide = np.column_stack([t, t2])
+    parts = []
+    for i in range(0, len(q), TILE):
+        own = np.arange(i, min(i + TILE, len(q)))
+        left = np.column_stack([-2.0 * q[own], np.ones(len(own))])
+        rows, cols, dist = np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+        limit = np.full(len(own), np.inf)
+        for j in range(0, len(t), TILE_ROWS):
+            near = left @ wide[j:j + TILE_ROWS].T
+            bound = limit
+            if near.shape[1] > k and np.isinf(limit).any():
+                bound = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1] + 2 * slack[own])
+            # with the distances that round to that of the k-th
+            reach = np.sqrt(np.clip(bound + q2[own], 0, None)) + 2e-9
+            hit = np.flatnonzero(near <= (reach * reach - q2[own] + slack[own])[:, None])
+            if not len(hit):
+                continue
+            r, c = np.divmod(hit, near.shape[1])
+            d = np.empty(len(r))
+            for a in range(0, len(r), TILE_PAIRS):
+                gap = q[own[r[a:a + TILE_PAIRS]]] - t[j + c[a:a + TILE_PAIRS]]
+                d[a:a + TILE_PAIRS] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            rows, cols, dist = np.concatenate([rows, r]), np.concatenate([cols, j + c]), np.concatenate([dist, np.round(d, 9)])
+            order = np.lexsort((cols, dist, rows))
+            rows, cols, dist = rows[order], cols[order], dist[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            rows, cols, dist, place = (v[place < k] for v in (rows, cols, dist, place))
+            full = place == k - 1
+            limit[rows[full]] = dist[full] ** 2 - q2[own[rows[full]]]
+        parts.append((own[rows], cols, dist))
+    return tuple(np.concatenate(v) for v in zip(*parts))
+
+
 def _coords(metric: str):
     embed, _ = _embed(metric)
 
@@ -121,9 +172,8 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
     blocks = np.ceil(count / block_rows).astype(int)
     first = np.concatenate([[0], np.cumsum(blocks)[:-1]]).astype(int)
 
-    @F.pandas_udf("array<int>")
-    def candidates(s: pd.Series) -> pd.Series:
-        d = _distances(_matrix(s, pivots.shape[1]), pivots)
+    def visited(d: np.ndarray, per: int) -> list[np.ndarray]:
+        """The units that rows with these distances to the pivots visit."""
         out = []
         for row in d:
             if index is not None:
@@ -131,24 +181,33 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
                 near = near[count[near] > 0]
                 need = max(index.probes, int(np.searchsorted(np.cumsum(count[near]), k)) + 1)
                 hit = near[:need]
-                out.append(np.concatenate([np.arange(first[c], first[c] + blocks[c]) for c in hit]).astype("int32"))
-                continue
-            upper = row + radius
-            order = np.argsort(upper)
-            reach = np.cumsum(count[order])
-            kth = upper[order][min(np.searchsorted(reach, k), len(order) - 1)]
-            hit = np.flatnonzero((count > 0) & (row - radius <= kth * (1 + 1e-9) + 1e-9))
-            out.append(np.concatenate([np.arange(first[c], first[c] + blocks[c]) for c in hit]).astype("int32"))
-        return pd.Series(out)
+            else:
+                upper = row + radius
+                order = np.argsort(upper)
+                reach = np.cumsum(count[order])
+                kth = upper[order][min(np.searchsorted(reach, k), len(order) - 1)]
+                hit = np.flatnonzero((count > 0) & (row - radius <= kth * (1 + 1e-9) + 1e-9))
+            ids = np.concatenate([np.arange(first[c], first[c] + blocks[c]) for c in hit])
+            out.append((ids if per == 1 else np.unique(ids // per)).astype("int32"))
+        return out
+
+    # The pivots as queries tell whether radii rule out anything.
+    per = 1
+    if index is None and np.mean([len(u) for u in visited(_distances(pivots, pivots), 1)]) > DENSE * blocks.sum():
+        per = max(1, min(UNIT_BLOCKS, UNIT_CELLS // max(1, block_rows * pivots.shape[1]), int(blocks.sum()) // UNITS))
+
+    @F.pandas_udf("array<int>")
+    def candidates(s: pd.Series) -> pd.Series:
+        return pd.Series([u for part in _sliced(lambda a: visited(_distances(a, pivots), per), s, pivots.shape[1]) for u in part])
 
     # Block id of a training row: its cell's first block plus a hash salt.
     lookup = F.array(*[F.struct(F.lit(int(f)).alias("f"), F.lit(int(b)).alias("b"))
                        for f, b in zip(first, np.maximum(blocks, 1))])
     t = t.withColumn("c", F.get(lookup, F.col("cell"))).withColumn(
-        "block", (F.col("c.f") + F.pmod(F.xxhash64("tid"), F.col("c.b"))).cast("int"))
+        "block", F.floor((F.col("c.f") + F.pmod(F.xxhash64("tid"), F.col("c.b"))) / F.lit(per)).cast("int"))
     q = q.select("qid", "qx", F.explode(candidates("qx")).alias("block")).persist()
     # Chunks bound the queries of one task; a block is copied once per chunk.
-    load = q.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("chunks"))
+    load = q.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows * per)).cast("int").alias("chunks"))
     q = q.join(load, "block").withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("chunks")).cast("int"))
     t = t.join(load, "block").select(
         "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "tid", "label", "tx")
@@ -157,14 +216,9 @@ def nearest_neighbours(train: DataFrame, query: DataFrame, k: int, metric: str =
         if left.empty or right.empty:
             return pd.DataFrame({"qid": [], "tid": [], "label": [], "distance": []})
         right = right.sort_values("tid", kind="stable")
-        d = _distances(_matrix(left["qx"]), _matrix(right["tx"]))
-        m = min(k, d.shape[1])
-        pick = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :m]
-        rows = np.repeat(np.arange(len(d)), m)
-        flat = pick.ravel()
-        return pd.DataFrame({
-            "qid": left["qid"].to_numpy()[rows], "tid": right["tid"].to_numpy()[flat],
-            "label": right["label"].to_numpy()[flat], "distance": back(np.round(d, 9)[rows, flat])})
+        rows, cols, d = _best_of_unit(_matrix(left["qx"]), _matrix(right["tx"]), k)
+        return pd.DataFrame({"qid": left["qid"].to_numpy()[rows], "tid": right["tid"].to_numpy()[cols],
+                             "label": right["label"].to_numpy()[cols], "distance": back(d)})
 
     ltype = dict(t.dtypes)["label"]
     idt = dict(t.dtypes)["tid"]
@@ -179,9 +233,13 @@ def _assign(centres: np.ndarray):
     """The nearest centre of a row and the distance to it."""
     @F.pandas_udf("struct<cell int, d double>")
     def assign(s: pd.Series) -> pd.DataFrame:
-        d = _distances(_matrix(s, centres.shape[1]), centres)
-        c = d.argmin(1) if len(d) else np.zeros(0, dtype=int)
-        return pd.DataFrame({"cell": c.astype("int32"), "d": d[np.arange(len(d)), c]})
+        def nearest(a):
+            d = _distances(a, centres)
+            c = d.argmin(1) if len(d) else np.zeros(0, dtype=int)
+            return c.astype("int32"), d[np.arange(len(d)), c]
+
+        cell, d = (np.concatenate(v) for v in zip(*_sliced(nearest, s, centres.shape[1])))
+        return pd.DataFrame({"cell": cell, "d": d})
 
     return assign
 
@@ -192,8 +250,8 @@ def _rank_of(centres: np.ndarray):
     def rank_of(s: pd.Series, cell: pd.Series) -> pd.Series:
         if not len(s):
             return pd.Series([], dtype="int32")
-        order = np.argsort(_distances(_matrix(s), centres), axis=1, kind="stable")
-        return pd.Series((order == cell.to_numpy()[:, None]).argmax(1).astype("int32") + 1)
+        place = lambda a, c: (np.argsort(_distances(a, centres), axis=1, kind="stable") == c[:, None]).argmax(1).astype("int32") + 1
+        return pd.Series(np.concatenate(_sliced(place, s, centres.shape[1], cell.to_numpy())))
 
     return rank_of
 
@@ -258,12 +316,11 @@ def index_report(train: DataFrame, query: DataFrame, k: int, index: CellIndex, k
 
     @F.pandas_udf("double")
     def share(s: pd.Series) -> pd.Series:
-        near = np.argsort(_distances(_matrix(s, centres.shape[1]), centres), axis=1, kind="stable")
-        out = []
-        for row in near:
-            row = row[count[row] > 0]
-            out.append(count[row[:probes]].sum() / max(count.sum(), 1.0))
-        return pd.Series(out, dtype="float64")
+        def held(a):
+            near = np.argsort(_distances(a, centres), axis=1, kind="stable")
+            return [count[row[count[row] > 0][:probes]].sum() / max(count.sum(), 1.0) for row in near]
+
+        return pd.Series(sum(_sliced(held, s, centres.shape[1]), []), dtype="float64")
 
     seen = query.agg(F.avg(share(point))).first()[0] if len(centres) and count.sum() else 0.0
     return both.select("queries", "neighbours", "found", (F.col("found") / F.col("neighbours")).alias("recall"),
