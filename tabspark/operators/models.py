@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,6 +32,9 @@ log = logging.getLogger(__name__)
 MAX_CLASSES = 1_000
 #: Passes without this relative gain after which a fit of a loss with kinks ends.
 PATIENCE, GAIN = 10, 1e-3
+#: Bins of a feature in boosted trees, values of a feature that are counted one by one, and cells in a partition.
+TREE_BINS, TREE_VALUES, TREE_ROWS = 32, 10_000, 20_000
+TREE = "__tree_"
 
 
 @dataclass
@@ -118,7 +121,7 @@ def _spark(df, s):
         out = out.withColumn("score", vector_to_array("probability")[1])
     elif hasattr(model.stages[-1], "getRawPredictionCol"):
         out = out.withColumn("score", vector_to_array("rawPrediction")[1])
-    return out.drop("__features", "rawPrediction", "probability")
+    return out.drop("__features", "rawPrediction", "probability", *[c for c in out.columns if c.startswith(TREE)])
 
 
 def _spark_fit(df, features, label, stage, weight=None):
@@ -174,16 +177,73 @@ def _glm(family):
     return fit
 
 
+def _bin_edges(df, features) -> list[list[float]]:
+    """Thresholds between the ``TREE_BINS`` bins of each feature, from all rows: halfway between two values.
+
+    With more values than bins a bin has about the same number of rows (the rule of Spark's trees, which see a
+    sample); with over ``TREE_VALUES`` values the thresholds are approximate quantiles.
+    """
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), dbl(c).alias("v")) for i, c in enumerate(features)])).alias("e"))
+    counts = each.select("e.*").filter("v IS NOT NULL AND NOT isnan(v)").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).persist()
+    few = {r["i"]: r["n"] <= TREE_VALUES for r in counts.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    values = {}
+    for r in counts.filter(F.col("i").isin([i for i, f in few.items() if f])).collect():
+        values.setdefault(r["i"], []).append((r["v"], r["n"]))
+    many = [i for i, f in few.items() if not f]
+    probs = [k / TREE_BINS for k in range(1, TREE_BINS)]
+    cuts = df.agg(*[F.percentile_approx(dbl(features[i]), probs, 10_000).alias(str(i)) for i in many]).first() if many else ()
+    counts.unpersist()
+    edges = {i: sorted(set(q)) for i, q in zip(many, cuts)}
+    for i, found in values.items():
+        v, n = (np.array(a, dtype=float) for a in zip(*sorted(found)))
+        if len(v) <= TREE_BINS:
+            edges[i] = list((v[:-1] + v[1:]) / 2)
+            continue
+        edges[i], stride, total = [], n.sum() / TREE_BINS, np.cumsum(n)
+        want = stride
+        for j in range(1, len(v)):
+            if abs(total[j - 1] - want) < abs(total[j] - want):
+                edges[i].append(float(v[j - 1] + v[j]) / 2)
+                want += stride
+    return [edges.get(i) or [0.0] for i in range(len(features))]
+
+
 def _boosted(kind, defaults):
-    """Boosted trees; leaf-count and growth-policy parameters have no counterpart and are ignored."""
+    """Boosted trees; leaf-count and growth-policy parameters have no counterpart and are ignored.
+
+    Trees see a row by its bins only, so the rows of the same bins (and class) are one row with their mean target and
+    their number as weight: sums of targets, gradients and weights of every node are those of the rows, and every tree
+    reads the occupied cells instead of the rows.
+    """
     def fit(df, features, label, params):
         p = {**defaults, **params}
         cls = mlc.GBTClassifier if kind == "classifier" else mlr.GBTRegressor
         if "num_leaves" in p:
             p.setdefault("max_depth", max(1, round(math.log2(p["num_leaves"] + 1))))
-        stage = cls(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
-                    maxDepth=int(p.get("max_depth") or 5), seed=int(p.get("seed", 42)))
-        return _spark_fit(df, features, label, stage)
+        stage = cls(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxBins=TREE_BINS,
+                    maxDepth=int(p.get("max_depth") or 5), seed=int(p.get("seed", 42)), weightCol="__weight", labelCol="__label",
+                    featuresCol="__features", predictionCol="prediction")
+        # a bin of Bucketizer starts at its bound, a tree's left side ends at its threshold
+        bounds = [[-math.inf, *np.nextafter(e, math.inf).tolist(), math.inf] for e in _bin_edges(df, features)]
+        values, bins = ([f"{TREE}{k}{i}" for i in range(len(features))] for k in "vb")
+        cast = ", ".join(f"CAST({ident(c)} AS DOUBLE) AS {v}" for c, v in zip(features, values))
+        prepare = [SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__"),
+                   Bucketizer(splitsArray=bounds, inputCols=values, outputCols=bins)]
+        # a missing target stays an error
+        y = F.coalesce(dbl(label), F.lit(math.nan))
+        # without Bucketizer's metadata, which makes trees take the ordered bins as unordered categories
+        rows = PipelineModel(prepare).transform(df).select(*[F.col(b).alias(b, metadata={}) for b in bins], y.alias("__label"))
+        by = [*bins, "__label"] if kind == "classifier" else bins
+        mean = [] if kind == "classifier" else [F.avg("__label").alias("__label")]
+        cells = rows.groupBy(*by).agg(*mean, F.count(F.lit(1)).cast("double").alias("__weight")).persist()
+        n = cells.count()
+        parts = max(1, -(-n // TREE_ROWS))
+        if parts < cells.rdd.getNumPartitions():
+            cells = cells.coalesce(parts)
+        model = Pipeline(stages=[VectorAssembler(inputCols=bins, outputCol="__features"), stage]).fit(cells)
+        cells.unpersist()
+        model = PipelineModel([*prepare, *model.stages])
+        return Fitted("spark", {"model": model}, {"model": model, "cells": n})
     return fit
 
 
