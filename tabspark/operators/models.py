@@ -145,22 +145,34 @@ def _glm(family):
 
     The solver divides the penalty by the sum of its working weights instead of the
     row count, so it is given alpha times rows / weights, repeated until the weights
-    of the fit agree with those it was given.
+    of the fit agree with those it was given. The logarithm of what a fit asks for is
+    nearly linear in that of what it was given: after two fits the next goes to the
+    crossing of their secant.
     """
     def fit(df, features, label, params):
         alpha, power = float(params.get("alpha", 1.0)), {"poisson": 1.0, "gamma": 2.0}.get(family, float(params.get("power", 0.0)))
         log_link = params.get("link", "log") == "log" or (params.get("link") == "auto" and power > 0)
-        given = alpha
+        if not alpha or (power == 2.0 and log_link) or (power == 0.0 and not log_link):
+            return once(df, features, label, params)
+        # the columns of the fits, read 25 times at most
+        data = df.select(*[dbl(c).alias(c) for c in dict.fromkeys([*features, label])]).persist()
+        given, tried = alpha, []
         for _ in range(25):
-            model = once(df, features, label, {**params, "alpha": given})
-            if not alpha or (power == 2.0 and log_link) or (power == 0.0 and not log_link):
-                return model
+            model = once(data, features, label, {**params, "alpha": given})
             mu = F.col("prediction")
-            weight = model.transform(df).agg(F.avg(F.pow(mu, F.lit((2.0 if log_link else 0.0) - power)))).first()[0]
+            weight = model.transform(data).agg(F.avg(F.pow(mu, F.lit((2.0 if log_link else 0.0) - power)))).first()[0]
             want = alpha / weight
             if abs(want - given) <= 1e-8 * want:
                 break
+            tried.append((math.log(given), math.log(want / given)))
             given = want
+            if len(tried) > 1 and tried[-1][1] != tried[-2][1]:
+                (x0, f0), (x1, f1) = tried[-2:]
+                step = -f1 * (x1 - x0) / (f1 - f0)
+                # beyond a plain step's reach the secant is not trusted
+                if abs(step) <= 10 * abs(f1):
+                    given = math.exp(x1 + step)
+        data.unpersist()
         return model
 
     def once(df, features, label, params):
