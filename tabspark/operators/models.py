@@ -486,10 +486,9 @@ def _kernelised(inner, n_components=100, key="row_id", **defaults):
         base = df.withColumn("__x", _scaled(state))
         state["marks"], state["norm"], state["gamma"] = R.nystroem_fit(base, "__x", key, m, kernel, gamma, degree, 1.0, seed)
         names = [f"__k_{i}" for i in range(len(state["marks"]))]
-        # the narrow rows are kept; the machine keeps its own form of the kernel features
-        held = df.select(*map(ident, dict.fromkeys([*features, label]))).persist()
-        model = inner(_lift(held, state), names, label, p)
-        held.unpersist()
+        lifted = _lift(df, state).persist()
+        model = inner(lifted, names, label, p)
+        lifted.unpersist()
         return Fitted("kernel", {**state, "inner": model}, model.info)
     return fit
 
