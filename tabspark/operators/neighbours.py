@@ -69,7 +69,7 @@ def _embed(metric: str):
 
 
 def _matrix(s: pd.Series, width: int = 0) -> np.ndarray:
-    return np.stack(s.to_numpy()).astype(float) if len(s) else np.zeros((0, width))
+    return np.stack(s.to_numpy()).astype(float, copy=False) if len(s) else np.zeros((0, width))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,10 +85,9 @@ def _sliced(f, s: pd.Series, width: int, *more):
 
 def _best_of_unit(q: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, training row, distance rounded to 9 digits) of the k nearest of every query; ties go to the lower row."""
-    q2, t2 = (q * q).sum(1), (t * t).sum(1)
+    q2, t2 = (np.einsum("ij,ij->i", m, m) for m in (q, t))
     # rounding of the product's distances, which lose digits where two vectors are close
     slack = 8 * (q.shape[1] + 8) * np.finfo(float).eps * (q2 + np.nanmax(t2, initial=0.0))
-    wide = np.column_stack([t, t2])
     parts = []
     for i in range(0, len(q), TILE):
         own = np.arange(i, min(i + TILE, len(q)))
@@ -96,7 +95,7 @@ def _best_of_unit(q: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.
         rows, cols, dist = np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
         limit = np.full(len(own), np.inf)
         for j in range(0, len(t), TILE_ROWS):
-            near = left @ wide[j:j + TILE_ROWS].T
+            near = left @ np.column_stack([t[j:j + TILE_ROWS], t2[j:j + TILE_ROWS]]).T
             bound = limit
             if near.shape[1] > k and np.isinf(limit).any():
                 bound = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1] + 2 * slack[own])
@@ -122,7 +121,10 @@ def _best_of_unit(q: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, np.
 
 
 def _coords(metric: str):
+    """Coordinates of a vector column; Euclidean ones are the vectors themselves, without a Python worker of their own."""
     embed, _ = _embed(metric)
+    if metric in ("minkowski", "euclidean"):
+        return lambda c: c
 
     @F.pandas_udf("array<double>")
     def coords(s: pd.Series) -> pd.Series:
@@ -277,7 +279,8 @@ def fit_index(train: DataFrame, k: int, metric: str = "minkowski", recall: float
         return CellIndex(np.zeros((0, 0)), 1, metric)
     cells = min(n, cells or max(1, min(MAX_PIVOTS, round(math.sqrt(n)))))
     point = coords(F.col(ident(x)).cast("array<double>"))
-    sample = _sampled(train, key, max(centre_rows, cells), n, f"centres{seed}").select(array_to_vector(point).alias("features"))
+    sample = _sampled(train, key, max(centre_rows, cells), n, f"centres{seed}").select(
+        array_to_vector(F.transform(point, lambda v: F.coalesce(v, F.lit(math.nan)))).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=20).fit(sample)
     centres = np.array(model.clusterCenters(), dtype=float)
 
