@@ -232,7 +232,7 @@ def _boosted(kind, defaults):
         cls = mlc.GBTClassifier if kind == "classifier" else mlr.GBTRegressor
         if "num_leaves" in p:
             p.setdefault("max_depth", max(1, round(math.log2(p["num_leaves"] + 1))))
-        stage = cls(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxBins=TREE_BINS,
+        stage = cls(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
                     maxDepth=int(p.get("max_depth") or 5), seed=int(p.get("seed", 42)), weightCol="__weight", labelCol="__label",
                     featuresCol="__features", predictionCol="prediction")
         # a bin of Bucketizer starts at its bound, a tree's left side ends at its threshold
@@ -252,6 +252,8 @@ def _boosted(kind, defaults):
         parts = max(1, -(-n // TREE_ROWS))
         if parts < cells.rdd.getNumPartitions():
             cells = cells.coalesce(parts)
+        # thresholds are sought in a sample of maxBins squared rows: in all cells, for a rare bin to be seen
+        stage.setMaxBins(max(TREE_BINS, math.isqrt(n) + 1))
         model = Pipeline(stages=[VectorAssembler(inputCols=bins, outputCol="__features"), stage]).fit(cells)
         cells.unpersist()
         model = PipelineModel([*prepare, *model.stages])
